@@ -4,18 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing
+from . import line_dedup, media, mixing, warc
+from .shared import partitions, written
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_media_columns(spark, sf_dir):
+    stored = written(media.texts_to_media(_table(spark, sf_dir, "documents")), "media")
+    read = media.probe_column(stored, keys=("doc_id", "n_bytes"))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.to_json("tracks").alias("feature"))
+
+
 def op5_line_dedup(spark, sf_dir):
     kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_warc(spark, sf_dir):
+    listed = warc.write_archives(_table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read_archives(listed, partitions(spark)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_mixing(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -63,7 +75,8 @@ FROM run
 
 
 def queries():
-    return {"op5_line_dedup": op5_line_dedup, "op10_mixing": op10_mixing}
+    found = (op1_media_columns, op5_line_dedup, op9_warc, op10_mixing)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql():
