@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import line_dedup, media, mixing, warc
+from . import line_dedup, media, mixing, records, token_count, warc
 from .shared import partitions, written
 
 
@@ -12,17 +13,29 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer():
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_media_columns(spark, sf_dir):
     stored = written(media.texts_to_media(_table(spark, sf_dir, "documents")), "media")
     read = media.probe_column(stored, keys=("doc_id", "n_bytes"))
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.to_json("tracks").alias("feature"))
 
 
+def op3_token_counts(spark, sf_dir):
+    return token_count.token_counts(_table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op5_line_dedup(spark, sf_dir):
     kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_token_records(spark, sf_dir):
+    return records.token_records(_table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op9_warc(spark, sf_dir):
     listed = warc.write_archives(_table(spark, sf_dir, "pages"), warc.archive_folder(spark))
     return warc.read_archives(listed, partitions(spark)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -75,7 +88,7 @@ FROM run
 
 
 def queries():
-    found = (op1_media_columns, op5_line_dedup, op9_warc, op10_mixing)
+    found = (op1_media_columns, op3_token_counts, op5_line_dedup, op6_token_records, op9_warc, op10_mixing)
     return {f.__name__: f for f in found}
 
 
