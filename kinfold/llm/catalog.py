@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import line_dedup, media, mixing, records, token_count, warc
+from . import line_dedup, media, mixing, ngram_join, records, token_count, warc
 from .shared import partitions, written
 
 
@@ -36,6 +36,10 @@ def op6_token_records(spark, sf_dir):
     return records.token_records(_table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op8_ngram_join(spark, sf_dir):
+    return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark, sf_dir):
     listed = warc.write_archives(_table(spark, sf_dir, "pages"), warc.archive_folder(spark))
     return warc.read_archives(listed, partitions(spark)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -88,7 +92,7 @@ FROM run
 
 
 def queries():
-    found = (op1_media_columns, op3_token_counts, op5_line_dedup, op6_token_records, op9_warc, op10_mixing)
+    found = (op1_media_columns, op3_token_counts, op5_line_dedup, op6_token_records, op8_ngram_join, op9_warc, op10_mixing)
     return {f.__name__: f for f in found}
 
 
