@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import line_dedup, media, mixing, ngram_join, records, token_count, warc
+from . import chat, decontaminate, line_dedup, media, mixing, ngram_join, records, token_count, warc
 from .shared import partitions, written
 
 
@@ -23,6 +23,10 @@ def op1_media_columns(spark, sf_dir):
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.to_json("tracks").alias("feature"))
 
 
+def op2_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_counts(spark, sf_dir):
     return token_count.token_counts(_table(spark, sf_dir, "documents"), tokenizer())
 
@@ -36,6 +40,22 @@ def op6_token_records(spark, sf_dir):
     return records.token_records(_table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op7_chat_formatting(spark, sf_dir):
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    out = chat.format_trees(chat.from_turns(rows)).withColumn("turns", chat.parsed_turns(F.col("formatted"))).withColumn("trained", chat.masked_text(F.col("formatted"), F.col("loss")))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        F.col("tree").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2(F.col("trained").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op8_ngram_join(spark, sf_dir):
     return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +81,24 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) A
 FROM flagged GROUP BY doc_id
 """
 
+OP7_SQL = r"""
+WITH every AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+shown AS (
+  SELECT *, replace(replace(replace(text, '\', '\s'), '</turn>', '\e'), '### ', '\h') AS body,
+         replace(replace(replace(replace(role, '\', '\s'), '</turn>', '\e'), '### ', '\h'), ':', '\c') AS who
+  FROM every),
+told AS (
+  SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         CAST(sum(length('### ' || who || ': ' || body || '</turn>' || chr(10))) AS BIGINT) AS chars
+  FROM shown GROUP BY conv_id)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, n AS n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, chars AS formatted_chars
+FROM told
+"""
+
 OP10_SQL = """
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
@@ -92,9 +130,9 @@ FROM run
 
 
 def queries():
-    found = (op1_media_columns, op3_token_counts, op5_line_dedup, op6_token_records, op8_ngram_join, op9_warc, op10_mixing)
+    found = (op1_media_columns, op2_decontamination, op3_token_counts, op5_line_dedup, op6_token_records, op7_chat_formatting, op8_ngram_join, op9_warc, op10_mixing)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql():
-    return {"op5_line_dedup": OP5_SQL, "op10_mixing": OP10_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op7_chat_formatting": OP7_SQL, "op10_mixing": OP10_SQL}
