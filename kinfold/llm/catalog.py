@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, media, mixing, ngram_join, records, token_count, warc
+from . import chat, decontaminate, line_dedup, media, mixing, ngram_join, quality, records, token_count, warc
 from .shared import partitions, written
 
 
@@ -31,6 +32,12 @@ def op3_token_counts(spark, sf_dir):
     return token_count.token_counts(_table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op4_quality_classifier(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.scored(docs.select("doc_id", "text", "lang", "source", "n_chars"), model).select("doc_id", "p_quality", "p_toxic", "accepted")
+
+
 def op5_line_dedup(spark, sf_dir):
     kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -130,8 +137,8 @@ FROM run
 
 
 def queries():
-    found = (op1_media_columns, op2_decontamination, op3_token_counts, op5_line_dedup, op6_token_records, op7_chat_formatting, op8_ngram_join, op9_warc, op10_mixing)
-    return {f.__name__: f for f in found}
+    found = (op1_media_columns, op2_decontamination, op3_token_counts, op4_quality_classifier, op5_line_dedup, op6_token_records, op7_chat_formatting, op8_ngram_join, op9_warc, op10_mixing)
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():

@@ -114,6 +114,24 @@ def _thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source", "threshold")
 
 
+def _plan(sized: DataFrame, weights: tuple[int, ...], budget: float, most: float) -> DataFrame:
+    """source, source_size, target, whole, threshold: a row per source of (source, size, hash)."""
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = written(source_targets(totals, weights, budget, most), "mix-targets")
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    rest = targets.select("source", (F.col("target") - whole * F.col("source_size")).alias("need"))
+    edges = _thresholds(sized, rest)
+    plan = targets.withColumn("whole", whole).alias("t").join(edges.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")))
+    return written(plan.select(F.col("t.source").alias("source"), "source_size", "target", "whole", "threshold"), "mix-plan")
+
+
+def _sized(docs: DataFrame, seed: str, doc_id: str, text: str, source: str) -> DataFrame:
+    return written(
+        docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), doc_hash(F.col(doc_id), seed).alias("hash")),
+        "mix-sizes",
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = (5, 2, 1),
@@ -137,17 +155,8 @@ def mix(
     last; rows that share an id share a hash and are taken alike; an empty table
     gives no rows; a document without words is taken k times and adds nothing.
     """
-    sized = written(
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), doc_hash(F.col(doc_id), seed).alias("hash")),
-        "mix-sizes",
-    )
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = written(source_targets(totals, weights, budget, most), "mix-targets")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    rest = targets.select("source", (F.col("target") - whole * F.col("source_size")).alias("need"))
-    edges = _thresholds(sized, rest)
-    plan = targets.withColumn("whole", whole).alias("t").join(edges.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")))
-    plan = plan.select(F.col("t.source").alias("source"), "source_size", "target", "whole", "threshold")
+    sized = _sized(docs, seed, doc_id, text, source)
+    plan = _plan(sized, weights, budget, most)
     copies = (F.col("whole") + (F.col("hash") <= F.col("threshold")).cast("long")).alias("copies")
     return (
         sized.alias("d")
@@ -155,3 +164,15 @@ def mix(
         .select("d.doc_id", "d.source", "size", "source_size", "target", copies)
         .withColumn("taken", F.col("size") * F.col("copies"))
     )
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), budget: float = 1.5, most: float = 2.0, seed: str = "mix", doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The documents, with all their columns, each as many times as mix() takes it.
+
+    Text doesn't move: a row's source and hash decide its copies.
+    """
+    plan = _plan(_sized(docs, seed, doc_id, text, source), weights, budget, most)
+    plan = plan.select(F.col("source").alias("mix__source"), "whole", "threshold").withColumnsRenamed({"whole": "mix__whole", "threshold": "mix__threshold"})
+    copies = (F.col("mix__whole") + (doc_hash(F.col(doc_id), seed) <= F.col("mix__threshold")).cast("long")).cast("int")
+    rows = docs.join(plan, F.col(source).eqNullSafe(F.col("mix__source")))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), copies)).alias("mix__copy")).select([F.col(f"`{c}`") for c in docs.columns])

@@ -281,3 +281,13 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str =
     named = written(named.filter("members > 1 or component <> node").drop("members", "node"), "named")
     same = documents.join(named, ["n", "h1", "h2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return same
+
+
+def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, with all their columns, of which none of a smaller id is in the same component.
+
+    Rows of null id stay; of rows that share an id all stay or go together.
+    """
+    joined = ngram_join(docs, words, percent, doc_id, text)
+    gone = joined.filter("component_id < doc_id").select(F.col("doc_id").alias("copy__id")).distinct()
+    return docs.join(written(gone, "copies"), F.col(doc_id) == F.col("copy__id"), "left_anti")
