@@ -1,15 +1,551 @@
-"""The registered queries of the record-matching engine and their SQL twins."""
+"""The registered queries of the record-matching engine and their SQL twins.
+
+The tables have no companies, so most queries run on organisations derived from
+customers (ORGS, one text for both engines), all of them.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import normalize
+from ..functions.similarity import euclidean
+from ..operators import blocking, decide, features, graph, hierarchy, linalg, model, pairs, preprocess, quality, ranks, report
+from ..operators.dbscan import dbscan, silhouette
+from ..sources.scratch import cut
+from .pipeline import cluster_records, vectors
+
+ORGS = """
+SELECT CAST(c.c_custkey AS STRING) AS record_id,
+       CONCAT('The Customer ', CAST(CAST(floor(c.c_custkey / 3) AS BIGINT) AS STRING),
+              CASE c.c_custkey % 4 WHEN 0 THEN ' Inc.' WHEN 1 THEN ', LLC' WHEN 2 THEN ' GmbH' ELSE ' Sdn Bhd' END) AS company,
+       CASE WHEN c.c_custkey % 7 = 6 THEN NULL
+            ELSE CONCAT('https://www.c', CAST(CAST(floor(c.c_custkey / 4) AS BIGINT) AS STRING), '.example.com/x') END AS domain,
+       CASE WHEN c.c_custkey % 11 = 10 THEN '555-1234'
+            ELSE CONCAT('+1 (2', lpad(CAST(CAST(floor(c.c_custkey / 5) AS BIGINT) AS STRING), 2, '0'), ') 555-', lpad(CAST(CAST(floor(c.c_custkey / 5) AS BIGINT) AS STRING), 4, '0')) END AS phone,
+       n.n_name AS city,
+       c.c_mktsegment AS street
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+
+
+def orgs(spark, sf_dir) -> DataFrame:
+    return spark.sql(ORGS.replace("FROM customer c", f"FROM parquet.`{sf_dir}/customer.parquet` c").replace("JOIN nation n", f"JOIN parquet.`{sf_dir}/nation.parquet` n"))
+
+
+def cleaned(spark, sf_dir) -> DataFrame:
+    return preprocess.clean(orgs(spark, sf_dir), F.col("record_id").cast("long"))
+
+
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _pairs(spark, sf_dir):
+    rows = cut(cleaned(spark, sf_dir))
+    return rows, cut(blocking.candidate_pairs(rows))
+
+
+def _scored(spark, sf_dir, address: bool = False):
+    rows, found = _pairs(spark, sf_dir)
+    return rows, cut(pairs.features(rows, found, address))
+
+
+def _rated(spark, sf_dir):
+    """Pairs with a probability that a rule gives: the mean of three similarities."""
+    rows, scored = _scored(spark, sf_dir)
+    prob = F.round((F.col("company_sim") + F.col("domain_sim") + F.col("phone_exact")) / 3, 9)
+    return rows, scored.withColumn("prob", prob)
+
+
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.select([F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def _clusters(spark, sf_dir) -> DataFrame:
+    """Organisations in clusters of a fifth of the keys; every ninth key noise."""
+    label = F.when(F.col("row_idx") % 9 == 8, F.lit(-1)).otherwise(F.expr("row_idx DIV 5")).cast("long")
+    return cleaned(spark, sf_dir).withColumn("cluster_id", label)
+
+
+CLUSTERS_SQL = "labelled AS (SELECT *, CASE WHEN row_idx % 9 = 8 THEN -1 ELSE row_idx // 5 END AS cluster_id FROM cleaned)"
+
+
+def _suppliers(spark, sf_dir) -> DataFrame:
+    s = _table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").alias("node"), F.array(F.col("s_acctbal") / 1000.0, F.col("s_nationkey") / 10.0).alias("x"))
+
+
+SUPPLIERS_SQL = "points AS (SELECT s_suppkey AS node, s_acctbal / 1000.0 AS x, s_nationkey / 10.0 AS y FROM supplier)"
+EPS = 0.2
+
+
+def normalize_company(spark, sf_dir):
+    return cleaned(spark, sf_dir).select("record_id", "company_clean")
+
+
+def normalize_domain_pages(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", normalize.domain(F.col("url")).alias("domain_clean"))
+
+
+def normalize_phone(spark, sf_dir):
+    return cleaned(spark, sf_dir).select("record_id", "phone_clean")
+
+
+def normalize_address(spark, sf_dir):
+    return cleaned(spark, sf_dir).select("record_id", "address_clean")
+
+
+def preprocess_stats(spark, sf_dir):
+    return preprocess.statistics(cleaned(spark, sf_dir))
+
+
+def dedup_keep_first(spark, sf_dir):
+    return preprocess.keep_first(cleaned(spark, sf_dir))[0].select("record_id", "company_clean", "domain_clean")
+
+
+def dedup_removed(spark, sf_dir):
+    return preprocess.keep_first(cleaned(spark, sf_dir))[1].select("record_id", "company_clean", "domain_clean")
+
+
+def dedup_either(spark, sf_dir):
+    return preprocess.keep_first_either(cut(cleaned(spark, sf_dir)))[0].select("record_id", "combined_id")
+
+
+def block_phone(spark, sf_dir):
+    return blocking.block(cleaned(spark, sf_dir), "phone_clean").select("record_id_1", "record_id_2")
+
+
+def block_domain(spark, sf_dir):
+    return blocking.block(cleaned(spark, sf_dir), "domain_clean").select("record_id_1", "record_id_2")
+
+
+def block_company(spark, sf_dir):
+    return blocking.block(cleaned(spark, sf_dir), "company_clean").select("record_id_1", "record_id_2")
+
+
+def block_sorted_neighbourhood(spark, sf_dir):
+    return blocking.sorted_neighbourhood(cleaned(spark, sf_dir)).select("record_id_1", "record_id_2")
+
+
+def candidate_pairs(spark, sf_dir):
+    return blocking.candidate_pairs(cleaned(spark, sf_dir)).select("record_id_1", "record_id_2")
+
+
+def blocking_stats(spark, sf_dir):
+    return _rounded(blocking.statistics(cut(cleaned(spark, sf_dir))), 9)
+
+
+def pair_features(spark, sf_dir):
+    return _rounded(_scored(spark, sf_dir)[1].select("record_id_1", "record_id_2", "company_sim", "domain_sim", "phone_exact"))
+
+
+def address_similarity(spark, sf_dir):
+    return _rounded(_scored(spark, sf_dir, True)[1].select("record_id_1", "record_id_2", "address_sim"))
+
+
+def similarity_metrics(spark, sf_dir):
+    return _rounded(pairs.metrics(_scored(spark, sf_dir)[1]))
+
+
+def heuristic_labels(spark, sf_dir):
+    return model.heuristic_labels(_scored(spark, sf_dir)[1])
+
+
+def training_join(spark, sf_dir):
+    scored = _scored(spark, sf_dir)[1]
+    labels = model.heuristic_labels(scored)
+    return _rounded(scored.join(labels, model.IDS).select(*model.IDS, "company_sim", "domain_sim", "phone_exact", "label"))
+
+
+def logistic_scores(spark, sf_dir):
+    told = model.train_and_score(_scored(spark, sf_dir, True)[1])
+    return _rounded(told["scored"].select(*model.IDS, "prob"))
+
+
+def score_statistics(spark, sf_dir):
+    return _rounded(model.score_statistics(_rated(spark, sf_dir)[1]))
+
+
+def high_confidence(spark, sf_dir):
+    return model.high_confidence(_rated(spark, sf_dir)[1], 0.8).select(*model.IDS, F.round("prob", 6).alias("prob"))
+
+
+def score_bands(spark, sf_dir):
+    return _rounded(report.band_statistics(_rated(spark, sf_dir)[1]))
+
+
+def prob_quantiles(spark, sf_dir):
+    return _rounded(report.input_statistics(_rated(spark, sf_dir)[1]))
+
+
+def report_join(spark, sf_dir):
+    rows, rated = _rated(spark, sf_dir)
+    joined = report.with_records(report.banded(rated), rows, ["company", "address_clean"])
+    return joined.select(*model.IDS, "band", "src_company_1", "src_company_2", "src_address_clean_1", "src_address_clean_2")
+
+
+def agg_features_v1(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    return _rounded(features.aggregate_v1(scored, rows))
+
+
+def agg_features_v2(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    return _rounded(features.aggregate_v2(scored, rows))
+
+
+def agg_features_v3(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    return _rounded(features.aggregate_v3(scored, rows))
+
+
+def standard_scale(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    return _rounded(linalg.standard_scale(scored.select(*model.IDS, "company_sim", "domain_sim", "phone_exact"), ["company_sim", "domain_sim", "phone_exact"]), 5)
+
+
+def yeo_johnson(spark, sf_dir):
+    return _rounded(linalg.power_transform(_table(spark, sf_dir, "part").select("p_partkey", F.col("p_retailprice").alias("price"), F.col("p_size").cast("double").alias("size")), ["price", "size"]), 5)
+
+
+def pca_project(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    table = features.aggregate_v2(scored, rows)
+    names = [c for c in table.columns if c != "record_id"]
+    return linalg.pca(linalg.standard_scale(table, names), names, ratio=0.9).select("record_id", F.transform("components", lambda v: F.round(F.abs(v), 4)).alias("components"))
+
+
+def knn_distance(spark, sf_dir):
+    points = _suppliers(spark, sf_dir).withColumn("group", F.lit(0))
+    return linalg.neighbour_distances(points, 4).select("node", F.round("distance", 6).alias("distance"))
+
+
+def pair_distances(spark, sf_dir):
+    points = _suppliers(spark, sf_dir)
+    a, b = points.select(F.col("node").alias("a"), F.col("x").alias("x")), points.select(F.col("node").alias("b"), F.col("x").alias("y"))
+    by = F.expr("a DIV 10")
+    met = a.withColumn("g", by).join(b.withColumn("g", F.expr("b DIV 10")), "g").filter("a < b").withColumn("d", euclidean(F.col("x"), F.col("y")))
+    return _rounded(met.groupBy("g").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.avg("d").alias("mean")))
+
+
+def adaptive_threshold(spark, sf_dir):
+    return spark.createDataFrame([(d, hierarchy.adaptive_threshold(d)) for d in range(1, 11)], "depth long, threshold double")
+
+
+def dbscan_flat(spark, sf_dir):
+    return dbscan(_suppliers(spark, sf_dir), EPS, 2, dims=2)
+
+
+def dbscan_silhouette(spark, sf_dir):
+    points = cut(_suppliers(spark, sf_dir))
+    return _rounded(silhouette(points, dbscan(points, EPS, 2, dims=2)))
+
+
+def connected_components(spark, sf_dir):
+    pairs_ = graph.near_pairs(_suppliers(spark, sf_dir), EPS, dims=2)
+    return graph.connected_components(pairs_).select("node", "component")
+
+
+def merge_unique_records(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    unique = decide.deduplicate(rows, scored)[0]
+    return unique.select("record_id", "is_merged", F.array_join("merged_from", ";").alias("merged_from"), "canonical_company")
+
+
+def merge_groups(spark, sf_dir):
+    """Merged by equal names: what remains is the first of each group by record order of ids."""
+    rows, scored = _scored(spark, sf_dir)
+    same = scored.filter("company_clean_1 = company_clean_2").select(
+        F.col("record_id_1").alias("id_1"), F.col("record_id_2").alias("id_2"), F.lit(True).alias("same_organization"), F.lit(1.0).alias("confidence"), F.lit(None).cast("string").alias("primary_record_id"), F.col("company_clean_1").alias("canonical_name"), F.lit(False).alias("error")
+    )
+    merged = graph.merge_duplicates(rows, same)
+    return merged.groupBy("canonical_company").agg(F.count("*").alias("kept"), F.max(F.size("merged_from")).cast("long").alias("merged"))
+
+
+def connectivity_violations(spark, sf_dir):
+    points = _suppliers(spark, sf_dir).withColumn("cluster_id", F.when(F.col("node") % 7 == 6, F.lit(-1)).otherwise(F.col("node") % 5).cast("long"))
+    return _rounded(graph.violations(points, EPS, dims=2).select("a", "b", "cluster_a", "cluster_b", "distance"))
+
+
+def forced_merge(spark, sf_dir):
+    points = _suppliers(spark, sf_dir).withColumn("cluster_id", F.when(F.col("node") % 7 == 6, F.lit(-1)).otherwise(F.expr("node DIV 4")).cast("long"))
+    return graph.merged_clusters(points, 0.05, dims=2)
+
+
+def domain_first_split(spark, sf_dir):
+    """Sub-cluster numbers by domain within a cluster; records without one share the last number."""
+    rows = _clusters(spark, sf_dir).filter("cluster_id <> -1")
+    order = Window.partitionBy("cluster_id").orderBy(F.nullif(F.col("domain_clean"), F.lit("")).asc_nulls_last())
+    return rows.select("record_id", "cluster_id", F.dense_rank().over(order).cast("long").alias("part"))
+
+
+def noise_rescue(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    return quality.rescue_noise(_clusters(spark, sf_dir), scored)
+
+
+def cluster_stats(spark, sf_dir):
+    return _rounded(quality.cluster_statistics(_clusters(spark, sf_dir)))
+
+
+def cluster_size_distribution(spark, sf_dir):
+    return _rounded(quality.size_distribution(_clusters(spark, sf_dir)))
+
+
+def cluster_purity(spark, sf_dir):
+    return _rounded(quality.purity(_clusters(spark, sf_dir)))
+
+
+def domain_scatter(spark, sf_dir):
+    return quality.domain_scatter(_clusters(spark, sf_dir))
+
+
+def scatter_summary(spark, sf_dir):
+    return _rounded(quality.scatter_summary(_clusters(spark, sf_dir)))
+
+
+def domain_spread(spark, sf_dir):
+    return quality.domain_spread(_clusters(spark, sf_dir))
+
+
+def top_clusters(spark, sf_dir):
+    return quality.top_clusters(_clusters(spark, sf_dir))
+
+
+def subdivision_candidates(spark, sf_dir):
+    return quality.subdivision_candidates(_clusters(spark, sf_dir), size=3)
+
+
+def value_distribution(spark, sf_dir):
+    return _rounded(quality.value_distribution(_scored(spark, sf_dir)[1], "company_sim"))
+
+
+def domain_match_rate(spark, sf_dir):
+    return _rounded(quality.match_rate(cleaned(spark, sf_dir), "domain"))
+
+
+def cluster_review_filter(spark, sf_dir):
+    return decide.reviewable(_clusters(spark, sf_dir), exclude=[0, 3], least=3, most=5).select("record_id", "cluster_id")
+
+
+def cluster_reviews(spark, sf_dir):
+    told = decide.review_clusters(_clusters(spark, sf_dir))
+    return told.select("cluster_id", F.size("record_ids").cast("long").alias("records"), F.coalesce(F.array_join(F.transform("canonical_groups", lambda g: F.array_join(g["record_ids"], "+")), ";"), F.lit("")).alias("groups"))
+
+
+def review_rollup(spark, sf_dir):
+    return _rounded(report.review_rollup(decide.review_clusters(_clusters(spark, sf_dir))))
+
+
+def pair_prompts(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    first = scored.filter("company_sim >= 0.6")
+    line = F.format_string("%s <> %s: %.3f", "record_id_1", "record_id_2", "company_sim")
+    nth = ranks.global_rank(first.select("record_id_1", "record_id_2", line.alias("line")), ["record_id_1", "record_id_2"], "nth").withColumn("batch", F.expr("nth DIV 10"))
+    return nth.groupBy("batch").agg(F.count("*").alias("pairs"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", "line"))), lambda s: s["line"]), "\n").alias("prompt"))
+
+
+def decision_summary(spark, sf_dir):
+    return _rounded(decide.decision_summary(decide.decisions(_scored(spark, sf_dir)[1], decide.RuleJudge())))
+
+
+def kmeans_subdivide(spark, sf_dir):
+    points = cut(_suppliers(spark, sf_dir))
+    labels = points.select("node", F.lit(0).cast("long").alias("cluster_id"))
+    config = hierarchy.SplitConfig(max_size=15, strategies=("force",), domain_first=False)
+    out = hierarchy.subdivide(points, labels, config).labels
+    return out.groupBy("cluster_id").agg(F.count("*").alias("size"))
+
+
+def hierarchical_clusters(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    return cluster_records(scored, rows, split=hierarchy.SplitConfig(max_size=15)).select("record_id", "cluster_id")
+
+
+def fixed_depth_clusters(spark, sf_dir):
+    points = cut(_suppliers(spark, sf_dir))
+    labels = points.select("node", F.lit(0).cast("long").alias("cluster_id"))
+    config = hierarchy.SplitConfig(max_size=15, strategies=hierarchy.FIXED_DEPTH, domain_first=False, max_depth=3)
+    return hierarchy.connectivity_aware(points, labels, config, base=0.02, high=0.01, dims=2).labels
+
+
+def enhanced_dbscan(spark, sf_dir):
+    rows, scored = _scored(spark, sf_dir)
+    table = cut(features.aggregate_v2(scored, rows))
+    return dbscan(vectors(table, [c for c in table.columns if c != "record_id"]), 0.1).select(F.col("node").alias("record_id"), "cluster_id")
+
 
 def flagship(spark, sf_dir):
-    raise NotImplementedError
+    """Candidate pairs of organisations that share a domain and nearly a name, or a phone."""
+    _, scored = _scored(spark, sf_dir)
+    return _rounded(scored.filter("(company_sim >= 0.9 and domain_sim = 1) or phone_exact = 1").select("record_id_1", "record_id_2", "company_sim", "domain_sim", "phone_exact"))
 
 
-def queries():
-    return {}
+def _sql_suffix() -> str:
+    return normalize.suffix_pattern().replace("'", "''")
+
+
+def _cleaned_sql() -> str:
+    ws = r"regexp_replace({}, '\s+', ' ', 'g')"
+    name = "trim(" + ws.format("lower(company)") + ")"
+    name = rf"regexp_replace({name}, '^the\s+', '')"
+    name = f"trim(regexp_replace({name}, '{normalize.prefix_pattern()}', ''))"
+    name = f"replace({name}, '&', ' and ')"
+    name = "trim(" + ws.format(rf"regexp_replace({name}, '[^\w\s&/.-]+', ' ', 'g')") + ")"
+    for _ in range(2):
+        name = "trim(" + ws.format(f"regexp_replace({name}, '{_sql_suffix()}', '', 'g')") + ")"
+    name = f"trim(regexp_replace({name}, '[./-]+$', ''))"
+    digits = "regexp_replace(phone, '[^0-9]', '', 'g')"
+    shown = lambda at: f"'(' || substr({digits}, {at}, 3) || ') ' || substr({digits}, {at + 3}, 3) || '-' || substr({digits}, {at + 6}, 4)"
+    return f"""WITH orgs AS ({ORGS}),
+cleaned AS (
+  SELECT record_id, company, domain, CAST(record_id AS BIGINT) AS row_idx, {name} AS company_clean,
+         coalesce({_domain_sql("domain")}, '') AS domain_clean,
+         CASE WHEN length({digits}) = 10 THEN {shown(1)} WHEN length({digits}) = 11 AND {digits} LIKE '1%' THEN '1-' || {shown(2)} ELSE '' END AS phone_clean,
+         trim(regexp_replace(city || ' ' || street, '\\s+', ' ', 'g')) AS address_clean
+  FROM orgs)"""
+
+
+def _domain_sql(c: str) -> str:
+    host = f"split_part(trim(lower({c})), '@', -1)"
+    host = f"regexp_replace(regexp_replace({host}, '^https?://(?:www\\.)?', ''), '^www\\.', '')"
+    host = f"split_part({host}, '/', 1)"
+    return f"CASE WHEN regexp_matches({host}, '{normalize.DOMAIN_SHAPE}') THEN {host} WHEN {c} IS NOT NULL THEN '' END"
+
+
+def _block_sql(key: str) -> str:
+    return f"SELECT a.record_id AS record_id_1, b.record_id AS record_id_2 FROM cleaned a JOIN cleaned b ON a.{key} = b.{key} AND a.{key} <> '' AND a.row_idx < b.row_idx"
+
+
+NEIGHBOURS = """SELECT a.record_id AS record_id_1, b.record_id AS record_id_2
+FROM (SELECT *, dense_rank() OVER (ORDER BY company_clean) AS r FROM cleaned WHERE company_clean <> '') a
+JOIN (SELECT *, dense_rank() OVER (ORDER BY company_clean) AS r FROM cleaned WHERE company_clean <> '') b
+ON abs(a.r - b.r) <= 2 AND a.row_idx < b.row_idx"""
+BANDS = "CASE WHEN prob >= 0.9 THEN 'high_confidence' WHEN prob >= 0.6 THEN 'manual_review' ELSE 'low_confidence' END"
+
+
+def _stats(c: str) -> str:
+    return f"SELECT '{c}' AS measure, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, round(max({c}), 6) AS max, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count FROM scored"
 
 
 def oracle_sql():
-    return {}
+    base = _cleaned_sql()
+    candidates = f"{base}, pairs AS ({_block_sql('phone_clean')} UNION {_block_sql('domain_clean')} UNION {_block_sql('company_clean')} UNION {NEIGHBOURS})"
+    same = lambda k: f"CASE WHEN a.{k} = b.{k} AND a.{k} <> '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+    scored = f"""{candidates}, scored AS (
+  SELECT p.*, a.company_clean AS company_clean_1, b.company_clean AS company_clean_2, a.domain_clean AS domain_clean_1, b.domain_clean AS domain_clean_2,
+         CAST(jaro_winkler_similarity(a.company_clean, b.company_clean) AS DOUBLE) AS company_sim, {same("domain_clean")} AS domain_sim, {same("phone_clean")} AS phone_exact
+  FROM pairs p JOIN cleaned a ON a.record_id = p.record_id_1 JOIN cleaned b ON b.record_id = p.record_id_2)"""
+    rated = f"{scored}, rated AS (SELECT *, round((company_sim + domain_sim + phone_exact) / 3, 9) AS prob FROM scored)"
+    clusters = f"{base}, {CLUSTERS_SQL}"
+    labels = f"""{scored}, pos AS (SELECT record_id_1, record_id_2 FROM scored WHERE (company_sim >= 0.8 AND domain_sim >= 0.8) OR phone_exact = 1),
+neg AS (SELECT record_id_1, record_id_2 FROM scored WHERE company_sim <= 0.2 AND domain_sim <= 0.2 AND phone_exact = 0),
+ranked AS (SELECT *, (company_sim + domain_sim) / 3 AS m, least(10, greatest(1, (SELECT count(*) FROM scored) // 2)) AS n FROM scored),
+least_n AS (SELECT CASE WHEN (SELECT count(*) FROM pos) = 0 OR (SELECT count(*) FROM neg) = 0 THEN 0 ELSE least((SELECT count(*) FROM pos), (SELECT count(*) FROM neg)) END AS n),
+labels AS (
+  SELECT record_id_1, record_id_2, 1 AS label FROM (SELECT *, row_number() OVER (ORDER BY record_id_1, record_id_2) AS k FROM pos) WHERE k <= (SELECT n FROM least_n)
+  UNION ALL SELECT record_id_1, record_id_2, 0 FROM (SELECT *, row_number() OVER (ORDER BY record_id_1, record_id_2) AS k FROM neg) WHERE k <= (SELECT n FROM least_n)
+  UNION ALL SELECT record_id_1, record_id_2, 1 FROM (SELECT *, row_number() OVER (ORDER BY m DESC, record_id_1, record_id_2) AS k FROM ranked) WHERE k <= n AND (SELECT n FROM least_n) = 0
+  UNION ALL SELECT record_id_1, record_id_2, 0 FROM (SELECT *, row_number() OVER (ORDER BY m, record_id_1, record_id_2) AS k FROM ranked) WHERE k <= n AND (SELECT n FROM least_n) = 0)"""
+    melted = f"{scored}, melted AS (SELECT record_id_1 AS record_id, 1 AS side, * EXCLUDE (company_clean_1, company_clean_2, domain_clean_1, domain_clean_2) FROM scored UNION ALL SELECT record_id_2, 2, * EXCLUDE (company_clean_1, company_clean_2, domain_clean_1, domain_clean_2) FROM scored)"
+    curve = lambda c, w: f"{w[0]} * {c} * {c} AS {c}_squared, {w[1]} * sqrt({c} + 1e-8) AS {c}_sqrt, {w[2]} * ln({c} + 1e-8) AS {c}_log"
+    v1_names = ["company_sim", "domain_sim", "company_domain_product", "company_domain_sum", "company_domain_ratio", *[f"{c}_{k}" for c in ("company_sim", "domain_sim") for k in ("squared", "sqrt", "log")], "sim_variance", "sim_mean", "sim_max", "sim_min", "sim_range"]
+    c, d, p = "company_sim", "domain_sim", "phone_exact"
+    v1 = f"""{melted}, made AS (SELECT record_id, 0.0001 * {c} AS company_sim, 10 * {d} AS domain_sim, 3 * {c} * {d} AS company_domain_product, 2 * ({c} + {d}) AS company_domain_sum, 1.5 * {c} / ({d} + 1e-8) AS company_domain_ratio,
+  20 * {c} * {c} AS company_sim_squared, 0.2 * sqrt({c} + 1e-8) AS company_sim_sqrt, 0.0 AS company_sim_log, 20 * {d} * {d} AS domain_sim_squared, 0.2 * sqrt({d} + 1e-8) AS domain_sim_sqrt, 0.0 AS domain_sim_log,
+  0.1 * ({c} - {d}) * ({c} - {d}) / 2 AS sim_variance, 0.1 * ({c} + {d}) / 2 AS sim_mean, 0.1 * greatest({c}, {d}) AS sim_max, 0.1 * least({c}, {d}) AS sim_min, 0.1 * (greatest({c}, {d}) - least({c}, {d})) AS sim_range FROM melted)
+SELECT o.record_id, {", ".join(f"round(coalesce(avg(CAST(m.{n} AS DOUBLE)), 0.0::DOUBLE), 6) + 0.0 AS {n}" for n in v1_names)} FROM cleaned o LEFT JOIN made m USING (record_id) GROUP BY o.record_id"""
+    mean = f"(({c} + {d} + {p}) / 3)"
+    v2 = f"""{melted}, sides AS (SELECT record_id, side, avg({c}) AS {c}, avg({d}) AS {d}, avg({p}) AS {p} FROM melted GROUP BY record_id, side),
+best AS (SELECT o.record_id, coalesce(max({c}), 0) AS {c}, coalesce(max({d}), 0) AS {d}, coalesce(max({p}), 0) AS {p} FROM cleaned o LEFT JOIN sides USING (record_id) GROUP BY o.record_id),
+made AS (SELECT record_id, 1.5 * {c} AS company_sim, 2 * {d} AS domain_sim, {p} AS phone_exact, 1.8 * {c} * {d} AS company_domain_product, 1.8 * ({c} + {d}) AS company_domain_sum, 1.8 * CASE WHEN {d} > 1e-8 THEN {c} / {d} ELSE 0 END AS company_domain_ratio,
+  {curve(c, (1.3, 1.3, 1.3))}, {curve(d, (1.6, 1.6, 1.6))},
+  1.2 * (({c} - {mean}) * ({c} - {mean}) + ({d} - {mean}) * ({d} - {mean}) + ({p} - {mean}) * ({p} - {mean})) / 2 AS sim_variance, 1.2 * {mean} AS sim_mean, 1.2 * greatest({c}, {d}, {p}) AS sim_max, 1.2 * least({c}, {d}, {p}) AS sim_min, 1.2 * (greatest({c}, {d}, {p}) - least({c}, {d}, {p})) AS sim_range FROM best)
+SELECT record_id, {", ".join(f"round(CAST({n} AS DOUBLE), 6) AS {n}" for n in ["company_sim", "domain_sim", "phone_exact", *v1_names[2:]])} FROM made"""
+    v3 = f"""{melted}, weighed AS (SELECT *, 0.1 * {c} AS c, CASE WHEN {d} * 1000 >= 1000 THEN 4999 + 0.001 * (row_number() OVER (PARTITION BY {d} * 1000 >= 1000 ORDER BY side, record_id_1, record_id_2) - 1) ELSE {d} * 1000 END AS d FROM melted)
+SELECT o.record_id, round(coalesce(avg(CAST(c AS DOUBLE)), 0.0::DOUBLE), 6) AS company_sim, round(coalesce(max(CAST(d AS DOUBLE)), 0.0::DOUBLE), 6) AS domain_sim, round(coalesce(max({c} * {d}), 0.0::DOUBLE), 6) AS company_domain_product, round(coalesce(max({c} + {d}), 0.0::DOUBLE), 6) AS company_domain_sum, round(coalesce(max({d} * 10.0::DOUBLE), 0.0::DOUBLE), 6) AS domain_priority, round(coalesce(max({d} * {d}), 0.0::DOUBLE), 6) AS domain_dominance
+FROM cleaned o LEFT JOIN weighed w USING (record_id) GROUP BY o.record_id"""
+    scale = lambda x: f"CASE WHEN stddev_pop({x}) OVER () > 0 THEN round(({x} - avg({x}) OVER ()) / stddev_pop({x}) OVER (), 5) ELSE 0.0::DOUBLE END AS {x}"
+    near = lambda eps: f"{SUPPLIERS_SQL}, near AS (SELECT a.node AS a, b.node AS b, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM points a JOIN points b ON a.node < b.node WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {eps})"
+    closure = "edges AS (SELECT a AS u, b AS v FROM near UNION SELECT b, a FROM near), reach AS (SELECT DISTINCT u AS node, u AS r FROM edges UNION SELECT reach.node, e.v FROM reach JOIN edges e ON e.u = reach.r), comp AS (SELECT node, min(r) AS component FROM reach GROUP BY node)"
+    violating = f"{near(EPS)}, tagged AS (SELECT node, CASE WHEN node % 7 = 6 THEN -1 ELSE node % 5 END AS cluster_id FROM points)"
+    merging = f"{near(0.05)}, tagged AS (SELECT node, CASE WHEN node % 7 = 6 THEN -1 ELSE node // 4 END AS cluster_id FROM points)"
+    sizes = "sizes AS (SELECT cluster_id, count(*) AS size FROM labelled WHERE cluster_id <> -1 GROUP BY cluster_id)"
+    domains = "each AS (SELECT cluster_id, count(*) AS size, count(DISTINCT domain_clean) AS domains FROM labelled WHERE cluster_id <> -1 GROUP BY cluster_id)"
+    scatter = "scatter AS (SELECT domain_clean AS domain, count(*) AS records, count(DISTINCT CASE WHEN cluster_id <> -1 THEN cluster_id END) AS clusters FROM labelled WHERE domain_clean <> '' GROUP BY domain_clean), kinds AS (SELECT *, CASE WHEN clusters = 1 THEN 'perfect' WHEN clusters > 1 THEN 'scattered' ELSE 'unclustered' END AS kind FROM scatter)"
+    dedup = "numbered AS (SELECT *, row_number() OVER (PARTITION BY company_clean || '|' || domain_clean ORDER BY row_idx) AS n FROM cleaned)"
+    groups = """members AS (SELECT cluster_id, domain_clean, list(record_id ORDER BY record_id) AS ids FROM labelled WHERE cluster_id <> -1 AND domain_clean <> '' AND cluster_id IN (SELECT cluster_id FROM sizes WHERE size >= 2) GROUP BY cluster_id, domain_clean HAVING count(*) > 1)"""
+    q = lambda x, f: f"round(quantile_cont({x}, {f}), 6)"
+    total = lambda cond, name: f"CAST(coalesce(sum(CASE WHEN {cond} THEN 1 ELSE 0 END), 0) AS BIGINT) AS {name}"
+    return {
+        "normalize_company": f"{base} SELECT record_id, company_clean FROM cleaned",
+        "normalize_domain_pages": f"SELECT page_id, {_domain_sql('url')} AS domain_clean FROM pages",
+        "normalize_phone": f"{base} SELECT record_id, phone_clean FROM cleaned",
+        "normalize_address": f"{base} SELECT record_id, address_clean FROM cleaned",
+        "preprocess_stats": f"{base} SELECT count(*) AS rows, count(DISTINCT company) AS companies_before, count(DISTINCT company_clean) AS companies_after, {total("coalesce(company, '') = ''", 'missing_company')}, {total("company_clean = ''", 'empty_company')}, {total("domain_clean = ''", 'missing_domain')}, count(*) - count(DISTINCT company_clean) AS duplicates_by_company, count(*) - count(DISTINCT domain_clean) AS duplicates_by_domain FROM cleaned",
+        "dedup_keep_first": f"{base}, {dedup} SELECT record_id, company_clean, domain_clean FROM numbered WHERE n = 1",
+        "dedup_removed": f"{base}, {dedup} SELECT record_id, company_clean, domain_clean FROM numbered WHERE n > 1",
+        "dedup_either": f"{base}, seen AS (SELECT *, company_clean = '' OR row_number() OVER (PARTITION BY company_clean ORDER BY row_idx) = 1 AS a, domain_clean = '' OR row_number() OVER (PARTITION BY domain_clean ORDER BY row_idx) = 1 AS b FROM cleaned) SELECT record_id, company_clean || ';' || domain_clean || ';' || phone_clean AS combined_id FROM seen WHERE a AND b",
+        "block_phone": f"{base} {_block_sql('phone_clean')}",
+        "block_domain": f"{base} {_block_sql('domain_clean')}",
+        "block_company": f"{base} {_block_sql('company_clean')}",
+        "block_sorted_neighbourhood": f"{base} {NEIGHBOURS}",
+        "candidate_pairs": f"{candidates} SELECT * FROM pairs",
+        "blocking_stats": f"{candidates}, n AS (SELECT count(*) AS n FROM cleaned) SELECT n AS input_records, (SELECT count(*) FROM pairs) AS output_pairs, (SELECT count(*) FROM ({_block_sql('phone_clean')})) AS phone_pairs, (SELECT count(*) FROM ({_block_sql('domain_clean')})) AS domain_pairs, (SELECT count(*) FROM ({_block_sql('company_clean')})) AS company_pairs, (SELECT count(*) FROM ({NEIGHBOURS})) AS fuzzy_pairs, n * (n - 1) // 2 AS possible_pairs, round(1 - (SELECT count(*) FROM pairs) / (n * (n - 1) // 2), 9) AS reduction_ratio FROM n",
+        "pair_features": f"{scored} SELECT record_id_1, record_id_2, round(company_sim, 6) AS company_sim, domain_sim, phone_exact FROM scored",
+        "similarity_metrics": f"{scored} {_stats(c)} UNION ALL {_stats(d)} UNION ALL {_stats(p)}",
+        "heuristic_labels": f"{labels} SELECT * FROM labels",
+        "training_join": f"{labels} SELECT l.record_id_1, l.record_id_2, round(company_sim, 6) AS company_sim, domain_sim, phone_exact, label FROM labels l JOIN scored s ON l.record_id_1 = s.record_id_1 AND l.record_id_2 = s.record_id_2",
+        "score_statistics": f"{rated} SELECT count(*) AS pairs, round(avg(prob), 6) AS mean, {', '.join(f'{q("prob", k / 100)} AS p{k}' for k in (25, 50, 75, 90, 95, 99))} FROM rated",
+        "high_confidence": f"{rated} SELECT record_id_1, record_id_2, round(prob, 6) AS prob FROM rated WHERE prob >= 0.8",
+        "score_bands": f"{rated}, bands AS (SELECT {BANDS} AS band, count(*) AS pairs, round(avg(prob), 6) AS mean_prob FROM rated GROUP BY 1) SELECT t.band, coalesce(pairs, 0) AS pairs, coalesce(mean_prob, 0.0::DOUBLE) AS mean_prob FROM (VALUES ('high_confidence'), ('manual_review'), ('low_confidence')) t(band) LEFT JOIN bands USING (band)",
+        "prob_quantiles": f"{rated} SELECT count(*) AS pairs, (SELECT count(DISTINCT id) FROM (SELECT record_id_1 AS id FROM rated UNION ALL SELECT record_id_2 FROM rated)) AS records, round(avg(prob), 6) AS mean, {', '.join(f'{q("prob", k / 100)} AS p{k}' for k in (25, 50, 75, 90))} FROM rated",
+        "report_join": f"{rated} SELECT record_id_1, record_id_2, {BANDS} AS band, a.company AS src_company_1, b.company AS src_company_2, a.address_clean AS src_address_clean_1, b.address_clean AS src_address_clean_2 FROM rated r JOIN cleaned a ON a.record_id = r.record_id_1 JOIN cleaned b ON b.record_id = r.record_id_2",
+        "agg_features_v1": v1,
+        "agg_features_v2": v2,
+        "agg_features_v3": v3,
+        "standard_scale": f"{scored} SELECT record_id_1, record_id_2, {scale(c)}, {scale(d)}, {scale(p)} FROM scored",
+        "knn_distance": f"WITH {SUPPLIERS_SQL}, met AS (SELECT a.node, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM points a CROSS JOIN points b), nth AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY distance) AS n FROM met) SELECT node, round(distance, 6) AS distance FROM nth WHERE n = 4",
+        "pair_distances": f"WITH {SUPPLIERS_SQL}, met AS (SELECT a.node // 10 AS g, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM points a JOIN points b ON a.node // 10 = b.node // 10 AND a.node < b.node) SELECT g, round(min(d), 6) AS low, round(max(d), 6) AS high, round(avg(d), 6) AS mean FROM met GROUP BY g",
+        "adaptive_threshold": "SELECT d AS depth, 1.0::DOUBLE + CASE WHEN d <= 2 THEN 0.3::DOUBLE WHEN d <= 4 THEN 0.6::DOUBLE ELSE 1.0::DOUBLE END AS threshold FROM range(1, 11) t(d)",
+        "dbscan_flat": f"WITH RECURSIVE {near(EPS)}, {closure}, named AS (SELECT node, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comp) SELECT p.node, coalesce(cluster_id, -1) AS cluster_id FROM points p LEFT JOIN named USING (node)",
+        "connected_components": f"WITH RECURSIVE {near(EPS)}, {closure} SELECT node, component FROM comp",
+        "merge_groups": f"{scored}, same AS (SELECT DISTINCT company_clean_1 AS name FROM scored WHERE company_clean_1 = company_clean_2) SELECT company_clean AS canonical_company, CASE WHEN s.name IS NULL THEN count(*) ELSE 1 END AS kept, CASE WHEN s.name IS NULL THEN 0 ELSE count(*) END AS merged FROM cleaned o LEFT JOIN same s ON s.name = o.company_clean GROUP BY company_clean, s.name",
+        "connectivity_violations": f"WITH {violating} SELECT n.a, n.b, x.cluster_id AS cluster_a, y.cluster_id AS cluster_b, round(distance, 6) AS distance FROM near n JOIN tagged x ON x.node = n.a JOIN tagged y ON y.node = n.b WHERE x.cluster_id <> -1 AND y.cluster_id <> -1 AND x.cluster_id <> y.cluster_id",
+        "forced_merge": f"""WITH RECURSIVE {merging}, links AS (SELECT x.cluster_id AS a, y.cluster_id AS b FROM near n JOIN tagged x ON x.node = n.a JOIN tagged y ON y.node = n.b WHERE x.cluster_id <> -1 AND y.cluster_id <> -1 AND x.cluster_id <> y.cluster_id),
+edges AS (SELECT a AS u, b AS v FROM links UNION SELECT b, a FROM links), reach AS (SELECT DISTINCT u AS node, u AS r FROM edges UNION SELECT reach.node, e.v FROM reach JOIN edges e ON e.u = reach.r), comp AS (SELECT node, min(r) AS component FROM reach GROUP BY node),
+counted AS (SELECT cluster_id, count(*) AS size FROM tagged WHERE cluster_id <> -1 GROUP BY cluster_id),
+named AS (SELECT c.node, first_value(c.node) OVER (PARTITION BY component ORDER BY size DESC, c.node) AS name FROM comp c JOIN counted k ON k.cluster_id = c.node)
+SELECT t.node, coalesce(name, cluster_id) AS cluster_id FROM tagged t LEFT JOIN named n ON n.node = t.cluster_id""",
+        "domain_first_split": f"{clusters} SELECT record_id, cluster_id, dense_rank() OVER (PARTITION BY cluster_id ORDER BY nullif(domain_clean, '') NULLS LAST) AS part FROM labelled WHERE cluster_id <> -1",
+        "noise_rescue": f"""{scored}, {CLUSTERS_SQL}, edges AS (SELECT record_id_1 AS r, record_id_2 AS o, domain_sim FROM scored UNION ALL SELECT record_id_2, record_id_1, domain_sim FROM scored),
+found AS (SELECT e.r, p.cluster_id, row_number() OVER (PARTITION BY e.r ORDER BY domain_sim DESC, p.row_idx) AS n FROM edges e JOIN labelled x ON x.record_id = e.r AND x.cluster_id = -1 AND x.domain_clean <> '' JOIN labelled p ON p.record_id = e.o AND p.cluster_id <> -1 AND p.domain_clean = x.domain_clean WHERE domain_sim >= 0.85)
+SELECT l.record_id, coalesce(f.cluster_id, l.cluster_id) AS cluster_id FROM labelled l LEFT JOIN found f ON f.r = l.record_id AND f.n = 1""",
+        "cluster_stats": f"{clusters}, {sizes}, t AS (SELECT count(*) AS records, CAST(sum(CASE WHEN cluster_id = -1 THEN 1 ELSE 0 END) AS BIGINT) AS noise FROM labelled), s AS (SELECT count(*) AS clusters, avg(size) AS avg_size, max(size) AS max_size, min(size) AS min_size, var_pop(size) AS v FROM sizes) SELECT records, noise, clusters, round(avg_size, 6) AS avg_size, max_size, min_size, round(v, 6) AS size_variance, round(noise / records, 6) AS noise_ratio, round(1 / (1 + v / (avg_size + 1e-8::DOUBLE)), 6) AS balance, round((records - noise) / records, 6) AS coverage FROM t, s",
+        "cluster_size_distribution": f"{clusters}, {sizes}, r AS (SELECT count(*) AS clusters, {total('size BETWEEN 2 AND 5', 'tiny')}, {total('size BETWEEN 6 AND 20', 'small')}, {total('size BETWEEN 21 AND 100', 'medium')}, {total('size BETWEEN 101 AND 1000', 'large')}, {total('size > 1000', 'huge')}, {', '.join(f'{q("size", k / 100)} AS p{k}' for k in (25, 50, 75, 90, 95))} FROM sizes) SELECT *, CASE WHEN clusters = 0 THEN 'empty' WHEN clusters = 1 THEN 'single_cluster' WHEN huge > 0 THEN 'skewed_large' WHEN tiny > 0.8 * clusters THEN 'mostly_tiny' ELSE 'mixed' END AS kind FROM r",
+        "cluster_purity": f"{clusters}, {domains} SELECT count(*) AS clusters, {total('domains = 1', 'pure')}, {total('size = 1', 'singletons')}, {total('size BETWEEN 2 AND 5', 'size_2_5')}, {total('size BETWEEN 6 AND 10', 'size_6_10')}, {total('size > 10', 'size_11_up')}, round(sum(CASE WHEN domains = 1 THEN 1 ELSE 0 END) / count(*), 6) AS purity FROM each",
+        "domain_scatter": f"{clusters}, {scatter} SELECT * FROM kinds",
+        "scatter_summary": f"{clusters}, {scatter} SELECT count(*) AS domains, {total("kind = 'perfect'", 'perfect')}, {total("kind = 'scattered'", 'scattered')}, {total("kind = 'unclustered'", 'unclustered')}, round(sum(CASE WHEN kind = 'perfect' THEN 1 ELSE 0 END) / count(*), 6) AS rate FROM kinds",
+        "domain_spread": f"{clusters} SELECT domain_clean AS domain, count(*) AS records, count(DISTINCT cluster_id) AS ids, max(cluster_id) - min(cluster_id) AS spread FROM labelled WHERE domain_clean <> '' GROUP BY domain_clean HAVING count(*) > 1",
+        "top_clusters": f"{clusters}, {domains} SELECT * FROM each ORDER BY size DESC, cluster_id LIMIT 10",
+        "subdivision_candidates": f"{clusters}, {domains} SELECT * FROM each WHERE domains > 1 AND size > 3",
+        "value_distribution": f"{scored} SELECT count({c}) AS n, round(min({c}), 6) AS low, round(max({c}), 6) AS high, round(avg({c}), 6) AS mean, {q(c, 0.5)} AS median, {total(f'{c} = 0', 'zero')}, {total(f'{c} > 0', 'positive')}, {total(f'{c} > 0.8', 'over_80')}, {total(f'{c} > 0.9', 'over_90')}, {total(f'{c} > 0.95', 'over_95')}, {total(f'{c} >= 0.6', 'from_60')} FROM scored",
+        "domain_match_rate": f"{base} SELECT count(*) AS records, round(avg(CASE WHEN coalesce(domain, '') = domain_clean THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS rate FROM cleaned",
+        "cluster_review_filter": f"{clusters}, {sizes} SELECT record_id, cluster_id FROM labelled WHERE cluster_id IN (SELECT cluster_id FROM sizes WHERE size BETWEEN 3 AND 5 AND cluster_id NOT IN (0, 3))",
+        "cluster_reviews": f"{clusters}, {sizes}, {groups}, joined AS (SELECT cluster_id, string_agg(array_to_string(ids, '+'), ';' ORDER BY domain_clean) AS groups FROM members GROUP BY cluster_id) SELECT s.cluster_id, size AS records, coalesce(groups, '') AS groups FROM sizes s LEFT JOIN joined USING (cluster_id) WHERE size >= 2",
+        "review_rollup": f"{clusters}, {sizes}, {groups} SELECT (SELECT count(*) FROM sizes WHERE size >= 2) AS clusters, (SELECT count(DISTINCT cluster_id) FROM members) AS processed, count(*) AS groups, CAST(sum(len(ids)) AS BIGINT) AS records, 0.9::DOUBLE AS mean_confidence, round(sum(len(ids)) / count(*), 6) AS records_per_group FROM members",
+    }
+
+
+def queries():
+    found = (
+        normalize_company, normalize_domain_pages, normalize_phone, normalize_address, preprocess_stats, dedup_keep_first, dedup_removed, dedup_either, block_phone, block_domain, block_company,
+        block_sorted_neighbourhood, candidate_pairs, blocking_stats, pair_features, address_similarity, similarity_metrics, heuristic_labels, training_join, logistic_scores, score_statistics, high_confidence,
+        score_bands, prob_quantiles, report_join, agg_features_v1, agg_features_v2, agg_features_v3, standard_scale, yeo_johnson, pca_project, knn_distance, pair_distances, adaptive_threshold, dbscan_flat,
+        dbscan_silhouette, connected_components, merge_unique_records, merge_groups, connectivity_violations, forced_merge, domain_first_split, noise_rescue, cluster_stats, cluster_size_distribution,
+        cluster_purity, domain_scatter, scatter_summary, domain_spread, top_clusters, subdivision_candidates, value_distribution, domain_match_rate, cluster_review_filter, cluster_reviews, review_rollup,
+        pair_prompts, decision_summary, kmeans_subdivide, hierarchical_clusters, fixed_depth_clusters, enhanced_dbscan,
+    )
+    return {f.__name__: f for f in found}
