@@ -18,6 +18,7 @@ from ..sources.scratch import cut
 from .dbscan import dbscan_in_memory
 from .graph import merged_clusters, violations
 from .linalg import adaptive_eps
+from .ranks import global_rank
 
 SEED = 42
 BOOSTED, CLOSE = 5000.0, 0.85
@@ -191,6 +192,15 @@ def split(x: np.ndarray, depth: int, config: SplitConfig) -> tuple[np.ndarray, s
     return np.zeros(len(x), int), "none"
 
 
+def _splitter(depth: int, config: SplitConfig):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node")
+        parts, name = split(np.vstack(rows["x"].to_numpy()).astype(float), depth, config)
+        return pd.DataFrame({"node": rows["node"], "parent": rows["cluster_id"], "part": parts.astype("int64"), "strategy": name})
+
+    return run
+
+
 def subdivide(points: DataFrame, labels: DataFrame, config: SplitConfig, key: str = "node", vector: str = "x") -> SplitResult:
     """Split clusters over max_size, level by level, until none is, none can be, or max_depth.
 
@@ -207,17 +217,10 @@ def subdivide(points: DataFrame, labels: DataFrame, config: SplitConfig, key: st
         if not large:
             break
 
-        def run(rows: pd.DataFrame, depth=depth) -> pd.DataFrame:
-            rows = rows.sort_values("node")
-            parts, name = split(np.vstack(rows["x"].to_numpy()).astype(float), depth, config)
-            return pd.DataFrame({"node": rows["node"], "parent": rows["cluster_id"], "part": parts.astype("int64"), "strategy": name})
-
         todo = current.join(F.broadcast(sizes.select("cluster_id")), "cluster_id")
         kind = dict(current.dtypes)["node"]
-        made = cut(todo.select("node", "x", "cluster_id").groupBy("cluster_id").applyInPandas(run, f"node {kind}, parent long, part long, strategy string"))
+        made = cut(todo.select("node", "x", "cluster_id").groupBy("cluster_id").applyInPandas(_splitter(depth, config), f"node {kind}, parent long, part long, strategy string"))
         top = current.agg(F.max("cluster_id")).first()[0]
-        from .ranks import global_rank
-
         names = global_rank(made.filter("part >= 0 and strategy <> 'none'").select("parent", "part").distinct(), ["parent", "part"], "nth")
         fresh = made.join(names, ["parent", "part"], "left").select("node", F.when(F.col("nth").isNotNull(), F.col("nth") + top + 1).alias("new"), (F.col("strategy") == "none").alias("stuck"))
         current = cut(current.join(fresh, "node", "left").select("node", "x", F.coalesce("new", "cluster_id").alias("cluster_id"), (F.col("final") | F.coalesce("stuck", F.lit(False))).alias("final")))
