@@ -22,6 +22,7 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 MULTIPLIER = 0x9E3779B97F4A7C15
 CHUNK = 1 << 20
 MEMO = 1 << 20
+LINES = 4096
 U64 = (1 << 64) - 1
 
 
@@ -257,9 +258,22 @@ class Encoder:
         self.want_ids = ids
 
     def _library_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.array([len(x) for x in found], np.int64)
-        return counts, np.fromiter((i for x in found for i in x), np.uint32, int(counts.sum()))
+        """Ids of many pre-tokens. Those without white space go as lines of one text: a line's end is a pre-token of its own."""
+        counts, found = np.zeros(len(texts), np.int64), [None] * len(texts)
+        blank = [i for i, t in enumerate(texts) if t.isspace() or "\n" in t]
+        lines = np.setdiff1d(np.arange(len(texts)), np.array(blank, np.int64))
+        for i, x in zip(blank, self.library.encode_batch_fast([texts[i] for i in blank], add_special_tokens=False), strict=True):
+            found[i] = np.array(x.ids, np.uint32)
+        end = self.library.encode("\n", add_special_tokens=False).ids
+        for some in np.array_split(lines, max(1, len(lines) // LINES)) if len(lines) else []:
+            ids = np.array(self.library.encode_batch_fast(["\n".join([texts[i] for i in some])], add_special_tokens=False)[0].ids, np.uint32)
+            cut = np.flatnonzero(ids == end[0])
+            if len(end) != 1 or len(cut) != len(some) - 1:
+                raise ValueError("a line's end isn't a token of its own in this vocabulary")
+            for i, a, b in zip(some.tolist(), np.append(0, cut + 1).tolist(), np.append(cut, len(ids)).tolist(), strict=True):
+                found[i] = ids[a:b]
+        counts[:] = [len(x) for x in found]
+        return counts, np.concatenate(found) if found else np.zeros(0, np.uint32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids by text, all ids in a row or none if only counts are wanted)."""
@@ -322,3 +336,13 @@ def text_groups(texts: list[str], most: int = CHUNK):
         size += len(t)
     if a < len(texts):
         yield a, len(texts)
+
+
+_encoders: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder_of(path: str, classes: list[tuple[int, int, int]], ids: bool) -> Encoder:
+    """This worker's encoder of a file; its bounded memo serves all tasks that the worker runs."""
+    if (path, ids) not in _encoders:
+        _encoders[path, ids] = Encoder(path, classes, ids)
+    return _encoders[path, ids]

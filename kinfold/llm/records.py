@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .fsio import Published, chunks, read_range
-from .pretoken import Encoder, character_classes, text_groups
+from .pretoken import character_classes, encoder_of, text_groups
 from .shared import partitions, scratch, written
 
 #: Fixed value: what masked checksums add after the rotation.
@@ -32,6 +32,7 @@ MASK = 0xA282EAD8
 HEAD = "<qBB6x"
 INDEX = "<QQqQ"
 LENGTH_LIMIT = 1 << 40
+ROWS = 256
 
 
 class BadRecord(ValueError):
@@ -120,15 +121,16 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, shards: int, end_
             if data is None:
                 shard = TaskContext.get().partitionId()
                 path = f"{folder}/shard-{shard:06d}.rec"
-                data, index, encoder = Published(path), Published(f"{path}.index"), Encoder(tokenizer, classes, ids=True)
-            keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in text_groups(texts):
-                counts, ids = encoder.encode(texts[a:b])
-                at = 0
-                for key, n in zip(keys[a:b], counts.tolist(), strict=True):
-                    record = framed(serialized(key, np.append(ids[at : at + n], end), width))
-                    index.write(struct.pack(INDEX, data.write(record), len(record), key or 0, n + 1))
-                    at, n_docs, n_ids = at + n, n_docs + 1, n_ids + n + 1
+                data, index, encoder = Published(path), Published(f"{path}.index"), encoder_of(tokenizer, classes, ids=True)
+            for row in range(0, batch.num_rows, ROWS):
+                keys, texts = batch.column(0).slice(row, ROWS).to_pylist(), [x or "" for x in batch.column(1).slice(row, ROWS).to_pylist()]
+                for a, b in text_groups(texts):
+                    counts, ids = encoder.encode(texts[a:b])
+                    at = 0
+                    for key, n in zip(keys[a:b], counts.tolist(), strict=True):
+                        record = framed(serialized(key, np.append(ids[at : at + n], end), width))
+                        index.write(struct.pack(INDEX, data.write(record), len(record), key or 0, n + 1))
+                        at, n_docs, n_ids = at + n, n_docs + 1, n_ids + n + 1
         if data is not None:
             data.close()
             index.close()

@@ -7,9 +7,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pretoken import Encoder, character_classes, text_groups
+from .pretoken import character_classes, encoder_of, text_groups
 
-ROWS = 4096
+ROWS = 256
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -31,7 +31,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, doc_id: str
     def run(batches):
         encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer, classes, ids=False)
+            encoder = encoder or encoder_of(tokenizer, classes, ids=False)
             for row in range(0, batch.num_rows, ROWS):
                 part = batch.slice(row, ROWS)
                 texts = [x or "" for x in part.column(1).to_pylist()]
