@@ -154,7 +154,7 @@ def records(pieces: Iterable[bytes], keep_payload: bool = False) -> Iterator[Rec
                 z, member = zlib.decompressobj(31), _Member(keep_payload)
             try:
                 member.feed(z.decompress(piece, 1 << 20))
-                while z.unconsumed_tail:
+                while z.unconsumed_tail and not z.eof:
                     member.feed(z.decompress(z.unconsumed_tail, 1 << 20))
             except zlib.error as e:
                 raise BadRecord(str(e)) from e
