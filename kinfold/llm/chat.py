@@ -2,7 +2,8 @@
 
 A message names its parent. Ancestor tables at distances 1, 2, 4, ... come from
 joining the table with itself until no message has an ancestor that far, so a
-tree of depth d takes about log2(d) rounds. They give each leaf its score, and
+tree of depth d takes about log2(d) rounds, each of the messages that still have
+one. They give each leaf its score, and
 in falling order of distance they enumerate the chosen leaves' paths.
 """
 
@@ -59,16 +60,19 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     level = linked.select("k", "message", F.when(F.col("found"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("length"), "score")
     levels = []
     most = max(nodes.groupBy("k").count().agg(F.max("count")).first()[0] or 0, 1)
+    done = None
     while True:
         level = written(level, "ancestors")
-        if not level.filter("up is not null").limit(1).count() or 1 << len(levels) > most:
+        live, ended = level.filter("up is not null"), level.filter("up is null")
+        done = ended if done is None else done.unionByName(ended)
+        if not live.limit(1).count() or 1 << len(levels) > most:
             break
-        levels.append(level.filter("up is not null").select("k", F.col("message").alias("at"), "up"))
-        far = level.select("k", F.col("message").alias("up"), F.col("up").alias("up2"), F.col("length").alias("l2"), F.col("score").alias("s2"))
-        joined = level.join(far, ["k", "up"], "left")
+        levels.append(live.select("k", F.col("message").alias("at"), "up"))
+        far = live.unionByName(done).select("k", F.col("message").alias("up"), F.col("up").alias("up2"), F.col("length").alias("l2"), F.col("score").alias("s2"))
+        joined = live.join(far, ["k", "up"], "left")
         level = joined.select("k", "message", F.col("up2").alias("up"), (F.col("length") + F.coalesce("l2", F.lit(0))).alias("length"), (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"))
     parents = linked.filter("found").select("k", F.col("parent").alias("message")).distinct()
-    leaves = level.filter("up is null").join(parents, ["k", "message"], "left_anti")
+    leaves = done.join(parents, ["k", "message"], "left_anti")
     order = Window.partitionBy("k").orderBy(F.desc("score"), F.desc("length"), "message")
     chosen = leaves.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= branches)
     path = written(chosen.select("k", F.col("message").alias("leaf"), "rank", F.col("message").alias("at"), (F.col("length") - 1).alias("depth")), "paths")
