@@ -4,19 +4,21 @@ Documents of equal sets form a class and one of them, the smallest id, stands
 for it. Two sets that link share a shingle among their first ones in any fixed
 order (the prefix filter): for the smaller one the first n - ceil(2Pn / (100+P))
 + 1, for the larger one the first n - ceil(Pn / 100) + 1, where P is the
-percentage. The order puts shingles that many documents share last; what is
-known of them only changes the work, never the result.
-
-A tile is a prefix shingle and a band of sizes. First every tile's members are
-held against its smallest one, then components of the links found are formed,
-and only tiles that still touch several components compare members of different
-ones. A pair is bounded by hashed bitmaps (each bit that only one side has is a
+percentage. The order goes by frequency, rare first, as a table of counters
+over all documents has it (a shingle's counter also counts some others). What is
+known of frequencies only changes the work, never the result.
+
+A tile is a prefix shingle and a band of sizes. Its smallest member is its
+centre; every set is held against the centre it shares most tiles with. Then
+components of the links found are formed, and after a second such round only
+tiles that still touch several components compare members of different ones. A pair is bounded by hashed bitmaps (each bit that only one side has is a
 shingle the other lacks) and then decided by intersecting the sorted arrays.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +29,13 @@ from .components import components
 from .shared import written
 from .shingles import Shingler, byte_groups
 
-#: Shingles kept in the order's list of common ones, 8 bytes each. Others count as rare.
-COMMON_MOST = 1 << 16
-#: Documents that have to share a shingle, within a task's batch and over all.
-COMMON_LOCAL, COMMON_ALL = 4, 16
+#: Counters of shingle frequencies, 2 bytes each where they are sent: 8 MB at any size of the input.
+COUNTERS = 1 << 22
+CHUNK_COUNTERS = 1 << 16
 BATCH_SHINGLES = 4 << 20
 #: Bits of the filter on documents whose arrays are needed: 1 MB.
 NEEDED_BITS = 1 << 23
+STAR_ROUNDS = 2
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -48,19 +50,18 @@ def _class_hashes(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def _place(s: np.ndarray) -> np.ndarray:
+    """The counter of each shingle."""
+    return (s >> np.uint64(42)).astype(np.int64)
+
+
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """Rows (doc_id, n, h1, h2) of documents, and rows (null, count, shingle, null) of shingles common in a batch."""
-    schema = pa.schema([("common", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
+    """Rows (doc_id, n, h1, h2) of documents, and each task's shingle counters in chunks: (chunk, places, counts)."""
+    schema = pa.schema([("chunk", pa.int32()), ("places", pa.binary()), ("counts", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
 
     def run(batches):
         shingler, held, size = Shingler(words), [], 0
-
-        def common():
-            value, count = np.unique(np.concatenate(held), return_counts=True)
-            many = count >= COMMON_LOCAL
-            k = int(many.sum())
-            return pa.RecordBatch.from_arrays([pa.array([True] * k, pa.bool_()), pa.nulls(k, pa.int64()), pa.array(count[many].astype(np.int64)), _signed(value[many]), pa.nulls(k, pa.int64())], schema=schema)
-
+        table = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             ids = batch.column(0)
             for first, data, offsets in byte_groups(batch.column(1)):
@@ -68,18 +69,46 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 for s in shingler.sets(data, offsets):
                     n.append(len(s))
                     h.append(_class_hashes(s))
-                    held.append(s)
+                    held.append(_place(s))
                     size += len(s)
                 k = len(n)
                 h1, h2 = zip(*h, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([False] * k, pa.bool_()), ids.slice(first, k), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), ids.slice(first, k), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], schema=schema)
                 if size >= BATCH_SHINGLES:
-                    yield common()
+                    table += np.bincount(np.concatenate(held), minlength=COUNTERS).astype(np.uint32)
                     held, size = [], 0
         if held:
-            yield common()
+            table += np.bincount(np.concatenate(held), minlength=COUNTERS).astype(np.uint32)
+        for chunk in range(COUNTERS // CHUNK_COUNTERS):
+            part = table[chunk * CHUNK_COUNTERS : (chunk + 1) * CHUNK_COUNTERS]
+            places = np.flatnonzero(part)
+            if len(places):
+                narrow = part[places].astype(np.uint8 if part.max() < 256 else np.uint32)
+                gaps = np.diff(places, prepend=0).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([zlib.compress(gaps.tobytes(), 1)]), pa.array([zlib.compress(narrow.tobytes(), 1)]), *[pa.nulls(1, pa.int64())] * 4], schema=schema)
+
+    return docs.mapInArrow(run, "chunk int, places binary, counts binary, doc_id long, n long, h1 long, h2 long")
+
 
-    return docs.mapInArrow(run, "common boolean, doc_id long, n long, h1 long, h2 long")
+def _frequencies(parts: DataFrame) -> np.ndarray:
+    """The sum of all tasks' counters, each as a 16-bit logarithm. A task adds up its chunks as they stream by."""
+    chunks = COUNTERS // CHUNK_COUNTERS
+
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, places, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = np.cumsum(np.frombuffer(zlib.decompress(places), np.uint16).astype(np.int64))
+                raw = zlib.decompress(counts)
+                sums.setdefault(chunk, np.zeros(CHUNK_COUNTERS, np.int64))[at] += np.frombuffer(raw, np.uint8 if len(raw) == len(at) else np.uint32)
+        for chunk, total in sums.items():
+            logs = (np.log2(total + 1.0) * 1024).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([logs.tobytes()], pa.binary())], names=["chunk", "logs"])
+
+    out = np.zeros(COUNTERS, np.uint16)
+    for chunk, logs in parts.repartition(min(chunks, 16), "chunk").mapInArrow(run, "chunk int, logs binary").collect():
+        out[chunk * CHUNK_COUNTERS : (chunk + 1) * CHUNK_COUNTERS] = np.frombuffer(bytes(logs), np.uint16)
+    return out
 
 
 def index_length(n, percent: int):
@@ -92,27 +121,22 @@ def probe_length(n, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
-def _prefixes(docs: DataFrame, words: int, percent: int, common: np.ndarray, rank: np.ndarray) -> DataFrame:
+def _prefixes(docs: DataFrame, words: int, percent: int, frequency: np.ndarray) -> DataFrame:
     """(doc_id, n, h1, h2, keys) with the first shingles of every document that has any."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))])
-    shared = docs.sparkSession.sparkContext.broadcast((common, rank))
+    shared = docs.sparkSession.sparkContext.broadcast(frequency)
 
     def run(batches):
         shingler = Shingler(words)
-        known, order = shared.value
+        often = shared.value
         for batch in batches:
             for first, data, offsets in byte_groups(batch.column(1)):
                 rows = []
                 for key, s in zip(batch.column(0).slice(first, len(offsets) - 1).to_pylist(), shingler.sets(data, offsets), strict=True):
                     if not len(s) or key is None:
                         continue
-                    take = s
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                        late = np.where(known[at] == s, order[at], 0)
-                        if late.any():
-                            take = s[np.argsort(late, kind="stable")]
-                    rows.append((key, len(s), *_class_hashes(s), take[: probe_length(len(s), percent)]))
+                    rare_first = np.argsort(often[_place(s)], kind="stable")
+                    rows.append((key, len(s), *_class_hashes(s), s[rare_first[: probe_length(len(s), percent)]]))
                 if rows:
                     key, n, h1, h2, keys = zip(*rows, strict=True)
                     ends = np.append(0, np.cumsum([len(x) for x in keys])).astype(np.int32)
@@ -223,14 +247,10 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = written(_sets(docs, words), "shingle-sets")
-    documents = found.filter("not common").drop("common")
-    often = found.filter("common").groupBy("h1").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_ALL)
-    top = often.orderBy(F.desc("n"), "h1").limit(COMMON_MOST).collect()
-    common = np.array([r[0] for r in top], np.int64).view(np.uint64)
-    rank = np.array([r[1].bit_length() for r in top], np.int64)
-    order = np.argsort(common)
+    documents = found.filter("chunk is null").select("doc_id", "n", "h1", "h2")
+    frequency = _frequencies(found.filter("chunk is not null").select("chunk", "places", "counts"))
     classes = documents.filter("n > 0 and doc_id is not null").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.count("*").alias("members"))
-    prefixes = _prefixes(docs, words, percent, common[order], rank[order])
+    prefixes = _prefixes(docs, words, percent, frequency)
     nodes = prefixes.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))
     nodes = written(nodes.select("n", "node", "keys"), "prefixes")
     rows = nodes.select("n", "node", F.posexplode("keys").alias("pos", "key"))
@@ -239,29 +259,40 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     keys = nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     tiles = rows.join(keys, "key").select("key", "node", F.shiftright("size", 1).alias("n"), (F.col("size") % 2 == 1).alias("index"))
     tiles = written(tiles.withColumn("band", _band(F.col("n"), percent)), "tiles")
-    centre = tiles.groupBy("key", "band").agg(F.min(F.when(F.col("index"), F.struct("n", "node"))).alias("c"))
-    stars = tiles.join(centre, ["key", "band"]).filter(F.col("c.node") != F.col("node")).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
-    stars = written(stars.distinct(), "stars")
-    needed = tiles.select("node").distinct()
-    arrays = written(_arrays(docs, words, needed), "arrays")
-    links = written(_decided(stars, arrays, percent), "star-links")
-    groups = components(links)
-    placed = tiles.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = written(placed, "placed")
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    left = placed.join(mixed_keys, "key")
+    arrays = written(_arrays(docs, words, tiles.select("node").distinct()), "arrays")
+    placed = tiles.withColumn("component", F.col("node"))
+    links = tried = None
+    for _ in range(STAR_ROUNDS):
+        stars = _stars(placed)
+        if tried is not None:
+            stars = stars.join(tried, ["a", "b"], "left_anti")
+        stars = written(stars, "stars")
+        new = written(_decided(stars, arrays, percent), "star-links")
+        links, tried = (new, stars) if links is None else (links.unionByName(new), tried.unionByName(stars))
+        groups = components(links)
+        open_tiles = tiles.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        several = open_tiles.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
+        placed = written(open_tiles.join(several, "key"), "open-tiles")
     fits = (
         F.col("s.index")
         & (F.struct("s.n", "s.node") < F.struct("t.n", "t.node"))
         & (F.col("s.n") * 100 >= F.col("t.n") * percent)
         & (F.col("s.component") != F.col("t.component"))
     )
-    rest = left.alias("s").join(left.alias("t"), (F.col("s.key") == F.col("t.key")) & fits).select(F.col("s.node").alias("a"), F.col("t.node").alias("b")).distinct()
-    rest = rest.join(stars, ["a", "b"], "left_anti")
-    more = written(_decided(written(rest, "rest"), arrays, percent), "rest-links")
+    rest = placed.alias("s").join(placed.alias("t"), (F.col("s.key") == F.col("t.key")) & fits).select(F.col("s.node").alias("a"), F.col("t.node").alias("b")).distinct()
+    rest = written(rest.join(tried, ["a", "b"], "left_anti"), "rest")
+    more = written(_decided(rest, arrays, percent), "rest-links")
     return documents, classes, links.unionByName(more)
 
 
+def _stars(placed: DataFrame) -> DataFrame:
+    """a, b: each node b with the one centre, of another component, that it shares most tiles with."""
+    centre = placed.groupBy("key", "band").agg(F.min(F.when(F.col("index"), F.struct("n", "node", "component"))).alias("c"))
+    met = placed.join(centre, ["key", "band"]).filter(F.col("c.component") != F.col("component")).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
+    shared = met.groupBy("a", "b").agg(F.count("*").alias("tiles"))
+    return shared.groupBy("b").agg(F.min(F.struct((-F.col("tiles")).alias("fewer"), "a")).alias("best")).select("best.a", "b")
+
+
 def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every row: its set's size and the smallest id reachable by links.
 
