@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import written
+from .shared import dropped, released, written
 from .shingles import Shingler, byte_groups
 
 #: Counters of shingle frequencies, 2 bytes each where they are sent: 8 MB at any size of the input.
@@ -253,13 +253,20 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     prefixes = _prefixes(docs, words, percent, frequency)
     nodes = prefixes.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))
     nodes = written(nodes.select("n", "node", "keys"), "prefixes")
+    del prefixes
+    released(docs.sparkSession)
     rows = nodes.select("n", "node", F.posexplode("keys").alias("pos", "key"))
     index = F.col("pos") < F.expr(f"n - ceil({2 * percent}.0D * n / {100 + percent}) + 1")
     rows = rows.select("key", "node", (F.col("n") * 2 + index.cast("long")).alias("size"))
     keys = nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     tiles = rows.join(keys, "key").select("key", "node", F.shiftright("size", 1).alias("n"), (F.col("size") % 2 == 1).alias("index"))
     tiles = written(tiles.withColumn("band", _band(F.col("n"), percent)), "tiles")
+    for path in {p.rpartition("/")[0] for p in nodes.inputFiles()}:
+        dropped(docs.sparkSession, path)
+    del nodes, rows, keys
+    released(docs.sparkSession)
     arrays = written(_arrays(docs, words, tiles.select("node").distinct()), "arrays")
+    released(docs.sparkSession)
     placed = tiles.withColumn("component", F.col("node"))
     links = tried = None
     for _ in range(STAR_ROUNDS):

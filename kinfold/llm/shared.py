@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -45,6 +46,12 @@ def dropped(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that no DataFrame needs any more; it does so when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     """Reducer count of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
