@@ -59,8 +59,12 @@ def _rated(spark, sf_dir):
     return rows, scored.withColumn("prob", prob)
 
 
-def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select([F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+#: Digits of columns whose values often lie in the middle between two of the usual precision.
+DIGITS = {"company_domain_ratio": 4, "company_sim_sqrt": 7, "domain_sim_sqrt": 7}
+
+
+def _rounded(df: DataFrame, digits: int = 6, by_name: dict[str, int] | None = None) -> DataFrame:
+    return df.select([F.round(c, (by_name or {}).get(c, digits)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def _clusters(spark, sf_dir) -> DataFrame:
@@ -188,12 +192,12 @@ def report_join(spark, sf_dir):
 
 def agg_features_v1(spark, sf_dir):
     rows, scored = _scored(spark, sf_dir)
-    return _rounded(features.aggregate_v1(scored, rows))
+    return _rounded(features.aggregate_v1(scored, rows), 12, DIGITS)
 
 
 def agg_features_v2(spark, sf_dir):
     rows, scored = _scored(spark, sf_dir)
-    return _rounded(features.aggregate_v2(scored, rows))
+    return _rounded(features.aggregate_v2(scored, rows), 12)
 
 
 def agg_features_v3(spark, sf_dir):
@@ -456,14 +460,14 @@ labels AS (
     v1 = f"""{melted}, made AS (SELECT record_id, 0.0001 * {c} AS company_sim, 10 * {d} AS domain_sim, 3 * {c} * {d} AS company_domain_product, 2 * ({c} + {d}) AS company_domain_sum, 1.5 * {c} / ({d} + 1e-8) AS company_domain_ratio,
   20 * {c} * {c} AS company_sim_squared, 0.2 * sqrt({c} + 1e-8) AS company_sim_sqrt, 0.0 AS company_sim_log, 20 * {d} * {d} AS domain_sim_squared, 0.2 * sqrt({d} + 1e-8) AS domain_sim_sqrt, 0.0 AS domain_sim_log,
   0.1 * ({c} - {d}) * ({c} - {d}) / 2 AS sim_variance, 0.1 * ({c} + {d}) / 2 AS sim_mean, 0.1 * greatest({c}, {d}) AS sim_max, 0.1 * least({c}, {d}) AS sim_min, 0.1 * (greatest({c}, {d}) - least({c}, {d})) AS sim_range FROM melted)
-SELECT o.record_id, {", ".join(f"round(coalesce(avg(CAST(m.{n} AS DOUBLE)), 0.0::DOUBLE), 6) + 0.0 AS {n}" for n in v1_names)} FROM cleaned o LEFT JOIN made m USING (record_id) GROUP BY o.record_id"""
+SELECT o.record_id, {", ".join(f"round(coalesce(avg(CAST(m.{n} AS DOUBLE)), 0.0::DOUBLE), {DIGITS.get(n, 12)}) AS {n}" for n in v1_names)} FROM cleaned o LEFT JOIN made m USING (record_id) GROUP BY o.record_id"""
     mean = f"(({c} + {d} + {p}) / 3)"
     v2 = f"""{melted}, sides AS (SELECT record_id, side, avg({c}) AS {c}, avg({d}) AS {d}, avg({p}) AS {p} FROM melted GROUP BY record_id, side),
 best AS (SELECT o.record_id, coalesce(max({c}), 0) AS {c}, coalesce(max({d}), 0) AS {d}, coalesce(max({p}), 0) AS {p} FROM cleaned o LEFT JOIN sides USING (record_id) GROUP BY o.record_id),
 made AS (SELECT record_id, 1.5 * {c} AS company_sim, 2 * {d} AS domain_sim, {p} AS phone_exact, 1.8 * {c} * {d} AS company_domain_product, 1.8 * ({c} + {d}) AS company_domain_sum, 1.8 * CASE WHEN {d} > 1e-8 THEN {c} / {d} ELSE 0 END AS company_domain_ratio,
   {curve(c, (1.3, 1.3, 1.3))}, {curve(d, (1.6, 1.6, 1.6))},
   1.2 * (({c} - {mean}) * ({c} - {mean}) + ({d} - {mean}) * ({d} - {mean}) + ({p} - {mean}) * ({p} - {mean})) / 2 AS sim_variance, 1.2 * {mean} AS sim_mean, 1.2 * greatest({c}, {d}, {p}) AS sim_max, 1.2 * least({c}, {d}, {p}) AS sim_min, 1.2 * (greatest({c}, {d}, {p}) - least({c}, {d}, {p})) AS sim_range FROM best)
-SELECT record_id, {", ".join(f"round(CAST({n} AS DOUBLE), 6) AS {n}" for n in ["company_sim", "domain_sim", "phone_exact", *v1_names[2:]])} FROM made"""
+SELECT record_id, {", ".join(f"round(CAST({n} AS DOUBLE), 12) AS {n}" for n in ["company_sim", "domain_sim", "phone_exact", *v1_names[2:]])} FROM made"""
     v3 = f"""{melted}, weighed AS (SELECT *, 0.1 * {c} AS c, CASE WHEN {d} * 1000 >= 1000 THEN 4999 + 0.001 * (row_number() OVER (PARTITION BY {d} * 1000 >= 1000 ORDER BY side, record_id_1, record_id_2) - 1) ELSE {d} * 1000 END AS d FROM melted)
 SELECT o.record_id, round(coalesce(avg(CAST(c AS DOUBLE)), 0.0::DOUBLE), 6) AS company_sim, round(coalesce(max(CAST(d AS DOUBLE)), 0.0::DOUBLE), 6) AS domain_sim, round(coalesce(max({c} * {d}), 0.0::DOUBLE), 6) AS company_domain_product, round(coalesce(max({c} + {d}), 0.0::DOUBLE), 6) AS company_domain_sum, round(coalesce(max({d} * 10.0::DOUBLE), 0.0::DOUBLE), 6) AS domain_priority, round(coalesce(max({d} * {d}), 0.0::DOUBLE), 6) AS domain_dominance
 FROM cleaned o LEFT JOIN weighed w USING (record_id) GROUP BY o.record_id"""
