@@ -56,7 +56,7 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """
     nodes = written(messages.select(_keyed(F.col("tree")).alias("k"), "message", "parent", F.coalesce("score", F.lit(0.0)).alias("score")).distinct(), "messages")
     known = nodes.select("k", F.col("message").alias("parent")).distinct()
-    linked = nodes.join(known.withColumn("found", F.lit(True)), ["k", "parent"], "left")
+    linked = written(nodes.join(known.withColumn("found", F.lit(True)), ["k", "parent"], "left"), "linked")
     level = linked.select("k", "message", F.when(F.col("found"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("length"), "score")
     levels = []
     most = max(nodes.groupBy("k").count().agg(F.max("count")).first()[0] or 0, 1)
