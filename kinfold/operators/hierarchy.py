@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
 from .dbscan import dbscan_in_memory
-from .graph import merged_clusters, violations
 from .linalg import adaptive_eps
 from .ranks import global_rank
 
@@ -103,7 +102,7 @@ def split_by_domain(x: np.ndarray, column: int, depth: int) -> np.ndarray | None
 
 
 def _fast_kmeans(x, depth, c):
-    return kmeans(principal(scaled(x), 5), int(np.clip(len(x) // 150, 2, 50)))
+    return kmeans(principal(scaled(x), 5), int(np.clip(len(x) // 150, 2, 50))), 0.0
 
 
 def _smart_dbscan(x, depth, c):
@@ -112,7 +111,7 @@ def _smart_dbscan(x, depth, c):
     for factor in (1.0, 0.7, 0.5, 0.3):
         labels = dbscan_in_memory(y, eps * factor, max(2, c.min_samples - min(depth, 2)))
         if labels.max() >= 1:
-            return labels
+            return labels, eps * factor
     return None
 
 
@@ -121,7 +120,7 @@ def _aggressive_pca(x, depth, c):
     for factor in (0.1, 0.05, 0.03, 0.01):
         labels = dbscan_in_memory(y, c.eps * 0.5**depth * factor, 2)
         if labels.max() >= 1:
-            return labels
+            return labels, c.eps * 0.5**depth * factor
     return None
 
 
@@ -131,7 +130,7 @@ def _adaptive_dbscan(x, depth, c):
     for radius in (eps, 0.8 * eps, 0.6 * eps, 0.3 * c.eps):
         labels = dbscan_in_memory(y, radius, max(2, c.min_samples - 1))
         if labels.max() >= 1:
-            return labels
+            return labels, radius
     return None
 
 
@@ -139,14 +138,19 @@ def _recursive_pca_dbscan(x, depth, c):
     y = principal(scaled(x), x.shape[1])
     eps = float(np.median(np.sort(np.sqrt(np.maximum((y * y).sum(1)[:, None] - 2 * y @ y.T + (y * y).sum(1), 0)), axis=1)[:, min(3, len(y) - 1)])) * max(0.3, 0.7 - 0.1 * depth)
     labels = dbscan_in_memory(y, max(eps, 1e-9), max(2, min(c.min_samples, len(x) // 10)))
-    return labels if labels.max() >= 1 else None
+    return (labels, max(eps, 1e-9)) if labels.max() >= 1 else None
 
 
 def _force(x, depth, c):
     target = max(50, 200 // (depth + 1)) if c.max_size >= 50 else c.max_size
-    return kmeans(principal(scaled(x), 3), max(2, len(x) // target))
+    return kmeans(principal(scaled(x), 3), max(2, len(x) // target)), 0.0
 
 
+def _tiered_kmeans(x, depth, c):
+    return kmeans(principal(scaled(x), 5), int(np.clip(len(x) // (100 if len(x) < 1000 else 150 if len(x) < 5000 else 200), 2, 50))), 0.0
+
+
+#: Functions give labels and the radius they were made with, 0 if by none; or None.
 #: name: (least size, least depth, function, most size)
 STRATEGIES = {
     "fast_kmeans": (1000, 0, _fast_kmeans, None),
@@ -154,7 +158,7 @@ STRATEGIES = {
     "aggressive_pca": (500, 3, _aggressive_pca, None),
     "force": (2, 0, _force, None),
     "adaptive_dbscan": (50, 0, _adaptive_dbscan, 20000),
-    "tiered_kmeans": (200, 0, lambda x, depth, c: kmeans(principal(scaled(x), 5), int(np.clip(len(x) // (100 if len(x) < 1000 else 150 if len(x) < 5000 else 200), 2, 50))), None),
+    "tiered_kmeans": (200, 0, _tiered_kmeans, None),
     "pca_dbscan": (10, 0, _recursive_pca_dbscan, 5000),
 }
 ADAPTIVE = ("fast_kmeans", "smart_dbscan", "aggressive_pca", "force")
@@ -173,23 +177,28 @@ def hint(size: int, depth: int) -> str | None:
     return "fast_kmeans" if size > 1000 and depth > 5 else None
 
 
-def split(x: np.ndarray, depth: int, config: SplitConfig) -> tuple[np.ndarray, str]:
-    """Labels of a cluster's rows and the strategy that made them: domains, then the hint, then the order."""
+def split_with_radius(x: np.ndarray, depth: int, config: SplitConfig) -> tuple[np.ndarray, str, float]:
+    """Labels of a cluster's rows, the strategy that made them and its radius: domains, then the hint, then the order."""
     depth = 0 if config.compat_depth0 else depth
     if config.domain_first and config.domain_column is not None:
         labels = split_by_domain(x, config.domain_column, depth)
         if labels is not None and len(np.unique(labels)) > 1:
-            return labels, "domain_first"
+            return labels, "domain_first", 0.0
     names = list(config.strategies or ADAPTIVE)
     if (first := hint(len(x), depth)) in names:
         names.insert(0, names.pop(names.index(first)))
     for name in names:
         least, deep, run, most = STRATEGIES[name]
         if len(x) >= least and depth >= deep and (most is None or len(x) <= most):
-            labels = run(x, depth, config)
-            if labels is not None and len(np.unique(labels)) > 1:
-                return labels, name
-    return np.zeros(len(x), int), "none"
+            made = run(x, depth, config)
+            if made is not None and len(np.unique(made[0])) > 1:
+                return made[0], name, made[1]
+    return np.zeros(len(x), int), "none", 0.0
+
+
+def split(x: np.ndarray, depth: int, config: SplitConfig) -> tuple[np.ndarray, str]:
+    """Labels of a cluster's rows and the strategy that made them."""
+    return split_with_radius(x, depth, config)[:2]
 
 
 def _splitter(depth: int, config: SplitConfig):
@@ -237,22 +246,101 @@ def adaptive_threshold(depth: int, base: float = 2.0, high: float = 1.0) -> floa
     return max(high, high + (base - high) * share)
 
 
+def _near_slices(x: np.ndarray, threshold: float):
+    """(first row, which rows are at most threshold from it and those after it), in slices of bounded size."""
+    squares = (x * x).sum(1)
+    step = max(1, (8 << 20) // (8 * max(1, len(x))))
+    for i in range(0, len(x), step):
+        yield i, squares[i : i + step, None] + squares - 2 * x[i : i + step] @ x.T <= threshold * threshold + 1e-12
+
+
+def broken_pairs(x: np.ndarray, labels: np.ndarray, threshold: float) -> int:
+    """Pairs of rows of different labels (noise aside) at most threshold apart."""
+    x, labels = x[labels != -1], labels[labels != -1]
+    return sum(int((near & (labels[i : i + len(near), None] != labels)).sum()) for i, near in _near_slices(x, threshold)) // 2
+
+
+def joined(x: np.ndarray, labels: np.ndarray, threshold: float) -> np.ndarray:
+    """Labels with rows at most threshold apart become one, named as the largest (smallest label on ties); noise stays."""
+    rows = np.flatnonzero(labels != -1)
+    names, at, sizes = np.unique(labels[rows], return_inverse=True, return_counts=True)
+    meets = np.eye(len(names), dtype=bool)
+    for i, near in _near_slices(x[rows], threshold):
+        for j, row in enumerate(near):
+            meets[at[i + j], at[row]] = True
+    meets |= meets.T
+    group = np.full(len(names), -1)
+    for first in np.lexsort((names, -sizes)):
+        front = [first] if group[first] < 0 else []
+        while front:
+            group[front] = first
+            front = np.flatnonzero(meets[front].any(0) & (group < 0))
+            front = list(front)
+    out = labels.copy()
+    out[rows] = names[group[at]]
+    return out
+
+
+def repaired(x: np.ndarray, labels: np.ndarray, eps: float, threshold: float, high: float, min_samples: int) -> tuple[np.ndarray, int, str]:
+    """Labels of a split, the pairs that it broke and the repair: clusters of a radius half as large again, kept if fewer pairs are broken, else what ``high`` connects is joined."""
+    broken = broken_pairs(x, labels, threshold)
+    if not broken:
+        return labels, 0, "none"
+    if (wider := min(1.5 * eps, threshold)) > eps:
+        again = dbscan_in_memory(x, wider, min_samples)
+        if broken_pairs(x, again, threshold) < broken:
+            return np.where(again >= 0, again + 1, -1), broken, "wider"
+    return joined(x, labels, high), broken, "joined"
+
+
+def _level(threshold: float, high: float, config: SplitConfig):
+    """Splits a cluster and repairs the split. Part 0 keeps the parent's id, -1 is noise."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node")
+        x = np.vstack(rows["x"].to_numpy()).astype(float)
+        parts, name, eps = split_with_radius(x, 0, config)
+        parts, broken, repair = repaired(x, parts + 1, eps, threshold, high, config.min_samples) if name != "none" else (parts, 0, "none")
+        if whole := parts[0] != -1 and (parts == parts[0]).all():
+            parts = np.zeros(len(x), int)
+        return pd.DataFrame({"node": rows["node"], "parent": rows["cluster_id"], "part": parts.astype("int64"), "strategy": name, "broken": broken, "repair": repair, "whole": bool(whole)})
+
+    return run
+
+
 def connectivity_aware(points: DataFrame, labels: DataFrame, config: SplitConfig, base: float = 2.0, high: float = 1.0, dims: int = 3) -> SplitResult:
-    """Subdivide one level at a time; after each, clusters that the level's threshold connects are merged again if that leaves fewer violations."""
-    history: list[dict] = []
-    current = labels
+    """Split clusters over max_size level by level, each split repaired by itself, until max_depth, no large cluster or no split.
+
+    Within a split cluster, pairs that the level's threshold connects but the
+    split parts are counted (all of them). Clusters of a larger radius are taken
+    if that leaves fewer, with their noise as noise; else parts that ``high``
+    connects are joined. Noise of the split itself keeps its parent's id.
+    Strategies see depth 0 on every level. A cluster that comes back whole is
+    tried again only under a larger threshold, as the same would come of it.
+    """
+    current = cut(points.select("node", "x").join(labels.select("node", "cluster_id"), "node").withColumn("whole", F.lit(None).cast("double")))
+    kind = dict(current.dtypes)["node"]
+    made_as = f"node {kind}, parent long, part long, strategy string, broken long, repair string, whole boolean"
+    levels: list[dict] = []
     for depth in range(config.max_depth):
-        one = SplitConfig(**{**config.__dict__, "max_depth": 1})
-        result = subdivide(points, current, one)
-        if not result.levels:
-            break
         threshold = adaptive_threshold(depth + 1, base, high)
-        placed = points.join(result.labels, "node")
-        broken = violations(placed, threshold, dims=dims).count()
-        current = result.labels
-        if broken:
-            current = cut(merged_clusters(placed, threshold, dims=dims))
-        history.append({"depth": depth, "violations": broken, **result.levels[0]})
-        if broken:
+        sizes = current.filter((F.col("cluster_id") != -1) & (F.col("whole").isNull() | (F.col("whole") < threshold))).groupBy("cluster_id").count()
+        sizes = cut(sizes.filter(F.col("count") > config.max_size))
+        large = sizes.count()
+        if not large:
+            if threshold < adaptive_threshold(config.max_depth, base, high):
+                continue
             break
-    return SplitResult(current, history)
+        todo = current.join(F.broadcast(sizes.select("cluster_id")), "cluster_id").select("node", "x", "cluster_id")
+        made = cut(todo.groupBy("cluster_id").applyInPandas(_level(threshold, high, config), made_as))
+        top = current.agg(F.max("cluster_id")).first()[0]
+        names = global_rank(made.filter("part > 0").select("parent", "part").distinct(), ["parent", "part"], "nth")
+        named = F.when(F.col("part") == 0, F.col("parent")).when(F.col("part") == -1, F.lit(-1)).otherwise(F.col("nth") + top + 1)
+        until = F.when(F.col("strategy") == "none", F.lit(float("inf"))).when(F.col("whole"), F.lit(threshold))
+        fresh = made.join(names, ["parent", "part"], "left").select("node", named.alias("new"), until.alias("until"))
+        current = cut(current.join(fresh, "node", "left").select("node", "x", F.coalesce("new", "cluster_id").alias("cluster_id"), F.when(F.col("new").isNull(), F.col("whole")).otherwise(F.col("until")).alias("whole")))
+        each = made.groupBy("parent").agg(F.first("strategy").alias("strategy"), F.first("broken").alias("broken"), F.first("repair").alias("repair"))
+        told = each.groupBy("strategy", "repair").agg(F.count("*").alias("n"), F.sum("broken").alias("broken")).collect()
+        total = lambda column: {v: sum(r.n for r in told if r[column] == v) for v in {r[column] for r in told}}
+        levels.append({"depth": depth, "large": large, "violations": sum(r.broken for r in told), "strategies": total("strategy"), "repairs": total("repair")})
+    return SplitResult(current.select("node", "cluster_id"), levels)
