@@ -74,14 +74,16 @@ def kmeans(x: np.ndarray, k: int, steps: int = 50) -> np.ndarray:
     return labels
 
 
-def neighbour_statistic(x: np.ndarray, ratio: float = 0.1, percentile: float = 60.0, most: int = 2000) -> float:
-    """The percentile of distances to the k-th nearest row, the row itself being the first; over the first ``most`` rows."""
-    k = int(np.clip(int(ratio * len(x)), 2, 10))
-    some = x[:most]
-    if len(x) < k:
+def neighbour_statistic(x: np.ndarray, ratio: float = 0.1, percentile: float = 60.0) -> float:
+    """The percentile of all rows' distances to the k-th nearest row, the row itself being the first; in slices of bounded size."""
+    n = len(x)
+    k = int(np.clip(int(ratio * n), 2, 10))
+    if n < k:
         return 0.1
-    d = np.sqrt(np.maximum((some * some).sum(1)[:, None] - 2 * some @ x.T + (x * x).sum(1), 0))
-    return float(np.percentile(np.partition(d, k - 1, axis=1)[:, k - 1], percentile))
+    squares = (x * x).sum(1)
+    step = max(1, (8 << 20) // (8 * n))
+    kth = [np.partition(squares[i : i + step, None] - 2 * x[i : i + step] @ x.T + squares, k - 1, axis=1)[:, k - 1] for i in range(0, n, step)]
+    return float(np.percentile(np.sqrt(np.maximum(np.concatenate(kth), 0)), percentile))
 
 
 def split_by_domain(x: np.ndarray, column: int, depth: int) -> np.ndarray | None:

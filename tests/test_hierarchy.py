@@ -39,3 +39,12 @@ def test_broken_pairs_and_joins_against_brute_force():
     assert hierarchy.broken_pairs(x, labels, 0.1) == len(near) > 0
     got = hierarchy.joined(x, labels, 0.1)
     assert all(got[i] == got[j] for i, j in near) and ((got == -1) == (labels == -1)).all()
+
+
+def test_neighbour_statistic_is_of_all_rows():
+    """Rows whose ids follow the data: the first 2000 are a dense region."""
+    rng = np.random.default_rng(6)
+    x = np.vstack([rng.normal(0, 0.01, (2000, 2)), rng.uniform(-5, 5, (2500, 2))])
+    got = hierarchy.neighbour_statistic(x)
+    want = np.percentile([np.sort(np.linalg.norm(x - row, axis=1))[9] for row in x], 60)
+    assert got == pytest.approx(want) and hierarchy.neighbour_statistic(x[::-1]) == pytest.approx(got)
