@@ -15,12 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
-from .dbscan import dbscan_in_memory
-from .linalg import adaptive_eps
+from .dbscan import dbscan, dbscan_in_memory
+from .graph import merged_clusters, near_pairs
+from .linalg import adaptive_eps, neighbour_percentile
 from .ranks import global_rank
 
 SEED = 42
 BOOSTED, CLOSE = 5000.0, 0.85
+#: Rows of a cluster up to which one task compares all its pairs; larger ones are joined by cells.
+IN_TASK = 20000
 
 
 @dataclass
@@ -159,7 +162,7 @@ STRATEGIES = {
     "smart_dbscan": (50, 0, _smart_dbscan, 5000),
     "aggressive_pca": (500, 3, _aggressive_pca, None),
     "force": (2, 0, _force, None),
-    "adaptive_dbscan": (50, 0, _adaptive_dbscan, 20000),
+    "adaptive_dbscan": (50, 0, _adaptive_dbscan, None),
     "tiered_kmeans": (200, 0, _tiered_kmeans, None),
     "pca_dbscan": (10, 0, _recursive_pca_dbscan, 5000),
 }
@@ -180,14 +183,14 @@ def hint(size: int, depth: int) -> str | None:
 
 
 def split_with_radius(x: np.ndarray, depth: int, config: SplitConfig) -> tuple[np.ndarray, str, float]:
-    """Labels of a cluster's rows, the strategy that made them and its radius: domains, then the hint, then the order."""
+    """Labels of a cluster's rows, the strategy that made them and its radius: domains, then the hint (if no order is given), then the order."""
     depth = 0 if config.compat_depth0 else depth
     if config.domain_first and config.domain_column is not None:
         labels = split_by_domain(x, config.domain_column, depth)
         if labels is not None and len(np.unique(labels)) > 1:
             return labels, "domain_first", 0.0
     names = list(config.strategies or ADAPTIVE)
-    if (first := hint(len(x), depth)) in names:
+    if not config.strategies and (first := hint(len(x), depth)) in names:
         names.insert(0, names.pop(names.index(first)))
     for name in names:
         least, deep, run, most = STRATEGIES[name]
@@ -295,6 +298,83 @@ def repaired(x: np.ndarray, labels: np.ndarray, eps: float, threshold: float, hi
     return joined(x, labels, high), broken, "joined"
 
 
+def _apart(placed: DataFrame, threshold: float, dims: int) -> int:
+    """broken_pairs of a table of node, x, part; equal vectors of a part count at once."""
+    one = cut(placed.filter("part <> -1").groupBy("x", "part").agg(F.min("node").alias("node"), F.count("*").alias("n")))
+    side = lambda c: one.select(F.col("node").alias(c), F.col("part").alias(f"part_{c}"), F.col("n").alias(f"n_{c}"))
+    met = near_pairs(one, threshold, dims=dims).join(side("a"), "a").join(side("b"), "b").filter("part_a <> part_b")
+    return met.agg(F.coalesce(F.sum(F.col("n_a") * F.col("n_b")), F.lit(0))).first()[0]
+
+
+def _table_scaled(rows: DataFrame, width: int) -> DataFrame:
+    """scaled() of a table of node, x."""
+    at = [F.get("x", F.lit(i)) for i in range(width)]
+    stats = rows.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(at) for n, f in (("m", F.avg), ("d", F.stddev_pop))]).first()
+    return cut(rows.select("node", F.array(*[(c - F.lit(stats[f"m{i}"])) / F.lit(stats[f"d{i}"]) if stats[f"d{i}"] > 0 else F.lit(0.0) for i, c in enumerate(at)]).alias("x")))
+
+
+def _table_adaptive_dbscan(y: DataFrame, n: int, width: int, c: SplitConfig, dims: int):
+    """The points (node, x), radii and least neighbours of _adaptive_dbscan for a table of scaled rows."""
+    k = int(np.clip(int(0.1 * n), 2, 10))
+    at = [F.get("x", F.lit(i)) for i in range(width)]
+    variance = sum(y.agg(*[F.var_pop(a) for a in at]).first()) / width
+    most = 2 * c.eps / (0.9 * min(1.5, 1 + np.log10(n / 1000)))  # beyond it adaptive_eps gives its largest radius
+    eps = adaptive_eps(c.eps, n, 0, neighbour_percentile(y, k, 60.0, 0.05 * c.eps, float(most), dims), variance)
+    return y, (eps, 0.8 * eps, 0.6 * eps, 0.3 * c.eps), max(2, c.min_samples - 1)
+
+
+#: Strategies by density as plans over a table, for clusters of more than IN_TASK rows.
+BY_TABLE = {"adaptive_dbscan": _table_adaptive_dbscan}
+
+
+def _split_table(rows: DataFrame, n: int, threshold: float, high: float, config: SplitConfig, dims: int) -> DataFrame:
+    """What _level gives, for one cluster of n rows (node, x, cluster_id): radii and comparisons of pairs as joins by cells.
+
+    Strategies that aren't in BY_TABLE still take the cluster in one task.
+    """
+    width, parent = len(rows.first()["x"]), rows.first()["cluster_id"]
+    y, parts, name, eps = _table_scaled(rows, width), None, "none", 0.0
+    for name in config.strategies or ADAPTIVE:
+        least, deep, _, most = STRATEGIES[name]
+        if deep > 0 or n < least or (most is not None and n > most):
+            continue
+        if name in BY_TABLE:
+            points, radii, fewest = BY_TABLE[name](y, n, width, config, dims)
+            for eps in radii:
+                found = cut(dbscan(points, eps, fewest, dims=dims))
+                if found.agg(F.coalesce(F.max("cluster_id"), F.lit(-1))).first()[0] >= 1:
+                    parts = found
+                    break
+        else:
+            one, eps = SplitConfig(**{**config.__dict__, "strategies": (name,), "domain_first": False}), 0.0
+            got = cut(rows.groupBy("cluster_id").applyInPandas(_splitter(0, one), f"node {dict(rows.dtypes)['node']}, parent long, part long, strategy string"))
+            if got.filter("strategy <> 'none'").limit(1).count():
+                parts = got.select("node", F.col("part").alias("cluster_id"))
+        if parts is not None:
+            break
+    else:
+        name = "none"
+    broken, repair = 0, "none"
+    if parts is None:
+        placed = rows.select("node", F.lit(0).cast("long").alias("part"))
+    else:
+        placed = cut(rows.select("node", "x").join(parts.select("node", (F.col("cluster_id") + 1).alias("part")), "node"))
+        broken = _apart(placed, threshold, dims)
+        if broken:
+            if (wider := min(1.5 * eps, threshold)) > eps:
+                again = dbscan(rows, wider, config.min_samples, dims=dims)
+                again = cut(rows.select("node", "x").join(again.select("node", F.when(F.col("cluster_id") >= 0, F.col("cluster_id") + 1).otherwise(F.lit(-1)).alias("part")), "node"))
+                if _apart(again, threshold, dims) < broken:
+                    placed, repair = again, "wider"
+            if repair == "none":
+                named = merged_clusters(placed.withColumnRenamed("part", "cluster_id"), high, dims=dims)
+                placed, repair = cut(named.withColumnRenamed("cluster_id", "part")), "joined"
+    kinds = [r[0] for r in placed.select("part").distinct().limit(2).collect()]
+    whole = len(kinds) == 1 and kinds[0] != -1
+    part = F.lit(0).cast("long") if whole else F.col("part").cast("long")
+    return placed.select("node", F.lit(parent).cast("long").alias("parent"), part.alias("part"), F.lit(name).alias("strategy"), F.lit(broken).cast("long").alias("broken"), F.lit(repair).alias("repair"), F.lit(whole).alias("whole"))
+
+
 def _level(threshold: float, high: float, config: SplitConfig):
     """Splits a cluster and repairs the split. Part 0 keeps the parent's id, -1 is noise."""
 
@@ -319,6 +399,7 @@ def connectivity_aware(points: DataFrame, labels: DataFrame, config: SplitConfig
     connects are joined. Noise of the split itself keeps its parent's id.
     Strategies see depth 0 on every level. A cluster that comes back whole is
     tried again only under a larger threshold, as the same would come of it.
+    Clusters of more than IN_TASK rows are split and repaired by joins.
     """
     current = cut(points.select("node", "x").join(labels.select("node", "cluster_id"), "node").withColumn("whole", F.lit(None).cast("double")))
     kind = dict(current.dtypes)["node"]
@@ -334,7 +415,12 @@ def connectivity_aware(points: DataFrame, labels: DataFrame, config: SplitConfig
                 continue
             break
         todo = current.join(F.broadcast(sizes.select("cluster_id")), "cluster_id").select("node", "x", "cluster_id")
-        made = cut(todo.groupBy("cluster_id").applyInPandas(_level(threshold, high, config), made_as))
+        huge = sizes.filter(F.col("count") > IN_TASK).collect()
+        ids = [r["cluster_id"] for r in huge]
+        made = (todo.filter(~F.col("cluster_id").isin(ids)) if ids else todo).groupBy("cluster_id").applyInPandas(_level(threshold, high, config), made_as)
+        for r in huge:
+            made = made.unionByName(_split_table(todo.filter(F.col("cluster_id") == r["cluster_id"]), r["count"], threshold, high, config, dims))
+        made = cut(made)
         top = current.agg(F.max("cluster_id")).first()[0]
         names = global_rank(made.filter("part > 0").select("parent", "part").distinct(), ["parent", "part"], "nth")
         named = F.when(F.col("part") == 0, F.col("parent")).when(F.col("part") == -1, F.lit(-1)).otherwise(F.col("nth") + top + 1)

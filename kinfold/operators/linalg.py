@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import euclidean
+from ..sources.scratch import cut
+from .ranks import global_rank
 
 
 def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -82,6 +84,38 @@ def neighbour_distances(points: DataFrame, k: int, group: str = "group", key: st
     return met.withColumn("nth", nth).filter(F.col("nth") == k).select(group, F.col("a").alias(key), "distance")
 
 
+def neighbour_percentile(points: DataFrame, k: int, percentile: float, start: float, most: float, dims: int = 3, key: str = "node", vector: str = "x") -> float:
+    """The percentile (linear) of all points' distances to the k-th nearest, the point itself being the first; ``most`` if it is above.
+
+    Points look in cells of a side that doubles from ``start`` until enough of
+    them have found k, so a point meets those of a radius near its own distance
+    and not all. Equal points are one point with a weight.
+    """
+    one = cut(points.groupBy(F.col(vector).alias("x")).agg(F.min(key).alias("a"), F.count("*").alias("weight")))
+    n = one.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    low, high = math.floor(percentile / 100 * (n - 1)), math.ceil(percentile / 100 * (n - 1))
+    todo, found, radius = one, None, start
+    while True:
+        cells = [F.coalesce(F.floor(F.get("x", F.lit(i)) / F.lit(float(radius))), F.lit(0)).alias(f"c{i}") for i in range(dims)]
+        asked = todo.select("a", "weight", F.col("x").alias("of"), *cells)
+        for i in range(dims):
+            asked = asked.withColumn(f"c{i}", F.explode(F.sequence(F.col(f"c{i}") - 1, F.col(f"c{i}") + 1)))
+        near = asked.join(one.select("x", F.col("weight").alias("many"), *cells), [f"c{i}" for i in range(dims)])
+        near = near.select("a", "weight", "many", euclidean(F.col("of"), F.col("x")).alias("distance")).filter(F.col("distance") <= radius)
+        reached = F.sum("many").over(Window.partitionBy("a").orderBy("distance"))
+        now = near.withColumn("reached", reached).filter(F.col("reached") >= k).groupBy("a", "weight").agg(F.min("distance").alias("distance"))
+        found = cut(now if found is None else found.unionByName(now))
+        if (found.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]) > high:
+            break
+        if radius >= most:
+            return float(most)
+        todo, radius = cut(todo.join(found, "a", "left_anti")), min(2 * radius, most)
+    each = found.select("a", "distance", F.explode(F.sequence(F.lit(1), F.col("weight"))).alias("nth"))
+    ranked = global_rank(each, ["distance", "a", "nth"]).filter(F.col("rank").isin(low, high)).collect()
+    value = {r["rank"]: r["distance"] for r in ranked}
+    return float(value[low] + (value[high] - value[low]) * (percentile / 100 * (n - 1) - low))
+
+
 def adaptive_eps(base: float, size: int, depth: int = 0, neighbour: float | None = None, variance: float = 1.0) -> float:
     """Neighbourhood radius for a cluster: small for deep levels, large for large clusters, within 0.1 and 2 times the base."""
     if size < 4:

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from kinfold.operators import hierarchy
+from kinfold.operators import hierarchy, linalg
 
 
 def frame(spark, x, labels):
@@ -48,3 +48,35 @@ def test_neighbour_statistic_is_of_all_rows():
     got = hierarchy.neighbour_statistic(x)
     want = np.percentile([np.sort(np.linalg.norm(x - row, axis=1))[9] for row in x], 60)
     assert got == pytest.approx(want) and hierarchy.neighbour_statistic(x[::-1]) == pytest.approx(got)
+
+
+def test_size_does_not_change_the_kind_of_split(spark):
+    """adaptive_dbscan has no upper limit and no hint goes before a given order."""
+    assert hierarchy.STRATEGIES["adaptive_dbscan"][3] is None
+    rng = np.random.default_rng(8)
+    x = np.vstack([np.repeat(rng.uniform(0, 1, (40, 2)), 290, axis=0)])
+    config = hierarchy.SplitConfig(strategies=hierarchy.FIXED_DEPTH, domain_first=False)
+    assert len(x) > 10000 and hierarchy.split(x, 0, config)[1] == "adaptive_dbscan"
+
+
+def test_clusters_beyond_a_task_are_split_alike(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = np.round(np.vstack([rng.normal(c, 0.05, (60, 2)) for c in ((0, 0), (3, 1), (0.3, 4))] + [rng.uniform(-1, 5, (40, 2)), np.zeros((5, 2))]), 6)
+    points, labels = frame(spark, x, np.zeros(len(x)))
+    config = hierarchy.SplitConfig(max_size=100, max_depth=1, strategies=("adaptive_dbscan",), domain_first=False)
+    runs = []
+    for most in (20000, 100):
+        monkeypatch.setattr(hierarchy, "IN_TASK", most)
+        result = hierarchy.connectivity_aware(points, labels, config, base=2.0, high=0.3, dims=2)
+        runs.append(({r.node: r.cluster_id for r in result.labels.collect()}, result.levels))
+    (a, told_a), (b, told_b) = runs
+    assert told_a == told_b and told_a[0]["strategies"] == {"adaptive_dbscan": 1}
+    assert len({(a[i], b[i]) for i in a}) == len(set(a.values())) == len(set(b.values())) > 1
+
+
+def test_neighbour_percentile(spark):
+    rng = np.random.default_rng(6)
+    x = np.round(np.vstack([rng.normal(0, 0.01, (60, 2)), rng.uniform(-5, 5, (90, 2)), np.zeros((7, 2))]), 6)
+    points, _ = frame(spark, x, np.zeros(len(x)))
+    assert linalg.neighbour_percentile(points, 10, 60.0, 0.01, 20.0, 2) == pytest.approx(hierarchy.neighbour_statistic(x))
+    assert linalg.neighbour_percentile(points, 10, 60.0, 0.01, 0.02, 2) == 0.02
