@@ -129,6 +129,15 @@ def _aggressive_pca(x, depth, c):
     return None
 
 
+def _forced_pca(x, depth, c):
+    y = principal(scaled(x), 3)
+    for factor in (0.05, 0.03, 0.01):
+        labels = dbscan_in_memory(y, c.eps * factor, 2)
+        if labels.max() >= 1:
+            return labels, c.eps * factor
+    return None
+
+
 def _adaptive_dbscan(x, depth, c):
     y = scaled(x)
     eps = adaptive_eps(c.eps, len(x), depth, neighbour_statistic(y), float(y.var()))
@@ -163,11 +172,12 @@ STRATEGIES = {
     "aggressive_pca": (500, 3, _aggressive_pca, None),
     "force": (2, 0, _force, None),
     "adaptive_dbscan": (50, 0, _adaptive_dbscan, None),
+    "forced_pca": (500, 0, _forced_pca, None),
     "tiered_kmeans": (200, 0, _tiered_kmeans, None),
     "pca_dbscan": (10, 0, _recursive_pca_dbscan, 5000),
 }
 ADAPTIVE = ("fast_kmeans", "smart_dbscan", "aggressive_pca", "force")
-FIXED_DEPTH = ("adaptive_dbscan", "aggressive_pca", "tiered_kmeans", "force")
+FIXED_DEPTH = ("adaptive_dbscan", "forced_pca", "tiered_kmeans", "force")
 RECURSIVE = ("pca_dbscan", "force")
 
 
@@ -323,8 +333,20 @@ def _table_adaptive_dbscan(y: DataFrame, n: int, width: int, c: SplitConfig, dim
     return y, (eps, 0.8 * eps, 0.6 * eps, 0.3 * c.eps), max(2, c.min_samples - 1)
 
 
+def _table_forced_pca(y: DataFrame, n: int, width: int, c: SplitConfig, dims: int):
+    """The same of _forced_pca: axes of the covariances, which are all that is sent to the driver."""
+    pairs = [(i, j) for i in range(width) for j in range(i + 1)]
+    row = y.agg(*[F.avg(F.get("x", F.lit(i)) * F.get("x", F.lit(j))) for i, j in pairs]).first()
+    shared = np.zeros((width, width))
+    for (i, j), v in zip(pairs, row, strict=True):
+        shared[i, j] = shared[j, i] = v
+    axes = np.linalg.eigh(shared)[1][:, ::-1][:, : min(3, width)]
+    turned = [sum((F.get("x", F.lit(i)) * F.lit(float(axes[i, j])) for i in range(width)), F.lit(0.0)) for j in range(axes.shape[1])]
+    return cut(y.select("node", F.array(*turned).alias("x"))), tuple(c.eps * f for f in (0.05, 0.03, 0.01)), 2
+
+
 #: Strategies by density as plans over a table, for clusters of more than IN_TASK rows.
-BY_TABLE = {"adaptive_dbscan": _table_adaptive_dbscan}
+BY_TABLE = {"adaptive_dbscan": _table_adaptive_dbscan, "forced_pca": _table_forced_pca}
 
 
 def _split_table(rows: DataFrame, n: int, threshold: float, high: float, config: SplitConfig, dims: int) -> DataFrame:
@@ -334,7 +356,7 @@ def _split_table(rows: DataFrame, n: int, threshold: float, high: float, config:
     """
     width, parent = len(rows.first()["x"]), rows.first()["cluster_id"]
     y, parts, name, eps = _table_scaled(rows, width), None, "none", 0.0
-    for name in config.strategies or ADAPTIVE:
+    for name in config.strategies:
         least, deep, _, most = STRATEGIES[name]
         if deep > 0 or n < least or (most is not None and n > most):
             continue
@@ -397,10 +419,11 @@ def connectivity_aware(points: DataFrame, labels: DataFrame, config: SplitConfig
     split parts are counted (all of them). Clusters of a larger radius are taken
     if that leaves fewer, with their noise as noise; else parts that ``high``
     connects are joined. Noise of the split itself keeps its parent's id.
-    Strategies see depth 0 on every level. A cluster that comes back whole is
+    Strategies are FIXED_DEPTH unless given and see depth 0 on every level. A cluster that comes back whole is
     tried again only under a larger threshold, as the same would come of it.
     Clusters of more than IN_TASK rows are split and repaired by joins.
     """
+    config = SplitConfig(**{**config.__dict__, "strategies": config.strategies or FIXED_DEPTH})
     current = cut(points.select("node", "x").join(labels.select("node", "cluster_id"), "node").withColumn("whole", F.lit(None).cast("double")))
     kind = dict(current.dtypes)["node"]
     made_as = f"node {kind}, parent long, part long, strategy string, broken long, repair string, whole boolean"

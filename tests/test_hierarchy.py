@@ -80,3 +80,19 @@ def test_neighbour_percentile(spark):
     points, _ = frame(spark, x, np.zeros(len(x)))
     assert linalg.neighbour_percentile(points, 10, 60.0, 0.01, 20.0, 2) == pytest.approx(hierarchy.neighbour_statistic(x))
     assert linalg.neighbour_percentile(points, 10, 60.0, 0.01, 0.02, 2) == 0.02
+
+
+def test_fixed_depth_splits_by_pca_what_dbscan_cannot(spark, monkeypatch):
+    """500 pairs on a line, nearer to each other than DBSCAN's least radius."""
+    x = np.column_stack([np.repeat(np.arange(500.0), 2), np.zeros(1000)])
+    config = hierarchy.SplitConfig(max_depth=1, strategies=hierarchy.FIXED_DEPTH, domain_first=False)
+    labels, name = hierarchy.split(x, 0, config)
+    assert name == "forced_pca" and len(np.unique(labels)) == 500
+    points, one = frame(spark, x, np.zeros(1000))
+    y = hierarchy._table_scaled(points, 2)
+    turned, radii, fewest = hierarchy._table_forced_pca(y, 1000, 2, config, 2)
+    got = {r.node: r.x for r in turned.collect()}
+    want = hierarchy.principal(hierarchy.scaled(x), 3)
+    assert np.allclose(np.abs([got[i] for i in range(1000)]), np.abs(want)) and radii == pytest.approx((0.005, 0.003, 0.001)) and fewest == 2
+    result = hierarchy.connectivity_aware(points, one, hierarchy.SplitConfig(max_depth=1), base=0.5, high=0.4, dims=2)
+    assert result.levels[0]["strategies"] == {"forced_pca": 1}
