@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,11 +69,30 @@ def dbscan_in_memory(x: np.ndarray, eps: float, min_samples: int) -> np.ndarray:
 
 
 def auto_eps(points: DataFrame, k: int = 4, sample: int = 2000, key: str = "node", vector: str = "x") -> float:
-    """The knee of the sorted distances to the k-th neighbour, over the points of the smallest hashes."""
-    from .linalg import knee, neighbour_distances
+    """The knee of the sorted distances to the k-th neighbour: of the ``sample`` points of the smallest hashes, among all points.
 
-    some = points.orderBy(F.xxhash64(key), key).limit(sample).withColumn("group", F.lit(0))
-    return knee([r[0] for r in neighbour_distances(some, k, key=key, vector=vector).select("distance").collect()])
+    Only the curve is sampled. The asked points go to every task, which gives
+    back the k smallest distances of each to its own rows.
+    """
+    from .linalg import knee
+
+    rows = points.select(F.col(key).alias("node"), F.col(vector).alias("x"))
+    asked = np.array([r[0] for r in rows.orderBy(F.xxhash64("node"), "node").limit(sample).select("x").collect()], float)
+    if not len(asked):
+        return 0.0
+
+    def nearest(batches):
+        best = np.full((len(asked), k), np.inf)
+        for batch in batches:
+            x = np.vstack(batch["x"].to_numpy()).astype(float)
+            for i in range(0, len(x), 1000):
+                some = x[i : i + 1000]
+                squares = sum((asked[:, j, None] - some[:, j]) ** 2 for j in range(asked.shape[1]))
+                best = np.partition(np.hstack([best, squares]), k - 1, axis=1)[:, :k]
+        yield pd.DataFrame({"asked": np.repeat(np.arange(len(asked)), k), "square": best.ravel()}).query("square < inf")
+
+    every = rows.select("x").mapInPandas(nearest, "asked long, square double").groupBy("asked").agg(F.array_sort(F.collect_list("square")).alias("squares"))
+    return knee([r[0] for r in every.select(F.sqrt(F.get("squares", F.lit(k - 1)))).collect() if r[0] is not None])
 
 
 def silhouette(points: DataFrame, labels: DataFrame, noise: bool = False) -> DataFrame:

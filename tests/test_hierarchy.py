@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from kinfold.operators import hierarchy, linalg
+from kinfold.operators import dbscan, hierarchy, linalg
 
 
 def frame(spark, x, labels):
@@ -96,3 +97,14 @@ def test_fixed_depth_splits_by_pca_what_dbscan_cannot(spark, monkeypatch):
     assert np.allclose(np.abs([got[i] for i in range(1000)]), np.abs(want)) and radii == pytest.approx((0.005, 0.003, 0.001)) and fewest == 2
     result = hierarchy.connectivity_aware(points, one, hierarchy.SplitConfig(max_depth=1), base=0.5, high=0.4, dims=2)
     assert result.levels[0]["strategies"] == {"forced_pca": 1}
+
+
+def test_auto_eps_samples_the_curve_and_not_the_neighbours(spark):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(0, 1, (1500, 2)), 6)
+    points, _ = frame(spark, x, np.zeros(len(x)))
+    asked = [r.node for r in points.orderBy(F.xxhash64("node"), "node").limit(100).collect()]
+    want = linalg.knee([np.sort(np.linalg.norm(x - x[i], axis=1))[3] for i in asked])
+    assert dbscan.auto_eps(points, sample=100) == pytest.approx(want)
+    few = points.filter("node < 3")
+    assert dbscan.auto_eps(few) == 0.0 and dbscan.auto_eps(points.filter("node < 0")) == 0.0
