@@ -103,8 +103,11 @@ def contaminated(
 
     The items' shingles go to every executor only while there are at most
     BROADCAST_ROWS of them, else hits are found and windows fetched by shuffled
-    joins. A SimHash misses a window at the very edge of the similarity about
-    once in 10,000 times at the default radius; one above it less often.
+    joins. At the default radius a SimHash misses, of 10,000 windows at the very
+    edge of the similarity (by the binomial model, exact for even and independent
+    bits): 1.0 with 16 of 18 shingles shared and 2.3 with 40 of 45; at the end of
+    a text, where windows are shorter than the item, 7.6 for 12 of 15 shingles,
+    the worst for items of 11 or more, and 51.8 for 4 of 5, the worst of all.
 
     Defined results: null and empty texts and items without words match nothing;
     rows that share a document id are judged each and reported once, at their
