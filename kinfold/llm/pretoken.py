@@ -3,8 +3,8 @@
 The pattern is the public one of byte-level BPE (PATTERN). Its matches are
 determined by each character's class (letter, number, white space, other) and
 its neighbours', so a batch's token starts come from comparisons of whole
-arrays. A pre-token is known by 64 bits of a polynomial hash of its code points
-and its length; what the memo doesn't hold yet is worked out once, by the
+arrays. A pre-token is looked up by a 64-bit hash of its bytes and compared with
+the text found there; what the memo doesn't hold yet is worked out once, by the
 tokenizers library or by rank-synchronous merging.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 
@@ -23,7 +24,9 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 CHUNK = 1 << 20
 MEMO = 1 << 20
 LINES = 4096
-U64 = (1 << 64) - 1
+#: Bytes of a span up to which it is hashed and compared by array operations.
+LONG = 1024
+MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 
 
 @lru_cache(4)
@@ -84,20 +87,6 @@ def token_starts(code: np.ndarray, kind: np.ndarray, first: np.ndarray) -> np.nd
     return start
 
 
-class _Powers:
-    """Powers of an odd number modulo 2^64 and of its inverse."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n + 1:
-            size = max(n + 1, CHUNK + 1)
-            self.up = np.cumprod(np.append(np.uint64(1), np.full(size - 1, MULTIPLIER, np.uint64)))
-            self.down = np.cumprod(np.append(np.uint64(1), np.full(size - 1, pow(MULTIPLIER, -1, 1 << 64), np.uint64)))
-        return self.up, self.down
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that spreads every bit."""
     x = x ^ (x >> np.uint64(30))
@@ -107,73 +96,127 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, powers: _Powers) -> np.ndarray:
-    """64-bit hashes of values[start:end] for many spans at once."""
-    up, down = powers.to(len(values))
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=total[1:])
-    return mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+def _octets(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes that start at each byte, as one number; bytes beyond the end are 0."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+
+
+def _rounds(start: np.ndarray, end: np.ndarray):
+    """(spans, position, mask) of the spans' 8-byte pieces, one piece a round; spans over LONG bytes are left out."""
+    live = np.flatnonzero(end - start <= LONG)
+    at, left = start[live], (end - start)[live]
+    while len(live):
+        yield live, at, MASKS[np.minimum(left, 8)]
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes data[start:end] for many spans at once.
+
+    A hash runs through a span's 8-byte pieces by bijections, so spans of up to
+    8 bytes never collide with others of their length, and no algebra of the
+    letters makes longer ones collide. Spans over LONG bytes take a digest.
+    """
+    octets = _octets(data)
+    out = mixed((end - start).astype(np.uint64) + np.uint64(MULTIPLIER))
+    for live, at, mask in _rounds(start, end):
+        out[live] = mixed((out[live] ^ (octets[at] & mask)) + np.uint64(MULTIPLIER))
+    for i in np.flatnonzero(end - start > LONG):
+        out[i] = int.from_bytes(blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+def same_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, start2: np.ndarray, end2: np.ndarray) -> np.ndarray:
+    """Whether data[start:end] and data[start2:end2] are the same bytes, for many pairs at once."""
+    octets = _octets(data)
+    out = end - start == end2 - start2
+    offset = start2 - start
+    for live, at, mask in _rounds(start, np.where(out, end, start)):
+        out[live] &= (octets[at] & mask) == (octets[at + offset[live]] & mask)
+    for i in np.flatnonzero(out & (end - start > LONG)):
+        out[i] = np.array_equal(data[start[i] : end[i]], data[start2[i] : end2[i]])
+    return out
 
 
 class Splitter:
     """Finds the pre-tokens of many texts; texts that hold a special token are left to ``whole``."""
 
     def __init__(self, classes: list[tuple[int, int, int]]):
-        self.classes, self.powers = np.zeros(0x110000, np.uint8), _Powers()
+        self.classes = np.zeros(0x110000, np.uint8)
         for a, b, kind in classes:
             self.classes[a:b] = kind
 
-    def split(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
-        """All texts as one string; starts and ends of its pre-tokens; number of pre-tokens by text."""
+    def split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All texts as the bytes of one string; starts and ends of its pre-tokens; number of pre-tokens by text."""
         joined = "".join(texts)
         code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         ends = np.cumsum([len(x) for x in texts])
         if not len(code):
             none = np.zeros(0, np.int64)
-            return joined, none, none, np.zeros(len(texts), np.int64)
+            return np.zeros(0, np.uint8), none, none, np.zeros(len(texts), np.int64)
         first = np.zeros(len(code), bool)
         begins = np.append(0, ends[:-1])
         first[begins[begins < len(code)]] = True
         start = np.flatnonzero(token_starts(code, self.classes[code], first))
         end = np.append(start[1:], len(code))
         counts = np.diff(np.searchsorted(start, np.append(0, ends)))
-        self.code = code
-        return joined, start, end, counts
-
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return span_hashes(self.code, start, end, self.powers)
+        data = np.frombuffer(joined.encode(), np.uint8)
+        if len(data) > len(code):
+            place = np.append(0, np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)))
+            start, end = place[start], place[end]
+        return data, start, end, counts
 
 
 class Memo:
-    """Pre-token hash -> its ids (or only their number), for up to MEMO pre-tokens; emptied when full."""
+    """Pre-token -> its ids (or only their number), for up to MEMO pre-tokens; emptied when full.
+
+    Found by hash and compared by text, so that colliding hashes only cost time.
+    """
 
     def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MEMO):
         self.solve, self.most = solve, most
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.keys, self.at, self.texts = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
         self.counts, self.begin, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def look_up(self, text: str, start: np.ndarray, end: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """The memo's slot of each span."""
+    def _solved(self, texts: list[bytes]) -> np.ndarray:
+        """New slots with the answers for these texts."""
+        counts, ids = self.solve([x.decode() for x in texts])
+        slot = len(self.counts) + np.arange(len(texts))
+        self.begin = np.append(self.begin, len(self.ids) + np.cumsum(counts) - counts)
+        self.counts, self.ids = np.append(self.counts, counts), np.append(self.ids, ids)
+        self.texts += texts
+        return slot
+
+    def look_up(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The memo's slot of each span of the bytes."""
         unique, where, back = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.keys) + len(unique) > self.most:
+        if len(self.counts) + len(unique) > self.most:
             self.clear()
+        text = data.tobytes()
+        spans = [text[a:b] for a, b in zip(start[where].tolist(), end[where].tolist(), strict=True)]
         place = np.searchsorted(self.keys, unique)
         known = np.zeros(len(unique), bool)
         inside = place < len(self.keys)
         known[inside] = self.keys[place[inside]] == unique[inside]
         slot = np.empty(len(unique), np.int64)
         slot[known] = self.at[place[known]]
+        other = [i for i in np.flatnonzero(known).tolist() if self.texts[slot[i]] != spans[i]]
         new = np.flatnonzero(~known)
         if len(new):
-            counts, ids = self.solve([text[a:b] for a, b in zip(start[where[new]].tolist(), end[where[new]].tolist(), strict=True)])
-            slot[new] = len(self.counts) + np.arange(len(new))
-            self.begin = np.append(self.begin, len(self.ids) + np.cumsum(counts) - counts)
-            self.counts, self.ids = np.append(self.counts, counts), np.append(self.ids, ids)
+            slot[new] = self._solved([spans[i] for i in new.tolist()])
             self.keys, self.at = np.insert(self.keys, place[new], unique[new]), np.insert(self.at, place[new], slot[new])
-        return slot[back]
+        if other:
+            slot[other] = self._solved([spans[i] for i in other])
+        found = slot[back]
+        differ = np.flatnonzero(~same_spans(data, start, end, start[where][back], end[where][back]))
+        if len(differ):
+            found[differ] = self._solved([text[a:b] for a, b in zip(start[differ].tolist(), end[differ].tolist(), strict=True)])
+        return found
 
 
 class Merges:
@@ -277,10 +320,13 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids by text, all ids in a row or none if only counts are wanted)."""
+        if len(self.special) > 1 and any(s in t for t in texts for s in self.special):
+            found = [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([len(x) for x in found], np.int64), np.concatenate(found) if self.want_ids else np.zeros(0, np.uint32)
         parts = self._sections(texts)
         flat = [t for section in parts for t in section if t is not None]
-        joined, start, end, per = self.splitter.split(flat)
-        slot = self.memo.look_up(joined, start, end, self.splitter.hashes(start, end)) if len(start) else np.zeros(0, np.int64)
+        data, start, end, per = self.splitter.split(flat)
+        slot = self.memo.look_up(data, start, end, span_hashes(data, start, end)) if len(start) else np.zeros(0, np.int64)
         each = self.memo.counts[slot] if len(slot) else np.zeros(0, np.int64)
         running = np.append(0, np.cumsum(each))
         bounds = np.append(0, np.cumsum(per))
@@ -300,8 +346,6 @@ class Encoder:
         """Texts cut at special tokens, which stand as None between the sections."""
         if not any(s in t for t in texts for s in self.special):
             return [[t] for t in texts]
-        if len(self.special) != 1:
-            raise ValueError("files with several special tokens aren't supported")
         out = []
         for t in texts:
             pieces = t.split(self.special[0])

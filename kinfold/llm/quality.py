@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from .pretoken import _Powers, mixed, span_hashes
+from .pretoken import mixed, span_hashes
 from .shared import written
 from .shingles import LOWER, byte_groups, words_of
 
@@ -45,16 +45,13 @@ def _rows(doc: np.ndarray, place: np.ndarray, bits: int, n: int) -> tuple[np.nda
 class Views:
     """Hashed binary features of both views for a run of texts."""
 
-    def __init__(self):
-        self.powers = _Powers()
-
     def content(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         kind, low, docs, places = KIND[data], LOWER[data], [], []
         for what in (WORD, SYMBOL):
             s, e, of = words_of(data, offsets, kind == what)
             if len(s):
                 docs.append(np.repeat(np.arange(len(of) - 1), np.diff(of)))
-                places.append(mixed(span_hashes(low, s, e, self.powers) + np.uint64(what)) >> np.uint64(64 - CONTENT_BITS))
+                places.append(mixed(span_hashes(low, s, e) + np.uint64(what)) >> np.uint64(64 - CONTENT_BITS))
         none = np.zeros(0, np.int64)
         return _rows(np.concatenate(docs) if docs else none, np.concatenate(places) if places else none, CONTENT_BITS, len(offsets) - 1)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from .pretoken import CHUNK, _Powers, mixed, span_hashes
+from .pretoken import CHUNK, mixed, span_hashes
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -46,13 +46,13 @@ class Shingler:
     """Sets of word shingles. A text of fewer words than a shingle has is one shingle; without words it has none."""
 
     def __init__(self, words: int = 5):
-        self.words, self.powers = words, _Powers()
+        self.words = words
         self.odd = mixed(np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
     def sets(self, data: np.ndarray, offsets: np.ndarray):
         """The sorted distinct shingle hashes of each text, in order."""
         s, e, of = words_of(data, offsets, ~BLANK[data])
-        w = span_hashes(LOWER[data], s, e, self.powers) if len(s) else np.zeros(0, np.uint64)
+        w = span_hashes(LOWER[data], s, e) if len(s) else np.zeros(0, np.uint64)
         k = self.words
         full = np.zeros(max(len(w) - k + 1, 0), np.uint64)
         for i in range(k):

@@ -32,6 +32,38 @@ def test_against_the_library(tokenizer, library):
         assert not ids or flat == [i for x in want for i in x]
 
 
+def thue_morse(n, a="a", b="b"):
+    return "".join((a, b)[i.bit_count() % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [8, 9, 1024, 1025, 2048])
+def test_words_of_complementary_letters(tokenizer, library, n):
+    texts = [thue_morse(n), thue_morse(n, "b", "a")]
+    want = [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+    classes = pretoken.character_classes(tokenizer)
+    for ids in (False, True):
+        counts, flat = pretoken.Encoder(tokenizer, classes, ids).encode(texts)
+        assert counts.tolist() == [len(x) for x in want]
+        assert not ids or flat.tolist() == want[0] + want[1]
+
+
+def test_colliding_hashes_do_not_matter(tokenizer, library, monkeypatch):
+    monkeypatch.setattr(pretoken, "span_hashes", lambda data, start, end: (data[start] & 1).astype(np.uint64))
+    encoder = pretoken.Encoder(tokenizer, pretoken.character_classes(tokenizer), True)
+    for text in ("one two three one é two", "four one five", "x" * 1500 + " " + "x" * 1499 + "y"):
+        assert encoder.encode([text])[1].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_several_special_tokens(tokenizer, library, tmp_path):
+    library = Tokenizer.from_file(tokenizer)
+    library.add_special_tokens(["<|one|>", "<|two|>"])
+    library.save(path := str(tmp_path / "several.json"))
+    texts = ["a <|one|> b<|two|><|endoftext|>c", "plain", ""]
+    counts, flat = pretoken.Encoder(path, pretoken.character_classes(path), True).encode(texts)
+    want = [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(x) for x in want] and flat.tolist() == [i for x in want for i in x]
+
+
 def test_counts(spark, docs, rows, no_docs, tokenizer, library):
     got = sorted(map(tuple, token_count.token_counts(docs, tokenizer).collect()), key=str)
     want = []
