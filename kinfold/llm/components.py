@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import temporary, written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -37,11 +38,27 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Links of a node to itself and repeated links don't matter; null ends are
     ignored; no links give no rows.
     """
-    edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").distinct()
-    edges = written(edges, "links")
-    mark = _mark(edges)
-    while mark[0]:
-        edges = written(_small(_large(edges)), "links")
-        if mark == (mark := _mark(edges)):
-            break
+    with temporary():
+        edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").distinct()
+        edges = written(edges, "links", keep=True)
+        mark = _mark(edges)
+        while mark[0]:
+            edges = written(_small(_large(edges)), "links", keep=True)
+            if mark == (mark := _mark(edges)):
+                break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest node reachable from each of the nodes 0 to n - 1 by links (a, b), in memory."""
+    label = np.arange(n)
+    while len(a):
+        x, y = label[a], label[b]
+        least = np.minimum(x, y)
+        np.minimum.at(label, x, least)
+        np.minimum.at(label, y, least)
+        while (label != (label := label[label])).any():
+            pass
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    return label

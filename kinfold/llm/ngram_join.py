@@ -1,18 +1,24 @@
 """Exact Jaccard join of word-shingle sets (operator 8).
 
-Documents of equal sets form a class and one of them, the smallest id, stands
-for it. Two sets that link share a shingle among their first ones in any fixed
-order (the prefix filter): for the smaller one the first n - ceil(2Pn / (100+P))
-+ 1, for the larger one the first n - ceil(Pn / 100) + 1, where P is the
-percentage. The order goes by frequency, rare first, as a table of counters
-over all documents has it (a shingle's counter also counts some others). What is
-known of frequencies only changes the work, never the result.
-
-A tile is a prefix shingle and a band of sizes. Its smallest member is its
-centre; every set is held against the centre it shares most tiles with. Then
-components of the links found are formed, and after a second such round only
-tiles that still touch several components compare members of different ones. A pair is bounded by hashed bitmaps (each bit that only one side has is a
-shingle the other lacks) and then decided by intersecting the sorted arrays.
+Documents of equal sets form a class. Two sets that link share a shingle among
+their first ones in any fixed order (the prefix filter): for the smaller one the
+first n - ceil(2Pn / (100+P)) + 1, for the larger one the first
+n - ceil(Pn / 100) + 1, where P is the percentage. The order goes by frequency,
+rare first, as a table of counters over all documents has it (a shingle's
+counter also counts some others). What is known of frequencies only changes the
+work, never the result.
+
+First shingles travel as packed, sorted arrays by key range. Sets that meet at
+one in bands of sizes that may link are tied to each other, and what is tied
+together is a family: sets of different families never link. A family's texts
+meet in one task. There its sets form tiles in the order of their sizes; two
+tiles whose sizes may link are held against each other by hashed bitmaps (each
+bit that only one side has is a shingle the other lacks), and the pairs that
+these don't rule out are decided by intersecting the sorted arrays. Pairs that
+other links have already joined are passed over: the links found connect all
+documents that link, and pairs never become rows.
+
+A family over ``most`` shingles is dealt to several tasks, block against block.
 """
 
 from __future__ import annotations
@@ -25,21 +31,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
-from .shared import dropped, released, written
+from .components import components, roots
+from .pretoken import mixed
+from .shared import partitions, temporary, written
 from .shingles import Shingler, byte_groups
 
 #: Counters of shingle frequencies, 2 bytes each where they are sent: 8 MB at any size of the input.
 COUNTERS = 1 << 22
 CHUNK_COUNTERS = 1 << 16
 BATCH_SHINGLES = 4 << 20
-#: Bits of the filter on documents whose arrays are needed: 1 MB.
-NEEDED_BITS = 1 << 23
-STAR_ROUNDS = 2
-
-
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
+#: First shingles that a task holds until it packs them, and those of a range of keys.
+CHUNK_KEYS, RANGE_KEYS = 2 << 20, 4 << 20
+#: Sizes of a band differ by less than 5 %.
+STEP = math.log(1.05)
+#: Bits of the filter on documents whose texts are needed: 1 MB, sent in rows of CELL bits.
+NEEDED_BITS, CELL = 1 << 23, 1 << 15
+#: Weight of a family that one task compares; a set weighs its shingles and BASE more.
+MOST, BASE = 4 << 20, 64
+CENTRES = 4
+TILE, TILE_SHINGLES, BITS_A_SHINGLE = 256, 1 << 20, 16
 
 
 def _class_hashes(s: np.ndarray) -> tuple[int, int]:
@@ -121,124 +131,302 @@ def probe_length(n, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
-def _prefixes(docs: DataFrame, words: int, percent: int, frequency: np.ndarray) -> DataFrame:
-    """(doc_id, n, h1, h2, keys) with the first shingles of every document that has any."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))])
+def reach(percent: int) -> int:
+    """Two sets that link lie at most so many bands of sizes apart."""
+    return int(math.log(100 / percent) / STEP + 1e-9) + 1
+
+
+def _band(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(n) / STEP).astype(np.int16)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then their second bytes, ...: what compresses well of ascending numbers' steps."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _unplaned(raw: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    if not raw:
+        return np.zeros(0, kind)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
+
+
+PACKED = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("keys", "sets", "classes", "bands", "left", "right"))])
+
+
+def _thinned(key, band, of):
+    """Which entries stand for all of their key and band (index and probe apart), and who is tied to whom by that.
+
+    The band's lowest bit tells index from probe.
+    """
+    run = key[1:] == key[:-1]
+    among = np.flatnonzero(np.append(run, False) | np.append(False, run))
+    if not len(among):
+        return np.ones(len(key), bool), np.zeros((0, 2), np.int64)
+    among = among[np.lexsort((of[among], band[among], key[among]))]
+    again = np.append(False, (key[among][1:] == key[among][:-1]) & (band[among][1:] == band[among][:-1]))
+    stands = among[np.maximum.accumulate(np.where(again, 0, np.arange(len(among))))]
+    keep = np.ones(len(key), bool)
+    keep[among[again]] = False
+    ties = np.unique(np.stack([of[stands[again]], of[among[again]]], 1), axis=0)
+    return keep, ties[ties[:, 0] != ties[:, 1]]
+
+
+def _packed(docs: DataFrame, words: int, percent: int, frequency: np.ndarray, parts: int) -> DataFrame:
+    """The first shingles of all documents by range of keys, in the columns of PACKED.
+
+    keys: ascending, as steps. sets: which of the row's classes each key is of,
+    and classes and bands say what these are. left, right: classes tied already,
+    because another entry of the same task stands for theirs.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequency)
 
+    def packed(held):
+        seen: dict[int, int] = {}
+        keys, of, flags, sizes = [], [], [], []
+        for name, first, n, index in held:
+            if name in seen:
+                continue
+            seen[name] = len(sizes)
+            sizes.append(n)
+            keys.append(first)
+            of.append(np.full(len(first), seen[name], np.int64))
+            flags.append(np.arange(len(first)) >= index)
+        key, of, probe = mixed(np.concatenate(keys)), np.concatenate(of), np.concatenate(flags)
+        name, size = np.array(list(seen), np.int64), _band(np.array(sizes))
+        order = np.argsort(key, kind="stable")
+        key, of = key[order], of[order]
+        band = size[of] * 2 + probe[order]
+        keep, ties = _thinned(key, band, of)
+        tie_at = np.arange(len(ties)) % parts
+        key, of, band = key[keep], of[keep], band[keep]
+        part = (((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+        edge = np.searchsorted(part, np.arange(parts + 1))
+        for p in range(parts):
+            here = slice(edge[p], edge[p + 1])
+            tied = ties[tie_at == p]
+            if here.start == here.stop and not len(tied):
+                continue
+            # A class and its band with its flag, as a row's sets: so an entry needs only its number among them.
+            pairs, number = np.unique((of[here] << 1) | (band[here] & 1), return_inverse=True)
+            columns = [_planes(np.diff(key[here], prepend=np.uint64(0))), _planes(number.astype(np.uint32)), name[pairs >> 1].tobytes(), (size[pairs >> 1] * 2 + (pairs & 1)).astype(np.int16).tobytes(), name[tied[:, 0]].tobytes(), name[tied[:, 1]].tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)], schema=PACKED)
+
     def run(batches):
-        shingler = Shingler(words)
-        often = shared.value
+        shingler, often, held, size = Shingler(words), shared.value, [], 0
         for batch in batches:
-            for first, data, offsets in byte_groups(batch.column(1)):
-                rows = []
-                for key, s in zip(batch.column(0).slice(first, len(offsets) - 1).to_pylist(), shingler.sets(data, offsets), strict=True):
-                    if not len(s) or key is None:
+            for _, data, offsets in byte_groups(batch.column(0)):
+                for s in shingler.sets(data, offsets):
+                    if not len(s):
                         continue
-                    rare_first = np.argsort(often[_place(s)], kind="stable")
-                    rows.append((key, len(s), *_class_hashes(s), s[rare_first[: probe_length(len(s), percent)]]))
-                if rows:
-                    key, n, h1, h2, keys = zip(*rows, strict=True)
-                    ends = np.append(0, np.cumsum([len(x) for x in keys])).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), _signed(np.concatenate(keys)))], schema=schema)
-
-    return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, keys array<long>")
-
-
-def _bitmap(s: np.ndarray) -> bytes:
-    """The set's shingles as bits, at least two bits a shingle, a power of two of them."""
-    bits = max(64, 1 << (2 * len(s) - 1).bit_length())
-    out = np.zeros(bits, bool)
-    out[(s >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)] = True
-    return np.packbits(out).tobytes()
-
-
-def _arrays(docs: DataFrame, words: int, needed: DataFrame) -> DataFrame:
-    """(node, n, bits, shingles) of the needed documents; texts of most others never leave the scan's task."""
-    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(NEEDED_BITS))
-    cells = needed.select(spot("node").alias("x")).groupBy(F.shiftright("x", 15).alias("bucket")).agg(F.bitmap_construct_agg(F.col("x") % 32768).alias("bits")).collect()
-    filled = np.zeros(NEEDED_BITS, bool)
-    for bucket, bits in cells:
-        flags = np.unpackbits(np.frombuffer(bytes(bits), np.uint8), bitorder="little")
-        filled[np.flatnonzero(flags) + bucket * 32768] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(filled))
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("shingles", pa.binary())])
+                    rare_first = np.argsort(often[_place(s)], kind="stable")[: probe_length(len(s), percent)]
+                    held.append((_class_hashes(s)[0], s[rare_first], len(s), index_length(len(s), percent)))
+                    size += len(rare_first)
+                    if size >= CHUNK_KEYS:
+                        yield from packed(held)
+                        held, size = [], 0
+        if held:
+            yield from packed(held)
 
-    def run(batches):
-        shingler, wanted = Shingler(words), None
-        for batch in batches:
-            if wanted is None:
-                wanted = np.unpackbits(shared.value).astype(bool)
-            mask = wanted[batch.column(2).to_numpy()]
-            some = batch.filter(pa.array(mask))
-            if not some.num_rows:
-                continue
-            for first, data, offsets in byte_groups(some.column(1)):
-                sets = list(shingler.sets(data, offsets))
-                yield pa.RecordBatch.from_arrays([some.column(0).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array([_bitmap(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+    return docs.filter("doc_id is not null").select("text").mapInArrow(run, "part int, keys binary, sets binary, classes binary, bands binary, left binary, right binary")
 
-    spotted = docs.filter(F.col("doc_id").isNotNull()).withColumn("spot", spot("doc_id"))
-    found = spotted.mapInArrow(run, "node long, n long, bits binary, shingles binary")
-    return found.join(needed.select("node"), "node", "left_semi").filter("n > 0")
 
+def _ties(packed: DataFrame, parts: int, percent: int) -> DataFrame:
+    """a, b: classes (by h1) that meet at a key in bands that may link, enough of them to connect all that do.
 
-def _folded(bits: np.ndarray, size: int) -> np.ndarray:
-    """A bitmap of fewer bits from one of more: neighbours joined, since a shingle's place is its leading bits."""
-    return bits if len(bits) == size else bits.reshape(size, -1).any(axis=1)
+    In the order of (key, band, index first) an entry is tied to the index entry
+    before it. That reaches every pair of an index entry with an entry of the
+    same or a higher band.
+    """
+    far = reach(percent)
 
+    def run(batches):
+        keys, names, bands, left, right = [], [], [], [], []
+        for batch in batches:
+            for _, k, s, c, b, x, y in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+                number = _unplaned(s, np.uint32)
+                keys.append(np.cumsum(_unplaned(k, np.uint64), dtype=np.uint64))
+                names.append(np.frombuffer(c, np.int64)[number])
+                bands.append(np.frombuffer(b, np.int16)[number])
+                left.append(np.frombuffer(x, np.int64))
+                right.append(np.frombuffer(y, np.int64))
+        if not keys:
+            return
+        key, name, band = np.concatenate(keys), np.concatenate(names), np.concatenate(bands)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        same = key[1:] == key[:-1]
+        meets = np.append(same, False) | np.append(False, same)
+        key, name, band = key[meets], name[order][meets], band[order][meets]
+        order = np.lexsort((name, band, key))
+        key, name, band = key[order], name[order], band[order]
+        at = np.arange(len(key))
+        index = (band & 1) == 0
+        before = np.append(-1, np.maximum.accumulate(np.where(index, at, -1))[:-1])[: len(key)]
+        ok = before >= 0
+        ok[ok] = (key[before[ok]] == key[ok]) & ((band[ok] >> 1) - (band[before[ok]] >> 1) <= far)
+        a, b = np.concatenate([name[before[ok]], *left]), np.concatenate([name[ok], *right])
+        nodes, ends = np.unique(np.append(a, b), return_inverse=True)
+        root = roots(len(nodes), ends[: len(a)], ends[len(a) :])
+        moved = root != np.arange(len(root))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[root[moved]]), pa.array(nodes[moved])], names=["a", "b"])
+
+    return packed.repartitionById(parts, "part").mapInArrow(run, "a long, b long")
+
+
+def _bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """A row of words for each set: its shingles' leading bits, as places."""
+    out = np.zeros((len(sets), bits), bool)
+    shift = np.uint64(64 - bits.bit_length() + 1)
+    for row, s in zip(out, sets, strict=True):
+        row[(s >> shift).astype(np.int64)] = True
+    return np.packbits(out, axis=1).view(np.uint64)
+
+
+def _overlap_bounds(x: np.ndarray, n_x: int, y: np.ndarray, n_y: np.ndarray) -> np.ndarray:
+    """At most so many shingles are both of the set with bitmap x and of each of those with bitmaps y."""
+    both = np.bitwise_count(x & y).sum(1, dtype=np.int64)
+    return np.minimum(n_x - (int(np.bitwise_count(x).sum()) - both), n_y - (np.bitwise_count(y).sum(1, dtype=np.int64) - both))
+
+
+def _overlaps(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members the sorted array x shares with each of the others. None is empty."""
+    every = np.concatenate(others)
+    hit = x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every
+    lengths = np.array([len(y) for y in others])
+    return np.add.reduceat(hit, np.cumsum(lengths) - lengths, dtype=np.int64)
+
+
+def _tiles(n: np.ndarray) -> list[slice]:
+    """Runs of sets in the order of their sizes: at most TILE, of sizes within a factor of two, of bounded weight."""
+    out, a = [], 0
+    while a < len(n):
+        b = min(a + TILE, int(np.searchsorted(n, 2 * n[a], "right")))
+        b = a + max(1, int(np.searchsorted(np.cumsum(n[a:b]), TILE_SHINGLES, "right")))
+        out.append(slice(a, b))
+        a = b
+    return out
 
-def _overlap_bound(a: bytes, n_a: int, b: bytes, n_b: int) -> int:
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if len(x) != len(y):
-        size = 8 * min(len(x), len(y))
-        x, y = (np.packbits(_folded(np.unpackbits(v), size)) for v in (x, y))
-    only_a, only_b = int(np.bitwise_count(x & ~y).sum()), int(np.bitwise_count(y & ~x).sum())
-    return min(n_a - only_a, n_b - only_b)
+
+def linked(nodes: list[int], sets: list[np.ndarray], percent: int, side: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links between nodes, enough of them to connect all whose sets link. With ``side``, only pairs of different sides count."""
+    n = np.array([len(s) for s in sets])
+    order = np.argsort(n, kind="stable")
+    n, sets, nodes = n[order], [sets[i] for i in order], np.array(nodes)[order]
+    side = None if side is None else np.array(side)[order]
+    _, root = np.unique(nodes, return_inverse=True)
+    out: list[tuple[int, int]] = []
+    tiles = _tiles(n)
+    for t, p in enumerate(tiles):
+        own: dict[int, np.ndarray] = {}
+        for q in tiles[t:]:
+            if n[q.start] * percent > 100 * n[p.stop - 1]:
+                break
+            if p == q and p.stop - p.start == 1:
+                continue
+            bits = max(64, 1 << (BITS_A_SHINGLE * int(n[q.stop - 1]) - 1).bit_length())
+            theirs = None
+            for i in range(p.start, p.stop):
+                j = np.arange(max(q.start, i + 1), q.stop)
+                j = j[(root[j] != root[i]) & (n[j] * percent <= 100 * n[i])]
+                if side is not None:
+                    j = j[side[j] != side[i]]
+                if not len(j):
+                    continue
+                if theirs is None:
+                    theirs = _bitmaps(sets[q], bits)
+                    if bits not in own:
+                        own = {bits: theirs if p == q else _bitmaps(sets[p], bits)}
+                most = _overlap_bounds(own[bits][i - p.start], n[i], theirs[j - q.start], n[j])
+                j = j[100 * most >= percent * (n[i] + n[j] - most)]
+                if not len(j):
+                    continue
+                both = _overlaps(sets[i], [sets[x] for x in j])
+                for x in j[100 * both >= percent * (n[i] + n[j] - both)]:
+                    if root[x] != root[i]:
+                        out.append((int(nodes[i]), int(nodes[x])))
+                        root[root == root[x]] = root[i]
+    return out
 
 
-def _overlap(a: bytes, b: bytes) -> int:
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    if len(x) > len(y):
-        x, y = y, x
-    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents whose ids may be in column node of ``wanted``, by a bitmap of 1 MB of its hashes; most others never leave the scan."""
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(NEEDED_BITS))
+    cells = wanted.select(F.pmod(F.xxhash64("node"), F.lit(NEEDED_BITS)).alias("x")).groupBy(F.floor(F.col("x") / CELL).alias("cell")).agg(F.bitmap_construct_agg(F.col("x") % CELL).alias("filled"))
+    spotted = docs.withColumn("spot", spot).join(F.broadcast(cells), F.floor(F.col("spot") / CELL) == F.col("cell"))
+    byte = F.conv(F.hex(F.substring("filled", ((F.col("spot") % CELL) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return spotted.filter(F.call_function("shiftright", byte, (F.col("spot") % 8).cast("int")) % 2 == 1).select("doc_id", "text")
 
 
-def _decided(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: bitmaps first, then arrays. Both joins can be split at hot nodes."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _compared(docs: DataFrame, dealt: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: links found by the tasks of ``dealt`` (task, side, node). A task of one side compares all its pairs."""
+    rows = dealt.join(_texts(docs, dealt.select("node")), F.col("node") == F.col("doc_id")).select("task", "side", "node", "text")
+    rows = rows.repartition(partitions(docs.sparkSession), "task").sortWithinPartitions("task")
 
-    def passing(decide):
-        def run(batches):
-            for batch in batches:
-                columns = [c.to_pylist() for c in batch.columns]
-                keep = [(a, b) for a, b, *rest in zip(*columns, strict=True) if decide(*rest)]
-                if keep:
-                    a, b = zip(*keep, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+    def run(batches):
+        shingler, task, held = Shingler(words), None, []
 
-        return run
+        def found():
+            sides, nodes, sets = zip(*held, strict=True)
+            links = linked(nodes, sets, percent, None if len(set(sides)) == 1 else sides)
+            if links:
+                a, b = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    def may_link(n_a, n_b, x, y):
-        both = _overlap_bound(x, n_a, y, n_b)
-        return 100 * both >= percent * (n_a + n_b - both)
+        for batch in batches:
+            ids, sides, nodes = (batch.column(i).to_pylist() for i in range(3))
+            for first, data, offsets in byte_groups(batch.column(3)):
+                for i, s in enumerate(shingler.sets(data, offsets), first):
+                    if ids[i] != task:
+                        if held:
+                            yield from found()
+                        task, held = ids[i], []
+                    if len(s):
+                        held.append((sides[i], nodes[i], s))
+        if held:
+            yield from found()
 
-    def links(n_a, n_b, x, y):
-        both = _overlap(x, y)
-        return 100 * both >= percent * (n_a + n_b - both)
+    return rows.mapInArrow(run, "a long, b long")
 
-    for column, decide in (("bits", may_link), ("shingles", links)):
-        one = arrays.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col(column).alias("x"))
-        two = arrays.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col(column).alias("y"))
-        pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(passing(decide), "a long, b long")
-    return pairs.distinct()
 
+def _in_blocks(members: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
+    """The members of families over ``most`` with their block: a band of sizes, and within it a share by hash of at most about half of ``most``."""
+    large = members.join(sizes.filter(F.col("weight") > most).select("family"), "family", "left_semi")
+    large = large.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(STEP)).cast("int"))
+    shares = large.groupBy("family", "band").agg(F.ceil(F.sum(F.col("n") + BASE) * 2 / most).alias("shares"))
+    return large.join(shares, ["family", "band"]).select("family", "node", "band", F.pmod(F.xxhash64("node"), F.col("shares")).alias("share"))
 
-def _band(n: Column, percent: int) -> Column:
-    """Bands of sizes; two sets of a band may link by their sizes."""
-    return F.floor(F.log(n.cast("double")) / F.lit(math.log(100 / percent))).cast("int")
 
+def _links_of_large(docs: DataFrame, blocks: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links within families that are too large for a task.
 
-def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    First every block is compared by itself, together with a few centres of its
+    family, which join blocks of near copies. The sets outside a family's
+    largest component then are compared with those of all other blocks whose
+    sizes may link; a pair within that component needs no more.
+    """
+    name = lambda *c: F.concat_ws(":", *c)
+    centres = blocks.groupBy("family").agg(F.array_distinct(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(CENTRES)])).alias("centres"))
+    keys = blocks.select("family", "band", "share").distinct()
+    added = keys.join(centres, "family").select("family", "band", "share", F.explode("centres").alias("node"))
+    first = blocks.select("family", "band", "share", "node").unionByName(added).distinct()
+    near = written(_compared(docs, first.select(name("family", "band", "share").alias("task"), F.lit(0).alias("side"), "node"), words, percent), "block-links", keep=True)
+    placed = blocks.join(components(near), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = written(placed, "blocks")
+    counted = placed.groupBy("family", "component").agg(F.count("*").alias("c"))
+    main = counted.groupBy("family").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
+    outside = placed.join(main, "family").filter(F.col("component") != F.col("main")).select("family", "node", "band", "share")
+    ours = outside.select("family", "band", "share").distinct()
+    theirs = keys.select("family", F.col("band").alias("band2"), F.col("share").alias("share2"))
+    pairs = ours.join(theirs, "family").filter((F.abs(F.col("band") - F.col("band2")) <= reach(percent)) & ((F.col("band") != F.col("band2")) | (F.col("share") != F.col("share2"))))
+    task = name("family", "band", "share", "band2", "share2").alias("task")
+    one = outside.join(pairs, ["family", "band", "share"]).select(task, F.lit(0).alias("side"), "node")
+    two = blocks.select("family", F.col("band").alias("band2"), F.col("share").alias("share2"), "node").join(pairs, ["family", "band2", "share2"]).select(task, F.lit(1).alias("side"), "node")
+    return near.unionByName(written(_compared(docs, written(one.unionByName(two), "block-pairs"), words, percent), "far-links", keep=True))
+
+
+def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", most: int = MOST) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, classes, links).
 
     documents: doc_id, n, h1, h2, a row per input row; n is its number of
@@ -246,86 +434,65 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     a, b (nodes), enough of the links between classes to connect all that link.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = written(_sets(docs, words), "shingle-sets")
-    documents = found.filter("chunk is null").select("doc_id", "n", "h1", "h2")
-    frequency = _frequencies(found.filter("chunk is not null").select("chunk", "places", "counts"))
-    classes = documents.filter("n > 0 and doc_id is not null").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.count("*").alias("members"))
-    prefixes = _prefixes(docs, words, percent, frequency)
-    nodes = prefixes.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))
-    nodes = written(nodes.select("n", "node", "keys"), "prefixes")
-    del prefixes
-    released(docs.sparkSession)
-    rows = nodes.select("n", "node", F.posexplode("keys").alias("pos", "key"))
-    index = F.col("pos") < F.expr(f"n - ceil({2 * percent}.0D * n / {100 + percent}) + 1")
-    rows = rows.select("key", "node", (F.col("n") * 2 + index.cast("long")).alias("size"))
-    keys = nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    tiles = rows.join(keys, "key").select("key", "node", F.shiftright("size", 1).alias("n"), (F.col("size") % 2 == 1).alias("index"))
-    tiles = written(tiles.withColumn("band", _band(F.col("n"), percent)), "tiles")
-    for path in {p.rpartition("/")[0] for p in nodes.inputFiles()}:
-        dropped(docs.sparkSession, path)
-    del nodes, rows, keys
-    released(docs.sparkSession)
-    arrays = written(_arrays(docs, words, tiles.select("node").distinct()), "arrays")
-    released(docs.sparkSession)
-    placed = tiles.withColumn("component", F.col("node"))
-    links = tried = None
-    for _ in range(STAR_ROUNDS):
-        stars = _stars(placed)
-        if tried is not None:
-            stars = stars.join(tried, ["a", "b"], "left_anti")
-        stars = written(stars, "stars")
-        new = written(_decided(stars, arrays, percent), "star-links")
-        links, tried = (new, stars) if links is None else (links.unionByName(new), tried.unionByName(stars))
-        groups = components(links)
-        open_tiles = tiles.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        several = open_tiles.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-        placed = written(open_tiles.join(several, "key"), "open-tiles")
-    fits = (
-        F.col("s.index")
-        & (F.struct("s.n", "s.node") < F.struct("t.n", "t.node"))
-        & (F.col("s.n") * 100 >= F.col("t.n") * percent)
-        & (F.col("s.component") != F.col("t.component"))
-    )
-    rest = placed.alias("s").join(placed.alias("t"), (F.col("s.key") == F.col("t.key")) & fits).select(F.col("s.node").alias("a"), F.col("t.node").alias("b")).distinct()
-    rest = written(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    more = written(_decided(rest, arrays, percent), "rest-links")
-    return documents, classes, links.unionByName(more)
-
-
-def _stars(placed: DataFrame) -> DataFrame:
-    """a, b: each node b with the one centre, of another component, that it shares most tiles with."""
-    centre = placed.groupBy("key", "band").agg(F.min(F.when(F.col("index"), F.struct("n", "node", "component"))).alias("c"))
-    met = placed.join(centre, ["key", "band"]).filter(F.col("c.component") != F.col("component")).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
-    shared = met.groupBy("a", "b").agg(F.count("*").alias("tiles"))
-    return shared.groupBy("b").agg(F.min(F.struct((-F.col("tiles")).alias("fewer"), "a")).alias("best")).select("best.a", "b")
-
-
-def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    spark = docs.sparkSession
+    with temporary():
+        found = written(_sets(docs, words), "shingle-sets", keep=True)
+        documents = found.filter("chunk is null").select("doc_id", "n", "h1", "h2")
+        frequency = _frequencies(found.filter("chunk is not null").select("chunk", "places", "counts"))
+        some = documents.filter("n > 0 and doc_id is not null")
+        classes = written(some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.count("*").alias("members")), "classes", keep=True)
+        total = classes.agg(F.sum("n")).first()[0] or 0
+        parts = max(partitions(spark), -(-total * (100 - percent) // (100 * RANGE_KEYS)))
+        families = components(written(_ties(_packed(docs, words, percent, frequency, parts), parts, percent), "ties"))
+        members = classes.join(families, classes["h1"] == families["node"]).select(F.col("component").alias("family"), classes["node"], "n")
+        members = written(members, "families")
+        sizes = members.groupBy("family").agg(F.sum(F.col("n") + BASE).alias("weight"))
+        sizes = written(sizes, "family-sizes")
+        small = members.join(sizes.filter(F.col("weight") > most).select("family"), "family", "left_anti")
+        dealt = small.select(F.col("family").cast("string").alias("task"), F.lit(0).alias("side"), "node").distinct()
+        links = written(_compared(docs, dealt, words, percent), "family-links", keep=True)
+        if sizes.filter(F.col("weight") > most).limit(1).count():
+            blocks = written(_in_blocks(members, sizes, most), "family-blocks")
+            links = links.unionByName(written(_links_of_large(docs, blocks, words, percent), "large-links", keep=True))
+    return documents, classes, links
+
+
+def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", most: int = MOST) -> DataFrame:
     """doc_id, n_shingles, component_id for every row: its set's size and the smallest id reachable by links.
 
     Words are maximal runs outside [\\x20\\x09-\\x0D] with A-Z lower-cased; a set
     holds the distinct runs of ``words`` words. Two documents link when their
     intersection is at least ``percent`` hundredths of their union.
 
+    ``most`` bounds the shingles that one task compares (a single set may be
+    larger); it changes the work and not the result.
+
     Defined results: null, empty and blank texts have no shingles and are their
-    own component; a text of fewer words is one shingle; rows that share an id
-    are one node, linked by any of them; rows of null id link with nothing and
-    have a null component; an empty table gives no rows. Shingles are compared
-    as 64-bit hashes.
+    own component; a text of fewer words is one shingle; whole texts of any
+    length count; rows that share an id are one node, linked by any of them;
+    repeated rows are kept and alike; pairs at exactly ``percent`` link; rows of
+    null id link with nothing and have a null component; an empty table gives no
+    rows; other columns of any name don't matter. Shingles are compared as
+    64-bit hashes.
     """
-    documents, classes, links = link_classes(docs, words, percent, doc_id, text)
-    groups = components(links)
-    named = classes.join(groups, classes["node"] == groups["node"], "left").select("n", "h1", "h2", F.coalesce("component", classes["node"]).alias("component"), classes["node"].alias("node"), "members")
-    named = written(named.filter("members > 1 or component <> node").drop("members", "node"), "named")
+    with temporary():
+        documents, classes, links = link_classes(docs, words, percent, doc_id, text, most)
+        documents = written(documents, "documents", keep=True)
+        groups = components(links)
+        named = classes.join(groups, classes["node"] == groups["node"], "left").select("n", "h1", "h2", F.coalesce("component", classes["node"]).alias("component"), classes["node"].alias("node"), "members")
+        named = written(named.filter("members > 1 or component <> node").drop("members", "node"), "named", keep=True)
     same = documents.join(named, ["n", "h1", "h2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return same
 
 
-def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", most: int = MOST) -> DataFrame:
     """The documents, with all their columns, of which none of a smaller id is in the same component.
 
-    Rows of null id stay; of rows that share an id all stay or go together.
+    Rows of null id stay; of rows that share an id all stay or go together. All
+    else is as ngram_join() has it.
     """
-    joined = ngram_join(docs, words, percent, doc_id, text)
-    gone = joined.filter("component_id < doc_id").select(F.col("doc_id").alias("copy__id")).distinct()
-    return docs.join(written(gone, "copies"), F.col(doc_id) == F.col("copy__id"), "left_anti")
+    with temporary():
+        joined = ngram_join(docs, words, percent, doc_id, text, most)
+        gone = joined.filter("component_id < doc_id").select(F.col("doc_id").alias("copy__id")).distinct()
+        gone = written(gone, "copies", keep=True)
+    return docs.join(gone, F.col(doc_id) == F.col("copy__id"), "left_anti")

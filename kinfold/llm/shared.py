@@ -3,43 +3,49 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
+from ..sources.scratch import folder
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """URI of a folder that the driver and all executors share.
-
-    It is the session's ``spark.checkpoint.dir``. Only where that is unset and
-    the master is local is a folder of this machine taken in its place.
-    """
-    if at := spark.sparkContext.getConf().get("spark.checkpoint.dir"):
-        return at.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="kinfold-")
-        spark.sparkContext.setCheckpointDir(_own[app])
-    return _own[app]
+_open: list[list[tuple[SparkSession, str]]] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+
 
+def written(df: DataFrame, name: str, codec: str = "zstd", keep: bool = False) -> DataFrame:
+    """Write a table to the shared folder and read it back: a cut in the lineage that outlives executors.
 
-def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write a table to the shared folder and read it back: a cut in the lineage that outlives executors."""
+    Within temporary() the table goes at the block's end; with ``keep`` it goes
+    with the block around that one, if there is one.
+    """
     path = scratch(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
+    if len(_open) > keep:
+        _open[-1 - keep].append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary() -> Iterator[None]:
+    """A block whose written tables are removed at its end, as are shuffle files that nothing needs any more."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        tables = _open.pop()
+        for spark, path in tables:
+            dropped(spark, path)
+        if tables:
+            released(tables[0][0])
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Remove a folder of scratch() once nothing reads it any more."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from kinfold.llm import ngram_join
-from kinfold.llm.components import components
+from kinfold.llm.components import components, roots
 
 
 def sets_of(rows, k=5):
@@ -46,8 +46,7 @@ def test_brute_force(spark, docs, rows, no_docs):
     assert ngram_join.ngram_join(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("percent", [80, 60])
-def test_groups_of_near_copies(spark, percent):
+def edited_copies(percent):
     rng = random.Random(percent)
     rows, passage = [], [f"p{i}" for i in range(30)]
     for g in range(6):
@@ -60,23 +59,57 @@ def test_groups_of_near_copies(spark, percent):
             if rng.random() < 0.3:
                 w += passage[: rng.randrange(30)]
             rows.append((len(rows) * 7 % 997, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("percent, most", [(80, ngram_join.MOST), (60, ngram_join.MOST), (80, 600), (60, 900)])
+def test_groups_of_near_copies(spark, percent, most):
+    rows = edited_copies(percent)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows, percent)
-    assert sorted(map(tuple, ngram_join.ngram_join(df, percent=percent).collect()), key=str) == want
+    assert sorted(map(tuple, ngram_join.ngram_join(df, percent=percent, most=most).collect()), key=str) == want
     assert len({r[2] for r in want}) < len(want)
 
 
-def test_bounds():
+def test_small_chunks_and_tiles(spark, monkeypatch):
+    rows = edited_copies(80) + [(5000 + i, "one passage that nearly all of this document consists of here and " + f"tail{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for name, value in (("CHUNK_KEYS", 50), ("RANGE_KEYS", 100), ("TILE", 3)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert sorted(map(tuple, ngram_join.ngram_join(df).collect()), key=str) == brute(rows)
+    assert sorted(map(tuple, ngram_join.ngram_join(df, most=2000).collect()), key=str) == brute(rows)
+
+
+def test_words_of_complementary_letters(spark):
+    def word(n, a, b):
+        return "".join((a, b)[i.bit_count() % 2] for i in range(n))
+
+    rows = [(1, word(1024, "a", "b")), (2, word(1024, "b", "a")), (3, word(2048, "a", "b")), (4, word(2048, "b", "a"))]
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == [(i, 1, i) for i in range(1, 5)]
+
+
+def test_in_memory():
     rng = np.random.default_rng(1)
+    sets = []
     for _ in range(200):
         common = rng.integers(0, 1 << 63, rng.integers(0, 60), dtype=np.uint64) * np.uint64(2)
         x, y = (np.unique(np.append(common, rng.integers(0, 1 << 63, rng.integers(1, 90), dtype=np.uint64))) for _ in range(2))
         both = len(np.intersect1d(x, y))
-        assert ngram_join._overlap(x.tobytes(), y.tobytes()) == both
-        assert both <= ngram_join._overlap_bound(ngram_join._bitmap(x), len(x), ngram_join._bitmap(y), len(y)) <= min(len(x), len(y))
+        assert ngram_join._overlaps(x, [y, x]).tolist() == [both, len(x)]
+        for bits in (64, 1024):
+            assert both <= ngram_join._overlap_bounds(ngram_join._bitmaps([x], bits)[0], len(x), ngram_join._bitmaps([y], bits), np.array([len(y)]))[0] <= min(len(x), len(y))
+        sets += [x, np.unique(np.append(x[1:], y[0]))]
     for p in (50, 80, 95):
         for n in range(1, 300):
             assert 1 <= ngram_join.index_length(n, p) <= ngram_join.probe_length(n, p) <= n
+            larger = n * 100 // p
+            assert ngram_join._band(np.array([larger]))[0] - ngram_join._band(np.array([n]))[0] <= ngram_join.reach(p)
+    for side in (None, [i % 3 for i in range(400)]):
+        links = ngram_join.linked(list(range(400)), sets, 80, side)
+        want = [(i, j) for i in range(400) for j in range(i) if (side is None or side[i] != side[j]) and 100 * (n := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - n)]
+        ends = lambda pairs: roots(400, *np.array(pairs, np.int64).reshape(-1, 2).T).tolist()
+        assert ends(links) == ends(want) and len(links) == 400 - len(set(ends(links)))
 
 
 def test_one_per_group(spark, docs, rows):
