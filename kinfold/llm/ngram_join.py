@@ -28,12 +28,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, roots
 from .pretoken import mixed
-from .shared import partitions, temporary, written
+from .shared import partitions, possibly_in, temporary, written
 from .shingles import Shingler, byte_groups
 
 #: Counters of shingle frequencies, 2 bytes each where they are sent: 8 MB at any size of the input.
@@ -44,8 +44,6 @@ BATCH_SHINGLES = 4 << 20
 CHUNK_KEYS, RANGE_KEYS = 2 << 20, 4 << 20
 #: Sizes of a band differ by less than 5 %.
 STEP = math.log(1.05)
-#: Bits of the filter on documents whose texts are needed: 1 MB, sent in rows of CELL bits.
-NEEDED_BITS, CELL = 1 << 23, 1 << 15
 #: Weight of a family that one task compares; a set weighs its shingles and BASE more.
 MOST, BASE = 4 << 20, 64
 CENTRES = 4
@@ -350,18 +348,9 @@ def linked(nodes: list[int], sets: list[np.ndarray], percent: int, side: list[in
     return out
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The documents whose ids may be in column node of ``wanted``, by a bitmap of 1 MB of its hashes; most others never leave the scan."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(NEEDED_BITS))
-    cells = wanted.select(F.pmod(F.xxhash64("node"), F.lit(NEEDED_BITS)).alias("x")).groupBy(F.floor(F.col("x") / CELL).alias("cell")).agg(F.bitmap_construct_agg(F.col("x") % CELL).alias("filled"))
-    spotted = docs.withColumn("spot", spot).join(F.broadcast(cells), F.floor(F.col("spot") / CELL) == F.col("cell"))
-    byte = F.conv(F.hex(F.substring("filled", ((F.col("spot") % CELL) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return spotted.filter(F.call_function("shiftright", byte, (F.col("spot") % 8).cast("int")) % 2 == 1).select("doc_id", "text")
-
-
 def _compared(docs: DataFrame, dealt: DataFrame, words: int, percent: int) -> DataFrame:
     """a, b: links found by the tasks of ``dealt`` (task, side, node). A task of one side compares all its pairs."""
-    rows = dealt.join(_texts(docs, dealt.select("node")), F.col("node") == F.col("doc_id")).select("task", "side", "node", "text")
+    rows = dealt.join(possibly_in(docs, F.col("doc_id"), dealt, "node"), F.col("node") == F.col("doc_id")).select("task", "side", "node", "text")
     rows = rows.repartition(partitions(docs.sparkSession), "task").sortWithinPartitions("task")
 
     def run(batches):

@@ -7,10 +7,13 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.scratch import folder
 
+#: Bits of the filter on rows that are wanted: 1 MB, sent in rows of CELL bits.
+NEEDED_BITS, CELL = 1 << 23, 1 << 15
 _open: list[list[tuple[SparkSession, str]]] = []
 
 
@@ -58,6 +61,20 @@ def released(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def possibly_in(df: DataFrame, key: Column, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows whose key may be in the column of ``wanted`` (all of those that are), by a bitmap of 1 MB of its hashes.
+
+    The bitmap has that size whatever the input, so it can always be sent; the
+    larger ``wanted``, the more other rows pass.
+    """
+    columns = df.columns
+    cells = wanted.select(F.pmod(F.xxhash64(column), F.lit(NEEDED_BITS)).alias("x")).groupBy(F.floor(F.col("x") / CELL).alias("needed__cell")).agg(F.bitmap_construct_agg(F.col("x") % CELL).alias("needed__bits"))
+    spot = F.col("needed__spot")
+    spotted = df.withColumn("needed__spot", F.pmod(F.xxhash64(key), F.lit(NEEDED_BITS))).join(F.broadcast(cells), F.floor(spot / CELL) == F.col("needed__cell"))
+    byte = F.conv(F.hex(F.substring("needed__bits", ((spot % CELL) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return spotted.filter(F.call_function("shiftright", byte, (spot % 8).cast("int")) % 2 == 1).select([F.col(f"`{c}`") for c in columns])
+
+
 def partitions(spark: SparkSession) -> int:
     """Reducer count of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -81,6 +81,25 @@ def test_blocks_find_all_within_the_radius(spark):
     assert shared.filter("n = 0").count() == 0
 
 
+def test_blocks_alone_find_the_items(spark):
+    """near_shapes gets nothing but fingerprints and sizes, and finds every item within the radius."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    items = [(i, 9 + i % 2, signed(rng.getrandbits(64))) for i in range(60)]
+    prints = []
+    for _ in range(200):
+        _, m, at = rng.choice(items)
+        for bit in rng.sample(range(64), rng.randrange(30)):
+            at = signed((at ^ (1 << bit)) & (1 << 64) - 1)
+        prints.append((m, at))
+    got = d.near_shapes(spark.createDataFrame(prints, "m int, fingerprint long"), spark.createDataFrame(items, "item_id int, m int, of_item long"), 20)
+    want = {(m, p, i, n) for m, p in prints for i, k, f in items if k == m and (n := ((p ^ f) & (1 << 64) - 1).bit_count()) <= 20}
+    assert sorted((r.m, r.fingerprint, r.item_id, r.hamming) for r in got.collect()) == sorted(want)
+    assert d.near_shapes(spark.createDataFrame(prints, "m int, fingerprint long"), spark.createDataFrame(items, "item_id int, m int, of_item long").filter(F.lit(False)), 20).count() == 0
+
+
 def test_empty_tables(spark, no_docs, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
