@@ -2,18 +2,20 @@
 
 Two views of a document are learned apart: its content (which words and symbol
 runs it holds) and its page metadata (source, language, length and layout).
-Each view's logistic regression labels documents of an unlabelled pool that it
-is sure of, and the other view trains on them in the next round. At the end the
-two are calibrated together on labelled documents that neither has seen, and
-every document is scored. One such pair is trained for quality, one for toxicity.
-
-The fit takes at most ``max_labels`` labelled and ``max_pool`` unlabelled
-documents, those of the smallest id hashes; nothing else is sampled.
+In each round every unlabelled document is scored by each view's logistic
+regression, and some of those that a view is sure of are handed to the other
+view as labelled. At the end the two are calibrated together on labelled
+documents that neither has seen, and every document is scored. One such pair is
+trained for quality, one for toxicity.
+
+The fit takes at most ``max_labels`` labelled documents and, a round, at most
+``max_handed`` documents of either class from either view: those of the smallest
+id hashes among all that qualify.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from .pretoken import mixed, span_hashes
-from .shared import written
+from .shared import temporary, written
 from .shingles import LOWER, byte_groups, words_of
 
 CONTENT_BITS, META_BITS = 18, 12
@@ -33,7 +35,7 @@ KIND = np.zeros(256, np.uint8)
 KIND[33:127] = SYMBOL
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
     KIND[_a:_b] = WORD
-MAX_LABELS, MAX_POOL = 8000, 4000
+MAX_LABELS, MAX_HANDED, ROUNDS, SURE = 8000, 250, 3, 0.97
 
 
 def _rows(doc: np.ndarray, place: np.ndarray, bits: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,52 +145,66 @@ class CoTrained:
         return _sigmoid(self.mix[0] * np.clip(a, -30, 30) + self.mix[1] * np.clip(b, -30, 30) + self.mix[2])
 
 
-def _platt(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
-    """Weights of the margins and a constant, by Newton steps with a weak pull to zero; never negative weights."""
-    design = np.column_stack([np.clip(x, -30, 30), np.ones(len(x))])
-    w = np.zeros(design.shape[1])
-    for _ in range(steps):
-        p = _sigmoid(design @ w)
-        h = (design * (p * (1 - p))[:, None]).T @ design + 0.1 * np.eye(len(w))
-        step = np.linalg.solve(h, design.T @ (p - y) + 0.1 * w)
-        w -= np.clip(step, -2, 2)
-    if w[1] < 0:
-        w[:] = 0, 0, 0
-        w[[0, 2]] = _platt(x[:, :1], y) if x.shape[1] > 1 else w[[0, 2]]
-    return w
+def calibrated(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
+    """Weights of the margins, none below 0, and a constant: Newton steps with a weak pull to zero.
 
+    A view whose weight would be negative is left out and the rest fitted again.
+    """
+    views = list(range(x.shape[1]))
+    while True:
+        design = np.column_stack([*(np.clip(x[:, v], -30, 30) for v in views), np.ones(len(x))])
+        w = np.zeros(design.shape[1])
+        for _ in range(steps):
+            p = _sigmoid(design @ w)
+            h = (design * (p * (1 - p))[:, None]).T @ design + 0.1 * np.eye(len(w))
+            w -= np.clip(np.linalg.solve(h, design.T @ (p - y) + 0.1 * w), -2, 2)
+        if not views or w[:-1].min() >= 0:
+            break
+        del views[int(np.argmin(w[:-1]))]
+    out = np.zeros(x.shape[1] + 1)
+    out[[*views, -1]] = w
+    return out
 
-def co_train(content: tuple, metadata: tuple, y: np.ndarray, rounds: int = 3, sure: float = 0.97, share: float = 0.1) -> CoTrained | None:
-    """Train on rows whose y is 0 or 1, with the rows of y -1 as the pool. None if a class has no rows.
 
-    Every fifth labelled row is held out for the calibration. In a round each
-    view hands over at most ``share`` of the pool of either class, those it is
-    surest of and at least ``sure``.
-    """
-    labelled = np.flatnonzero(y >= 0)
-    held, train = labelled[::5], np.setdiff1d(labelled, labelled[::5])
-    if len(np.unique(y[train])) < 2 or len(np.unique(y[held])) < 2:
-        return None
-    pool = np.flatnonzero(y < 0)
-    views, sizes = (content, metadata), (1 << CONTENT_BITS, 1 << META_BITS)
-    extra: list[dict[int, int]] = [{}, {}]
-    models: list[Linear] = []
-    for turn in range(rounds + 1):
+def _joined(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+    return np.append(a[0], b[0]), np.append(a[1], b[1])
+
+
+@dataclass
+class CoFit:
+    """One target's training: the labelled rows of both views, and what each has been handed by the other."""
+
+    views: tuple[tuple, tuple]
+    y: np.ndarray
+    handed: list = field(default_factory=lambda: [{}, {}])
+
+    def __post_init__(self):
+        rows = np.arange(len(self.y))
+        self.held, self.kept = rows[::5], np.setdiff1d(rows, rows[::5])
+
+    @property
+    def trainable(self) -> bool:
+        """Both the training rows and every fifth one, held out for the calibration, have both classes."""
+        return len(np.unique(self.y[self.kept])) == 2 == len(np.unique(self.y[self.held]))
+
+    def hand(self, view: int, key, features: tuple, label: int) -> None:
+        """Give a view a row (count, places) with a label. A key's last label counts."""
+        self.handed[view][key] = (features, label)
+
+    def fit(self) -> tuple[Linear, Linear]:
         models = []
-        for v in (0, 1):
-            rows = np.append(train, np.array(list(extra[v]), np.int64))
-            target = np.append(y[train], np.array(list(extra[v].values()), np.int64)).astype(float)
-            models.append(fit_linear(*_pick(*views[v], rows), target, sizes[v]))
-        if turn == rounds or not len(pool):
-            break
-        for v in (0, 1):
-            p = _sigmoid(models[v].margins(*_pick(*views[v], pool)))
-            most = int(share * len(pool))
-            for label, q in ((1, p), (0, 1 - p)):
-                best = np.argsort(-q, kind="stable")[:most]
-                extra[1 - v].update({int(pool[i]): label for i in best if q[i] >= sure})
-    x = np.column_stack([models[v].margins(*_pick(*views[v], held)) for v in (0, 1)])
-    return CoTrained(models[0], models[1], _platt(x, y[held].astype(float)))
+        for v, size in ((0, 1 << CONTENT_BITS), (1, 1 << META_BITS)):
+            rows, target = _pick(*self.views[v], self.kept), self.y[self.kept].astype(float)
+            if self.handed[v]:
+                extra, labels = zip(*(self.handed[v][k] for k in sorted(self.handed[v])), strict=True)
+                rows = _joined(rows, (np.array([len(x) for x in extra], np.int64), np.concatenate(extra)))
+                target = np.append(target, np.array(labels, float))
+            models.append(fit_linear(*rows, target, size))
+        return models[0], models[1]
+
+    def calibrated(self, models: tuple[Linear, Linear]) -> CoTrained:
+        x = np.column_stack([m.margins(*_pick(*view, self.held)) for m, view in zip(models, self.views, strict=True)])
+        return CoTrained(*models, calibrated(x, self.y[self.held].astype(float)))
 
 
 @dataclass
@@ -214,21 +230,11 @@ def _inputs(docs: DataFrame) -> list:
     return [(F.col(c) if c in have else F.lit(None)).cast(kinds.get(c, "string")).alias(f"view__{c}") for c in COLUMNS]
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, max_pool: int = MAX_POOL, rounds: int = 3) -> QualityModel:
-    """Fit on bounded samples: the labelled and unlabelled documents of the smallest id hashes.
-
-    Labels of one document that disagree count as low quality and as toxic. Null
-    labels and labels of documents that aren't there are ignored.
-    """
-    said = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
-    by_hash = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    known = by_hash(said, max_labels)
-    some = by_hash(docs.filter("doc_id is not null").select("doc_id"), 3 * max_pool).distinct()
-    rated = said.join(F.broadcast(some), "doc_id", "left_semi").select("doc_id")
-    unknown = by_hash(some.join(rated, "doc_id", "left_anti"), max_pool).select("doc_id", F.lit(-1).alias("quality"), F.lit(-1).alias("toxic"))
-    picked = written(known.select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic")).unionByName(unknown), "fit-ids")
-    rows = docs.select("doc_id", *_inputs(docs)).join(F.broadcast(picked), "doc_id")
-    rows = rows.select(*[f"view__{c}" for c in COLUMNS], "doc_id", "quality", "toxic")
+def _features_of(docs: DataFrame, wanted: DataFrame, columns: str) -> pa.Table:
+    """doc_id, the further columns of ``wanted``, and both views' features of the wanted documents. ``wanted`` is of bounded size."""
+    kinds = StructType.fromDDL(columns)
+    names = kinds.fieldNames()
+    rows = docs.select("doc_id", *_inputs(docs)).join(F.broadcast(wanted), "doc_id").select(*[f"view__{c}" for c in COLUMNS], *names)
 
     def run(batches):
         views = Views()
@@ -236,14 +242,83 @@ def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, max_
             for first, content, metadata in _features(batch, views):
                 n = len(content[0])
                 lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(c)).astype(np.int32)), pa.array(p.astype(np.int32))) for c, p in (content, metadata)]
-                yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(first, n) for i in (4, 5, 6)], *lists], names=["doc_id", "quality", "toxic", "content", "metadata"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(len(COLUMNS) + i).slice(first, n) for i in range(len(names))], *lists], names=[*names, "content", "metadata"])
+
+    return rows.mapInArrow(run, f"{columns}, content array<int>, metadata array<int>").toArrow().sort_by("doc_id").combine_chunks()
+
+
+def _view(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    lists = table.column(name).combine_chunks()
+    return np.diff(lists.offsets.to_numpy()).astype(np.int64), lists.flatten().to_numpy().astype(np.int64)
+
+
+def _sure(docs: DataFrame, labelled: DataFrame, models: list, sure: float, most: int) -> list[tuple[int, int]]:
+    """(slot, doc_id): for each slot, at most ``most`` unlabelled documents of the smallest id hashes of all that qualify.
+
+    Slot 4 * target + 2 * view + label is of the documents for which that view's
+    probability of that label is at least ``sure``.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(models)
 
-    got = rows.mapInArrow(run, "doc_id long, quality int, toxic int, content array<int>, metadata array<int>").toArrow().sort_by("doc_id").combine_chunks()
-    if not got.num_rows:
-        return QualityModel(None, None)
-    arrays = {c: got.column(c).combine_chunks() for c in ("content", "metadata")}
-    content, metadata = ((np.diff(a.offsets.to_numpy()), a.flatten().to_numpy().astype(np.int64)) for a in arrays.values())
-    return QualityModel(*(co_train(content, metadata, got.column(c).to_numpy().astype(np.int64), rounds) for c in ("quality", "toxic")))
+    def run(batches):
+        views = Views()
+        for batch in batches:
+            for first, content, metadata in _features(batch, views):
+                n = len(content[0])
+                slots = np.zeros(n, np.int32)
+                for target, pair in enumerate(shared.value):
+                    for v, features in enumerate((content, metadata) if pair else ()):
+                        p = _sigmoid(pair[v].margins(*features))
+                        for label, q in ((0, 1 - p), (1, p)):
+                            slots |= (q >= sure).astype(np.int32) << (4 * target + 2 * v + label)
+                yield pa.RecordBatch.from_arrays([batch.column(len(COLUMNS)).slice(first, n), pa.array(slots)], names=["doc_id", "slots"])
+
+    told = docs.filter("doc_id is not null").select(*_inputs(docs), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(run, "doc_id long, slots int")
+    with temporary():
+        told = written(told.filter("slots <> 0").join(labelled, "doc_id", "left_anti"), "sure")
+        lists = None
+        for slot in range(4 * len(models)):
+            if models[slot // 4]:
+                some = told.filter(F.col("slots").bitwiseAND(1 << slot) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select(F.lit(slot).alias("slot"), "doc_id")
+                lists = some if lists is None else lists.unionByName(some)
+        return [] if lists is None else [tuple(r) for r in lists.collect()]
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, max_handed: int = MAX_HANDED, rounds: int = ROUNDS, sure: float = SURE) -> QualityModel:
+    """Fit on the labelled documents of the smallest id hashes, at most ``max_labels``, and what the views hand each other.
+
+    Defined results: labels of one document that disagree count as low quality
+    and as toxic; null labels and labels of documents that aren't there are
+    ignored; every row of a repeated id is a row of the fit; a target of which
+    the fit or its held-out fifth lacks a class has no model; no labels or no
+    documents give no models; clashing names don't matter.
+    """
+    spark = docs.sparkSession
+    with temporary():
+        said = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).cast("int").alias("toxic"))
+        said = written(said, "labels")
+        known = written(said.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels), "fit-ids")
+        got = _features_of(docs, known, "doc_id long, quality int, toxic int")
+        if not got.num_rows:
+            return QualityModel(None, None)
+        views = _view(got, "content"), _view(got, "metadata")
+        fits = [CoFit(views, got.column(c).to_numpy().astype(np.int64)) for c in ("quality", "toxic")]
+        for _ in range(rounds):
+            models = [f.fit() if f.trainable else None for f in fits]
+            handed = _sure(docs, said.select("doc_id"), models, sure, max_handed)
+            if not handed:
+                break
+            ids = spark.createDataFrame([(i,) for i in sorted({i for _, i in handed})], "doc_id long")
+            extra = _features_of(docs, ids, "doc_id long")
+            at: dict[int, list[int]] = {}
+            for row, key in enumerate(extra.column("doc_id").to_pylist()):
+                at.setdefault(key, []).append(row)
+            found = [np.split(places, np.cumsum(counts)[:-1]) for counts, places in (_view(extra, "content"), _view(extra, "metadata"))]
+            for slot, key in sorted(handed):
+                other, label = 1 - slot % 4 // 2, slot % 2
+                for row in at[key]:
+                    fits[slot // 4].hand(other, (key, row - at[key][0]), found[other][row], label)
+        return QualityModel(*(f.calibrated(f.fit()) if f.trainable else None for f in fits))
 
 
 ADDED = StructType([StructField("p_quality", DoubleType()), StructField("p_toxic", DoubleType()), StructField("accepted", BooleanType())])
@@ -255,10 +330,11 @@ def scored(docs: DataFrame, model: QualityModel, least_quality: float = 0.5, mos
     Every whole text is scored. Defined results: null or empty text has no
     content features and is judged by the rest; columns lang, source or n_chars
     that are null or absent count as such; without a model (no labels, or one
-    class only) the probability is null and rejects nothing; repeated rows score
-    alike; an empty table gives no rows.
+    class only) the probability is null and rejects nothing; a probability right
+    at a threshold is accepted as quality and rejected as toxic; repeated rows
+    score alike; an empty table gives no rows; other columns of any name stay.
     """
-    docs = docs.select([c for c in docs.columns if c not in ADDED.names])
+    docs = docs.select([F.col(f"`{c}`") for c in docs.columns if c not in ADDED.names])
     kept = docs.schema
     schema = StructType([*kept, *ADDED])
     arrow = to_arrow_schema(schema)
@@ -279,4 +355,4 @@ def scored(docs: DataFrame, model: QualityModel, least_quality: float = 0.5, mos
                 told = [pa.nulls(n, pa.float64()) if p is None else pa.array(p) for p in (quality, toxic)]
                 yield pa.RecordBatch.from_arrays([*[c.slice(first, n) for c in batch.columns[len(COLUMNS) :]], *told, pa.array(good)], schema=arrow)
 
-    return docs.select(*_inputs(docs), *[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(run, schema)
+    return docs.select(*_inputs(docs), *[F.col(f"`{c}`").alias(f"kept__{i}") for i, c in enumerate(docs.columns)]).mapInArrow(run, schema)
