@@ -21,7 +21,7 @@ def tokenizer():
 def op1_media_columns(spark, sf_dir):
     stored = written(media.texts_to_media(_table(spark, sf_dir, "documents")), "media")
     read = media.probe_column(stored, keys=("doc_id", "n_bytes"))
-    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.to_json("tracks").alias("feature"))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.to_json("tracks").alias("feature"), "error")
 
 
 def op2_decontamination(spark, sf_dir):

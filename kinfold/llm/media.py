@@ -21,6 +21,8 @@ from pyspark.sql.types import StructType
 
 #: Box types that hold boxes, and how many bytes precede the first of them.
 CONTAINERS = {b"moov": 0, b"trak": 0, b"mdia": 0, b"minf": 0, b"stbl": 0, b"edts": 0, b"dinf": 0, b"mvex": 0, b"moof": 0, b"traf": 0}
+#: Levels of nested boxes; the format itself needs seven.
+DEPTH = 32
 SIDE = 8
 FRAME = SIDE * SIDE
 GROUP = 32
@@ -32,10 +34,13 @@ class Malformed(ValueError):
     pass
 
 
-def walk(data, start: int = 0, end: int | None = None, path: tuple = ()) -> Iterator[tuple[tuple, int, int]]:
-    """(path of types, body start, body end) of every box, parents before children."""
-    end = len(data) if end is None else end
-    while start < end:
+def walk(data, start: int = 0, end: int | None = None) -> Iterator[tuple[tuple, int, int]]:
+    """(path of types, body start, body end) of every box, parents before children; Malformed beyond DEPTH levels."""
+    left = [(start, len(data) if end is None else end, ())]
+    while left:
+        start, end, path = left.pop()
+        if start >= end:
+            continue
         if end - start < 8:
             raise Malformed(f"{end - start} bytes are left at {start}")
         size, kind = struct.unpack_from(">I4s", data, start)
@@ -50,10 +55,12 @@ def walk(data, start: int = 0, end: int | None = None, path: tuple = ()) -> Iter
         if size < head or start + size > end:
             raise Malformed(f"box {kind!r} at {start} has size {size}")
         here = (*path, kind)
-        yield here, start + head, start + size
+        left.append((start + size, end, path))
         if kind in CONTAINERS:
-            yield from walk(data, start + head + CONTAINERS[kind], start + size, here)
-        start += size
+            if len(here) > DEPTH:
+                raise Malformed(f"boxes lie more than {DEPTH} deep at {start}")
+            left.append((start + head + CONTAINERS[kind], start + size, here))
+        yield here, start + head, start + size
 
 
 def _table(data, start: int, end: int, columns: int, skip: int = 0, kind: str = ">u4") -> np.ndarray:
@@ -68,12 +75,18 @@ def _table(data, start: int, end: int, columns: int, skip: int = 0, kind: str =
 
 
 def _sizes(data, start: int, end: int, kind: bytes) -> np.ndarray:
+    if end - start < 12:
+        raise Malformed("a table without a count")
     word, n = struct.unpack_from(">II", data, start + 4)
     if kind == b"stsz":
         if word:
+            if n * word > len(data):
+                raise Malformed(f"{n} samples of {word} bytes are more than the file holds")
             return np.full(n, word, np.int64)
         return _table(data, start, end, 1, 4)[:, 0]
     bits = word & 255
+    if bits not in (4, 8, 16) or start + 12 + (n * bits + 7) // 8 > end:
+        raise Malformed(f"a table of {n} sizes of {bits} bits")
     raw = np.frombuffer(data, np.uint8, (n * bits + 7) // 8, start + 12)
     if bits == 4:
         return np.stack([raw >> 4, raw & 15], 1).reshape(-1)[:n].astype(np.int64)
@@ -87,10 +100,13 @@ def _offsets(track: dict) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), sizes
     if not len(runs) or not len(chunk) or runs[0, 0] != 1:
         raise Malformed("samples without chunks")
-    per = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(chunk) + 1)))
-    if len(per) != len(chunk) or per.sum() < len(sizes):
+    many = np.diff(np.append(runs[:, 0], len(chunk) + 1))
+    if many.min() < 0:
+        raise Malformed("the chunk tables aren't in order")
+    upto = np.minimum(np.cumsum(np.repeat(runs[:, 1], many)), len(sizes))
+    if len(upto) != len(chunk) or upto[-1] < len(sizes):
         raise Malformed("the chunk tables don't cover the samples")
-    of = np.repeat(np.arange(len(chunk)), per)[: len(sizes)]
+    of = np.repeat(np.arange(len(chunk)), np.diff(upto, prepend=0))
     before = np.cumsum(sizes) - sizes
     first = np.zeros(len(chunk), np.int64)
     first[of[::-1]] = before[::-1]
@@ -110,7 +126,7 @@ def _fragments(data, boxes: list, tracks: dict[int, dict]) -> None:
     """Add the runs of movie fragments to their tracks."""
     defaults: dict[int, tuple] = {}
     moof = current = None
-    base = at = 0
+    base = at = samples = 0
     own: tuple = (0, 0, 0)
     for path, a, b in boxes:
         if path[-1] == b"trex":
@@ -140,7 +156,8 @@ def _fragments(data, boxes: list, tracks: dict[int, dict]) -> None:
             if flags & 4:
                 first, p = struct.unpack_from(">I", data, p)[0], p + 4
             fields = [bit for bit in (256, 512, 1024, 2048) if flags & bit]
-            if p + 4 * n * len(fields) > b:
+            samples += n
+            if p + 4 * n * len(fields) > b or samples > len(data):
                 raise Malformed("a run of samples is cut")
             got = np.frombuffer(data, ">u4", n * len(fields), p).reshape(n, len(fields)).astype(np.int64)
             column = lambda bit, other: got[:, fields.index(bit)] if bit in fields else np.full(n, other, np.int64)  # noqa: B023, E731
@@ -156,11 +173,13 @@ def probe(data) -> list[dict]:
     """The tracks of an ISO media file, without touching its payload.
 
     Raises Malformed for bytes that aren't one: a box that overruns its parent,
-    a cut table, no moov box.
+    nesting beyond DEPTH, a cut table, samples that lie outside the file or take
+    more bytes than it has, no moov box. No table is made that is larger than
+    the file allows, whatever it claims.
     """
     try:
         return _probe(memoryview(data))
-    except (struct.error, IndexError, ValueError) as e:
+    except (struct.error, IndexError, ValueError, OverflowError) as e:
         raise e if isinstance(e, Malformed) else Malformed(str(e)) from e
 
 
@@ -195,6 +214,8 @@ def _probe(data) -> list[dict]:
                 t["chunks"] = _table(data, a, b, 1, 0, ">u4" if kind == b"stco" else ">u8")[:, 0]
             elif kind == b"stss":
                 t["sync"] = _table(data, a, b, 1)[:, 0] - 1
+                if (t["sync"] < 0).any():
+                    raise Malformed("samples count from 1")
             elif kind == b"stts":
                 t["stts"] = _table(data, a, b, 2)
     _fragments(data, boxes, {t["id"]: t for t in tracks})
@@ -206,10 +227,12 @@ def _probe(data) -> list[dict]:
             sync[t["sync"]] = True
         for o, s, k in t.pop("extra"):
             offset, size, sync = np.append(offset, o), np.append(size, s), np.append(sync, k)
-        if len(size) and int((offset + size).max()) > len(data):
+        if len(size) and (int(offset.min()) < 0 or int(size.max()) > len(data) or (offset > len(data) - size).any() or int(size.sum()) > len(data)):
             raise Malformed("samples lie beyond the end")
         table = t.pop("stts", np.zeros((0, 2), np.int64))
-        t["duration"] = t["duration"] or int((table[:, 0] * table[:, 1]).sum())
+        t["duration"] = t["duration"] or sum(x * y for x, y in table.tolist())
+        if t["duration"] >= 1 << 63:
+            raise Malformed("no such duration")
         t |= {"samples": len(size), "offset": offset, "size": size, "keyframes": ranges(offset[sync], size[sync]) if sync.any() else []}
         for k in ("sizes", "chunks", "stsc", "sync"):
             t.pop(k)
@@ -291,7 +314,13 @@ def _pieces(rows: Iterator[tuple], schema: pa.Schema, heavy: int) -> Iterator[pa
 
 
 def texts_to_media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, media: every text (null: empty) in UTF-8, zero-padded and stored by mux_raw."""
+    """doc_id, n_bytes, media: every text (null: empty) in UTF-8, zero-padded and stored by mux_raw.
+
+    Defined results: a null or empty text is one frame of zeros; null ids and
+    repeated rows are kept; equal texts make equal media; an empty table gives no
+    rows; other columns of any name are left out. A text is stored whole, so a
+    task's memory follows its longest one.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
 
     def run(batches):

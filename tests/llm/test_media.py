@@ -1,5 +1,6 @@
 import hashlib
 import os
+import random
 import struct
 import zlib
 
@@ -33,6 +34,41 @@ def test_malformed():
             media.probe(bad)
 
 
+def test_claims_beyond_the_file():
+    good = media.mux_raw(media.padded(b"abc" * 900))
+    deep = b""
+    for _ in range(1500):
+        deep = media.box(b"moov", deep)
+    bad = [deep]
+    for kind, at, raw in ((b"stsz", 12, b"\xff" * 4), (b"stsz", 8, b"\xff" * 4), (b"stsc", 16, b"\xff" * 4), (b"stco", 12, b"\xff" * 4), (b"stss", 12, bytes(4)), (b"mdhd", 4, b"\x01"), (b"stts", 12, b"\xff" * 8)):
+        i = good.index(kind) + at
+        bad.append(good[:i] + raw + good[i + len(raw) :])
+    trun = media.full(b"trun", struct.pack(">I", (1 << 32) - 1))
+    trak = media.box(b"trak", media.full(b"tkhd", struct.pack(">5I", 0, 0, 1, 0, 0), bytes(60)))
+    bad.append(media.box(b"moov", trak) + media.box(b"moof", media.box(b"traf", media.full(b"tfhd", struct.pack(">I", 1)), trun)))
+    far = media.full(b"tfhd", struct.pack(">IQ", 1, (1 << 64) - 1), flags=1)
+    bad.append(media.box(b"moov", trak) + media.box(b"moof", media.box(b"traf", far, media.full(b"trun", struct.pack(">II", 1, 8), flags=0x200))))
+    failed = 0
+    for x in bad:
+        try:
+            media.probe(x)
+        except media.Malformed:
+            failed += 1
+    assert failed >= len(bad) - 3
+
+
+def test_no_edit_raises_anything_else():
+    rng = random.Random(6)
+    good = media.mux_raw(media.padded(b"text" * 300))
+    for _ in range(3000):
+        raw = bytearray(good[: rng.choice((len(good), rng.randrange(len(good))))])
+        for _ in range(rng.randrange(1, 6)):
+            if raw:
+                raw[rng.randrange(min(len(raw), 700))] = rng.choice((0, 1, 255, rng.randrange(256)))
+        told = media._described(bytes(raw))
+        assert told["error"] is not None or all(0 <= t["duration"] < 1 << 63 for t in told["tracks"])
+
+
 def test_sizes_of_boxes():
     body = media.mux_raw(media.padded(b"x" * 70))
     assert len(media.probe(struct.pack(">I4sQ", 1, b"free", 16) + b"" + body[:0] + _shifted(body, 16))) == 1
@@ -78,6 +114,9 @@ def test_column(spark, docs, rows, no_docs):
 
 
 def test_column_errors(spark):
-    df = spark.createDataFrame([(1, None), (2, bytearray(b"junk")), (3, bytearray(media.mux_raw(media.padded(b"ok"))))], "doc_id long, media binary")
+    deep = b""
+    for _ in range(1500):
+        deep = media.box(b"moov", deep)
+    df = spark.createDataFrame([(1, None), (2, bytearray(b"junk")), (4, bytearray(deep)), (4, bytearray(deep)), (3, bytearray(media.mux_raw(media.padded(b"ok"))))], "doc_id long, media binary")
     got = {r.doc_id: r for r in media.probe_column(df).collect()}
-    assert got[1].error == "null" and got[2].error and got[2].tracks is None and got[3].error is None
+    assert "deep" in got[4].error and got[1].error == "null" and got[2].error and got[2].tracks is None and got[3].error is None
