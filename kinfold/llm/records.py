@@ -8,7 +8,8 @@ or 4), 6 bytes 0, then the ids. A checksum is CRC-32 rotated right by 15 bits
 plus MASK, so that data that holds checksums can be checked again.
 
 The index beside a shard has 32 bytes a record: offset, length, document id,
-number of ids. It lets a reader fetch records in any order.
+number of ids. It lets a reader fetch records in any order: shuffled() takes
+blocks of about BLOCK bytes in random order, and the records of each.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .fsio import Published, chunks, read_range
 from .pretoken import character_classes, encoder_of, text_groups
-from .shared import partitions, scratch, written
+from .shared import scratch, written
 
 #: Fixed value: what masked checksums add after the rotation.
 MASK = 0xA282EAD8
@@ -33,6 +34,8 @@ HEAD = "<qBB6x"
 INDEX = "<QQqQ"
 LENGTH_LIMIT = 1 << 40
 ROWS = 256
+#: Bytes of text that a shard takes, and those from which it is worth a task of its own; bytes that a shuffled read takes at once.
+SHARD, LEAST_SHARD, BLOCK = 32 << 20, 1 << 20, 1 << 20
 
 
 class BadRecord(ValueError):
@@ -98,6 +101,31 @@ def record_at(path: str, offset: int, length: int) -> tuple[int | None, np.ndarr
     return parsed(next(records([read_range(path, offset, length)])))
 
 
+def shuffled(path: str, seed: int, block: int = BLOCK) -> Iterator[tuple[int, int | None, np.ndarray]]:
+    """(place in the shard, document id, ids) of every record, in an order of the seed's, checked against the index."""
+    index = np.frombuffer(b"".join(chunks(f"{path}.index")), np.dtype([("offset", "<u8"), ("length", "<u8"), ("doc_id", "<i8"), ("ids", "<u8")]))
+    rng = np.random.default_rng(seed)
+    of = index["offset"] // np.uint64(block)
+    edges = np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])), len(index)) if len(index) else np.zeros(1, np.int64)
+    for b in rng.permutation(len(edges) - 1):
+        some = index[edges[b] : edges[b + 1]]
+        first = int(some["offset"][0])
+        raw = read_range(path, first, int(some["offset"][-1] + some["length"][-1]) - first)
+        for i in rng.permutation(len(some)):
+            at, length = int(some["offset"][i]) - first, int(some["length"][i])
+            payload = list(records([raw[at : at + length]]))
+            key, ids = parsed(payload[0]) if len(payload) == 1 else (None, None)
+            if ids is None or (key or 0) != some["doc_id"][i] or len(ids) != some["ids"][i]:
+                raise BadRecord("a record isn't what the index says")
+            yield int(edges[b] + i), key, ids
+
+
+def shard_count(docs: DataFrame, text: str = "text", shard: int = SHARD) -> int:
+    """Shards of about ``shard`` bytes of text; smaller ones while there are idle cores and LEAST_SHARD bytes for each."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    return max(1, -(-size // shard), min(docs.sparkSession.sparkContext.defaultParallelism, size // LEAST_SHARD))
+
+
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, shards: int, end_id: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every text, append ``end_id`` and write the ids in ascending document id.
 
@@ -150,29 +178,38 @@ def _vocabulary(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
 
-def read_shards(listed: DataFrame, tasks: int) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every record of the listed shards, checked on the way."""
+def read_shards(listed: DataFrame, tasks: int, seed: int = 0) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every record of the listed shards, read through their indexes in shuffled order.
+
+    Defined results: a record, an index or a shard that isn't whole raises
+    BadRecord; no shards give no rows; the rows are the same for any seed.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            for path, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held = []
-                for payload in records(chunks(path)):
-                    key, ids = parsed(payload)
-                    held.append((key, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                    start += len(ids)
+            for path, start, n_docs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts = np.array([n for _, _, _, n in index_of(path)], np.int64)
+                if len(counts) != n_docs:
+                    raise BadRecord("an index lacks records")
+                starts, held = start + np.cumsum(counts) - counts, []
+                for place, key, ids in shuffled(path, seed):
+                    held.append((key, int(starts[place]), len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     if len(held) == 4096:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
                         held = []
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
-    return listed.select("path", "start").repartition(tasks).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return listed.select("path", "start", "n_docs").repartition(tasks).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_records(docs: DataFrame, tokenizer: str, **columns: str) -> DataFrame:
-    """Write the shards to the shared folder and read them back."""
-    spark = docs.sparkSession
-    n = partitions(spark)
-    return read_shards(write_shards(docs, tokenizer, scratch(spark, "records"), n, **columns), n)
+    """Write the shards to the shared folder and read them back: doc_id, start, n_tokens, ids_crc32.
+
+    Defined results: those of write_shards() and read_shards(); texts of any
+    length are encoded whole, about a million characters of others at a time;
+    other columns of any name are left out.
+    """
+    n = shard_count(docs, columns.get("text", "text"))
+    return read_shards(write_shards(docs, tokenizer, scratch(docs.sparkSession, "records"), n, **columns), n)

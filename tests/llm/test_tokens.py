@@ -1,4 +1,5 @@
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -92,7 +93,25 @@ def test_records(spark, docs, rows, no_docs, tokenizer, library):
     for offset, length, key, n in reversed(index):
         doc, found = records.record_at(path, offset, length)
         assert (doc or 0) == key and len(found) == n
+    assert sorted(records.read_shards(listed, 2, seed=9).collect(), key=str) == sorted(got, key=str)
+    one, two = ([place for place, _, _ in records.shuffled(path, seed, 500)] for seed in (1, 2))
+    assert one != two and sorted(one) == sorted(two) == list(range(len(index)))
     assert records.token_records(no_docs, tokenizer).count() == 0
+    assert records.shard_count(docs) >= 1 == records.shard_count(no_docs)
+
+
+def test_index_that_lies(tmp_path):
+    shard = tmp_path / "shard"
+    rows = [records.framed(records.serialized(i, np.arange(i), 2)) for i in range(4)]
+    shard.write_bytes(b"".join(rows))
+    entries = [(sum(map(len, rows[:i])), len(rows[i]), i, i) for i in range(4)]
+    for change in ({}, {2: (entries[2][0], len(rows[2]), 9, 2)}, {2: (entries[2][0], len(rows[2]), 2, 7)}, {2: (entries[2][0] + 1, len(rows[2]), 2, 2)}, {2: (entries[2][0], 0, 2, 2)}):
+        (tmp_path / "shard.index").write_bytes(b"".join(struct.pack(records.INDEX, *change.get(i, e)) for i, e in enumerate(entries)))
+        if change:
+            with pytest.raises(records.BadRecord):
+                list(records.shuffled(str(shard), 1))
+        else:
+            assert sorted(k for _, k, _ in records.shuffled(str(shard), 1)) == [0, 1, 2, 3]
 
 
 def test_broken_records():
