@@ -69,7 +69,8 @@ def op8_ngram_join(spark, sf_dir):
 
 def op9_warc(spark, sf_dir):
     listed = warc.write_archives(_table(spark, sf_dir, "pages"), warc.archive_folder(spark))
-    return warc.read_archives(listed, partitions(spark)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    read = warc.read_archives(listed, partitions(spark), strict=True)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "block_ok", "payload_ok")
 
 
 def op10_mixing(spark, sf_dir):

@@ -207,8 +207,16 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, level: int = 6
 READ = "path string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, block_ok boolean, payload_ok boolean"
 
 
-def read_archives(listed: DataFrame, tasks: int) -> DataFrame:
-    """The records of the archives in column ``path``, a task per share of them, verified on the way."""
+def read_archives(listed: DataFrame, tasks: int, strict: bool = False) -> DataFrame:
+    """The records of the archives in column ``path``, a task per share of them, verified on the way.
+
+    ``block_ok`` and ``payload_ok`` say whether the digests in a record's header
+    are those of its bytes; with ``strict`` a record where one isn't raises
+    BadRecord, as cut and malformed ones always do.
+
+    Defined results: ids that aren't numbers are null; a record without digests
+    is taken as it is; repeated records are kept; no archives give no rows.
+    """
     schema = pa.schema([("path", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("block_ok", pa.bool_()), ("payload_ok", pa.bool_())])
 
     def number(urn: str | None):
@@ -221,6 +229,8 @@ def read_archives(listed: DataFrame, tasks: int) -> DataFrame:
                 held = []
                 for r in records(chunks(path)):
                     h = r.headers
+                    if strict and not (r.block_ok and r.payload_ok):
+                        raise BadRecord(f"{h.get('warc-record-id')} in {path} doesn't match its digests")
                     held.append((path, number(h.get("warc-record-id")), h.get("warc-target-uri"), h.get("warc-type"), number(h.get("warc-refers-to")), r.payload_bytes, r.payload_digest, r.block_ok, r.payload_ok))
                     if len(held) == 4096:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)

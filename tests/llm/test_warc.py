@@ -12,7 +12,7 @@ def digest(b):
     return base64.b32encode(hashlib.sha1(b).digest()).decode()
 
 
-PAGES = [(1, "http://a/x", "<p>hi</p>"), (2, "http://b\r\ny", "<p>hi</p>"), (5, None, "<p>hi</p>"), (3, "u", None), (4, "u", ""), (6, "u", "ü" * 5000), (7, "u", "\r\n\r\nWARC/1.1\r\n\r\n"), (8, "u", "x" * 3_000_000), (9, "u", "twice"), (9, "u", "twice"), (-3, "u", "neg"), (None, "u", "neg")]
+PAGES = [(1, "http://a/x", "<p>hi</p>"), (2, "http://b\r\ny", "<p>hi</p>"), (5, None, "<p>hi</p>"), (3, "u", None), (4, "u", ""), (6, "u", "ü" * 5000), (7, "u", "\r\n\r\nWARC/1.1\r\n\r\n"), (8, "u", "x" * 3_000_000), (9, "u", "twice"), (9, "u", "twice"), (11, "u", None), (11, None, None), (11, "u", "other"), (-3, "u", "neg"), (None, "u", "neg")]
 
 
 def test_round_trip(spark):
@@ -56,3 +56,19 @@ def test_reader():
         list(warc.records([whole[:-3]]))
     with pytest.raises(warc.BadRecord):
         list(warc.records([b"plain text, no archive"]))
+
+
+def test_forged_records(spark, tmp_path):
+    def archive(name, raw):
+        at = tmp_path / name
+        at.write_bytes(raw)
+        return spark.createDataFrame([(str(at),)], "path string")
+
+    good, forged = warc.page_record(1, "u", b"payload"), gzip.decompress(warc.page_record(2, "u", b"payload")).replace(b"payload\r\n", b"pAyload\r\n")
+    again = gzip.decompress(warc.page_record(3, "u", b"payload", refers_to=1)).replace(b"200 OK", b"200 KO")
+    listed = archive("forged.warc.gz", good + gzip.compress(forged) + gzip.compress(again))
+    got = {r.page_id: (r.block_ok, r.payload_ok) for r in warc.read_archives(listed, 1).collect()}
+    assert got == {1: (True, True), 2: (False, False), 3: (False, True)}
+    assert warc.read_archives(archive("good.warc.gz", good), 1, strict=True).count() == 1
+    with pytest.raises(Exception, match="doesn't match its digests"):
+        warc.read_archives(listed, 1, strict=True).collect()
