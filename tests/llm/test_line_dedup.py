@@ -1,6 +1,9 @@
 import re
 from collections import defaultdict
 
+import pytest
+
+from kinfold.llm import line_dedup
 from kinfold.llm.line_dedup import drop_repeated_lines
 
 
@@ -28,7 +31,9 @@ def test_brute_force(spark, docs, rows, no_docs):
     assert drop_repeated_lines(no_docs).count() == 0
 
 
-def test_hot_line_and_rows_of_one_id(spark):
+@pytest.mark.parametrize("hot", [1, 2, 4096, 10**9])
+def test_hot_line_and_rows_of_one_id(spark, monkeypatch, hot):
+    monkeypatch.setattr(line_dedup, "HOT", hot)
     rows = [(i % 40, f"the very common line\nown line number {i}\n\tTHE VERY COMMON LINE\r\nünïcode lïne" + "\nx" * (i % 3)) for i in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, drop_repeated_lines(df).collect()), key=str) == brute(rows)
