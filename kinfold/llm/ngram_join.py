@@ -39,9 +39,9 @@ from .shingles import Shingler, byte_groups
 #: Counters of shingle frequencies, 2 bytes each where they are sent: 8 MB at any size of the input.
 COUNTERS = 1 << 22
 CHUNK_COUNTERS = 1 << 16
-BATCH_SHINGLES = 4 << 20
+BATCH_SHINGLES = 1 << 20
 #: First shingles that a task holds until it packs them, and those of a range of keys.
-CHUNK_KEYS, RANGE_KEYS = 2 << 20, 4 << 20
+CHUNK_KEYS, RANGE_KEYS = 1 << 20, 4 << 20
 #: Sizes of a band differ by less than 5 %.
 STEP = math.log(1.05)
 #: Weight of a family that one task compares; a set weighs its shingles and BASE more.

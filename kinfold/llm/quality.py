@@ -213,67 +213,87 @@ class QualityModel:
     toxic: CoTrained | None
 
 
-COLUMNS = ("text", "lang", "source", "n_chars")
+COLUMNS = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
+TABLE = pa.schema([("doc_id", pa.int64()), ("content", pa.binary()), ("metadata", pa.binary())])
 
 
-def _features(batch: pa.RecordBatch, views: Views):
-    """(first row, content, metadata) of runs of the batch's rows; its first columns are COLUMNS."""
-    lang, source, chars = (batch.column(i).to_pylist() for i in (1, 2, 3))
-    for first, data, offsets in byte_groups(batch.column(0)):
+def _features(batch: pa.RecordBatch, views: Views, at: list[int]):
+    """(first row, content, metadata) of runs of the batch's rows. ``at``: where it has the columns of COLUMNS."""
+    lang, source, chars = (batch.column(i).to_pylist() for i in at[1:])
+    for first, data, offsets in byte_groups(batch.column(at[0])):
         here = slice(first, first + len(offsets) - 1)
         yield first, views.content(data, offsets), views.metadata(data, offsets, lang[here], source[here], chars[here])
 
 
-def _inputs(docs: DataFrame) -> list:
-    have = set(docs.columns)
-    kinds = {"n_chars": "long"}
-    return [(F.col(c) if c in have else F.lit(None)).cast(kinds.get(c, "string")).alias(f"view__{c}") for c in COLUMNS]
+def _viewed(docs: DataFrame, kept: list[str]) -> tuple[list, list[int]]:
+    """Columns to select: those kept, and those of COLUMNS that aren't among them in the right type; and where COLUMNS are."""
+    kinds = dict(docs.dtypes)
+    picked, at = [F.col(f"`{c}`").alias(f"kept__{i}") for i, c in enumerate(kept)], []
+    for c, kind in COLUMNS.items():
+        if c in kept and kinds[c] == kind.replace("long", "bigint"):
+            at.append(kept.index(c))
+        else:
+            at.append(len(picked))
+            picked.append((F.col(c) if c in kinds else F.lit(None)).cast(kind).alias(f"view__{c}"))
+    return picked, at
 
 
-def _features_of(docs: DataFrame, wanted: DataFrame, columns: str) -> pa.Table:
-    """doc_id, the further columns of ``wanted``, and both views' features of the wanted documents. ``wanted`` is of bounded size."""
-    kinds = StructType.fromDDL(columns)
-    names = kinds.fieldNames()
-    rows = docs.select("doc_id", *_inputs(docs)).join(F.broadcast(wanted), "doc_id").select(*[f"view__{c}" for c in COLUMNS], *names)
+def _packed(counts: np.ndarray, places: np.ndarray) -> pa.Array:
+    """Places as 4-byte numbers, a binary value a document."""
+    ends = np.append(0, 4 * np.cumsum(counts)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(places.astype("<i4"))])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    places = np.frombuffer(column.buffers()[2] or b"", "<i4", (ends[-1] - ends[0]) // 4, ends[0]) if ends[-1] > ends[0] else np.zeros(0, np.int32)
+    return np.diff(ends).astype(np.int64) // 4, places.astype(np.int64)
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """doc_id and both views' features, for every document of an id."""
+    picked, at = _viewed(docs, [])
+    at = [i + 1 for i in at]
 
     def run(batches):
         views = Views()
         for batch in batches:
-            for first, content, metadata in _features(batch, views):
-                n = len(content[0])
-                lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(c)).astype(np.int32)), pa.array(p.astype(np.int32))) for c, p in (content, metadata)]
-                yield pa.RecordBatch.from_arrays([*[batch.column(len(COLUMNS) + i).slice(first, n) for i in range(len(names))], *lists], names=[*names, "content", "metadata"])
+            for first, content, metadata in _features(batch, views, at):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(content[0])), _packed(*content), _packed(*metadata)], schema=TABLE)
 
-    return rows.mapInArrow(run, f"{columns}, content array<int>, metadata array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    return docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), *picked).mapInArrow(run, "doc_id long, content binary, metadata binary")
+
+
+def _collected(table: DataFrame, wanted: DataFrame) -> pa.Table:
+    """The rows of features() with an id of ``wanted``, and its other columns, in the order of ids and features. ``wanted`` is of bounded size."""
+    return table.join(F.broadcast(wanted), "doc_id").toArrow().sort_by([("doc_id", "ascending"), ("content", "ascending"), ("metadata", "ascending")]).combine_chunks()
 
 
 def _view(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
-    lists = table.column(name).combine_chunks()
-    return np.diff(lists.offsets.to_numpy()).astype(np.int64), lists.flatten().to_numpy().astype(np.int64)
+    column = table.column(name).combine_chunks()
+    return _unpacked(column.cast(pa.binary()) if column.type != pa.binary() else column)
 
 
-def _sure(docs: DataFrame, labelled: DataFrame, models: list, sure: float, most: int) -> list[tuple[int, int]]:
+def _sure(table: DataFrame, labelled: DataFrame, models: list, sure: float, most: int) -> list[tuple[int, int]]:
     """(slot, doc_id): for each slot, at most ``most`` unlabelled documents of the smallest id hashes of all that qualify.
 
     Slot 4 * target + 2 * view + label is of the documents for which that view's
-    probability of that label is at least ``sure``.
+    probability of that label is at least ``sure``. Every row of features() is scored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    shared = table.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
-        views = Views()
         for batch in batches:
-            for first, content, metadata in _features(batch, views):
-                n = len(content[0])
-                slots = np.zeros(n, np.int32)
-                for target, pair in enumerate(shared.value):
-                    for v, features in enumerate((content, metadata) if pair else ()):
-                        p = _sigmoid(pair[v].margins(*features))
-                        for label, q in ((0, 1 - p), (1, p)):
-                            slots |= (q >= sure).astype(np.int32) << (4 * target + 2 * v + label)
-                yield pa.RecordBatch.from_arrays([batch.column(len(COLUMNS)).slice(first, n), pa.array(slots)], names=["doc_id", "slots"])
-
-    told = docs.filter("doc_id is not null").select(*_inputs(docs), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(run, "doc_id long, slots int")
+            views = [_unpacked(batch.column(i)) for i in (1, 2)]
+            slots = np.zeros(batch.num_rows, np.int32)
+            for target, pair in enumerate(shared.value):
+                for v, view in enumerate(views if pair else ()):
+                    p = _sigmoid(pair[v].margins(*view))
+                    for label, q in ((0, 1 - p), (1, p)):
+                        slots |= (q >= sure).astype(np.int32) << (4 * target + 2 * v + label)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(slots)], names=["doc_id", "slots"])
+
+    told = table.mapInArrow(run, "doc_id long, slots int")
     with temporary():
         told = written(told.filter("slots <> 0").join(labelled, "doc_id", "left_anti"), "sure")
         lists = None
@@ -287,6 +307,8 @@ def _sure(docs: DataFrame, labelled: DataFrame, models: list, sure: float, most:
 def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, max_handed: int = MAX_HANDED, rounds: int = ROUNDS, sure: float = SURE) -> QualityModel:
     """Fit on the labelled documents of the smallest id hashes, at most ``max_labels``, and what the views hand each other.
 
+    Texts are read once, for a table of features that all rounds use.
+
     Defined results: labels of one document that disagree count as low quality
     and as toxic; null labels and labels of documents that aren't there are
     ignored; every row of a repeated id is a row of the fit; a target of which
@@ -298,18 +320,19 @@ def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, max_
         said = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).cast("int").alias("toxic"))
         said = written(said, "labels")
         known = written(said.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels), "fit-ids")
-        got = _features_of(docs, known, "doc_id long, quality int, toxic int")
+        table = written(features(docs), "features")
+        got = _collected(table, known)
         if not got.num_rows:
             return QualityModel(None, None)
         views = _view(got, "content"), _view(got, "metadata")
         fits = [CoFit(views, got.column(c).to_numpy().astype(np.int64)) for c in ("quality", "toxic")]
         for _ in range(rounds):
             models = [f.fit() if f.trainable else None for f in fits]
-            handed = _sure(docs, said.select("doc_id"), models, sure, max_handed)
+            handed = _sure(table, said.select("doc_id"), models, sure, max_handed)
             if not handed:
                 break
             ids = spark.createDataFrame([(i,) for i in sorted({i for _, i in handed})], "doc_id long")
-            extra = _features_of(docs, ids, "doc_id long")
+            extra = _collected(table, ids)
             at: dict[int, list[int]] = {}
             for row, key in enumerate(extra.column("doc_id").to_pylist()):
                 at.setdefault(key, []).append(row)
@@ -334,16 +357,17 @@ def scored(docs: DataFrame, model: QualityModel, least_quality: float = 0.5, mos
     at a threshold is accepted as quality and rejected as toxic; repeated rows
     score alike; an empty table gives no rows; other columns of any name stay.
     """
-    docs = docs.select([F.col(f"`{c}`") for c in docs.columns if c not in ADDED.names])
-    kept = docs.schema
-    schema = StructType([*kept, *ADDED])
+    names = [c for c in docs.columns if c not in ADDED.names]
+    docs = docs.select([F.col(f"`{c}`") for c in names])
+    schema = StructType([*docs.schema, *ADDED])
     arrow = to_arrow_schema(schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    picked, at = _viewed(docs, names)
 
     def run(batches):
         views, m = Views(), shared.value
         for batch in batches:
-            for first, content, metadata in _features(batch, views):
+            for first, content, metadata in _features(batch, views, at):
                 n = len(content[0])
                 quality = m.quality.probability(content, metadata) if m.quality else None
                 toxic = m.toxic.probability(content, metadata) if m.toxic else None
@@ -353,6 +377,6 @@ def scored(docs: DataFrame, model: QualityModel, least_quality: float = 0.5, mos
                 if toxic is not None:
                     good &= toxic < most_toxic
                 told = [pa.nulls(n, pa.float64()) if p is None else pa.array(p) for p in (quality, toxic)]
-                yield pa.RecordBatch.from_arrays([*[c.slice(first, n) for c in batch.columns[len(COLUMNS) :]], *told, pa.array(good)], schema=arrow)
+                yield pa.RecordBatch.from_arrays([*[c.slice(first, n) for c in batch.columns[: len(names)]], *told, pa.array(good)], schema=arrow)
 
-    return docs.select(*_inputs(docs), *[F.col(f"`{c}`").alias(f"kept__{i}") for i, c in enumerate(docs.columns)]).mapInArrow(run, schema)
+    return docs.select(picked).mapInArrow(run, schema)

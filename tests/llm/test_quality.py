@@ -181,9 +181,9 @@ def test_handed_documents_are_unlabelled_and_bounded(spark):
     known = spark.createDataFrame([(i,) for i in range(100)], "doc_id long")
     # Any document with a feature that the model has is sure to be 1, any other sure to be 0.
     all_sure = quality.Linear(np.full(1 << quality.CONTENT_BITS, 9.0, np.float32), -4.0)
-    slots = quality._sure(docs, known, [(all_sure, all_sure), None], 0.97, 30)
+    slots = quality._sure(quality.features(docs), known, [(all_sure, all_sure), None], 0.97, 30)
     assert {s for s, _ in slots} == {1, 3} and all(i >= 100 for _, i in slots) and len(slots) == 60
-    every = quality._sure(docs, known, [(all_sure, all_sure), None], 0.97, 10_000)
+    every = quality._sure(quality.features(docs), known, [(all_sure, all_sure), None], 0.97, 10_000)
     assert {i for s, i in every if s == 1} == set(range(100, 300)) and set(slots) <= set(every)
 
 
