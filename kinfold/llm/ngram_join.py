@@ -47,6 +47,8 @@ STEP = math.log(1.05)
 #: Weight of a family that one task compares; a set weighs its shingles and BASE more.
 MOST, BASE = 4 << 20, 64
 CENTRES = 4
+#: Rows of (task, side, node) up to which they are sent to every executor: 16 MB at 64 bytes each.
+DEALT_ROWS = 1 << 18
 TILE, TILE_SHINGLES, BITS_A_SHINGLE = 256, 1 << 20, 16
 
 
@@ -349,8 +351,14 @@ def linked(nodes: list[int], sets: list[np.ndarray], percent: int, side: list[in
 
 
 def _compared(docs: DataFrame, dealt: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b: links found by the tasks of ``dealt`` (task, side, node). A task of one side compares all its pairs."""
-    rows = dealt.join(possibly_in(docs, F.col("doc_id"), dealt, "node"), F.col("node") == F.col("doc_id")).select("task", "side", "node", "text")
+    """a, b: links found by the tasks of ``dealt`` (task, side, node). A task of one side compares all its pairs.
+
+    Up to DEALT_ROWS rows, ``dealt`` is sent to the texts, which then move once;
+    beyond, they meet by a shuffle of those that the bitmap lets through.
+    """
+    few = written(dealt, "dealt")
+    sent = F.broadcast(few) if few.count() <= DEALT_ROWS else few
+    rows = possibly_in(docs, F.col("doc_id"), few, "node").join(sent, F.col("node") == F.col("doc_id")).select("task", "side", "node", "text")
     rows = rows.repartition(partitions(docs.sparkSession), "task").sortWithinPartitions("task")
 
     def run(batches):

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .fsio import Published, chunks, read_range
 from .pretoken import character_classes, encoder_of, text_groups
-from .shared import scratch, written
+from .shared import scratch, temporary, written
 
 #: Fixed value: what masked checksums add after the rotation.
 MASK = 0xA282EAD8
@@ -167,9 +167,10 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, shards: int, end_
     picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     order = ["doc_id", "tie"]
     dealt = picked.withColumn("tie", F.xxhash64("text")).repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
-    listed = written(dealt.mapInArrow(run, "shard long, path string, n_docs long, n_ids long"), "shards-written")
-    before = F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    return written(listed.withColumn("start", F.coalesce(before, F.lit(0)).cast("long")), "shards")
+    with temporary():
+        listed = written(dealt.mapInArrow(run, "shard long, path string, n_docs long, n_ids long"), "shards-written")
+        before = F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+        return written(listed.withColumn("start", F.coalesce(before, F.lit(0)).cast("long")), "shards", keep=True)
 
 
 def _vocabulary(path: str) -> int:
