@@ -19,35 +19,45 @@ def tokenizer():
 
 
 def op1_media_columns(spark, sf_dir):
+    """Every whole text of documents as an ISO media file, and what is read back from it.
+
+    Null and empty texts are one frame of zeros; ids, null or repeated, are kept.
+    """
     stored = written(media.texts_to_media(_table(spark, sf_dir, "documents")), "media")
     read = media.probe_column(stored, keys=("doc_id", "n_bytes"))
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.to_json("tracks").alias("feature"), "error")
 
 
 def op2_decontamination(spark, sf_dir):
+    """doc_id, item_id, word, similarity, hamming: documents with a window like a benchmark item, and the best window."""
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op3_token_counts(spark, sf_dir):
+    """Tokens of every whole text of documents; null and empty texts have none."""
     return token_count.token_counts(_table(spark, sf_dir, "documents"), tokenizer())
 
 
 def op4_quality_classifier(spark, sf_dir):
+    """doc_id, p_quality, p_toxic, accepted of every document, by views trained on labels."""
     docs = _table(spark, sf_dir, "documents")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
     return quality.scored(docs.select("doc_id", "text", "lang", "source", "n_chars"), model).select("doc_id", "p_quality", "p_toxic", "accepted")
 
 
 def op5_line_dedup(spark, sf_dir):
+    """Lines, dropped lines and the digest of the kept text of every document."""
     kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op6_token_records(spark, sf_dir):
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the record files in ascending id, nulls first."""
     return records.token_records(_table(spark, sf_dir, "documents"), tokenizer())
 
 
 def op7_chat_formatting(spark, sf_dir):
+    """Every conversation as one formatted text and what is read back from it: rows by turn, then role and text."""
     said = "\\### Assistant: </turn> ok"
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
@@ -64,16 +74,19 @@ def op7_chat_formatting(spark, sf_dir):
 
 
 def op8_ngram_join(spark, sf_dir):
+    """doc_id, n_shingles, component_id of every document; null ids have a null component."""
     return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
 
 
 def op9_warc(spark, sf_dir):
+    """Every page as a record, read back from the archives; a record that doesn't match its digests fails the query."""
     listed = warc.write_archives(_table(spark, sf_dir, "pages"), warc.archive_folder(spark))
     read = warc.read_archives(listed, partitions(spark), strict=True)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "block_ok", "payload_ok")
 
 
 def op10_mixing(spark, sf_dir):
+    """How many words the mix takes of every document."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -36,7 +36,12 @@ def unescaped(c: Column, pairs=ESCAPES) -> Column:
 
 
 def from_turns(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Messages of plain conversations: each row answers the one before it, by turn, then role and text."""
+    """Messages of plain conversations: each row answers the one before it, by turn, then role and text.
+
+    Defined results: null roles and texts are empty; null turns come first; rows
+    of null conversation are one conversation; repeated rows are turns of their
+    own; an empty table gives no messages; other columns are left out.
+    """
     picked = rows.select(F.col(conv_id).alias("tree"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     place = F.row_number().over(Window.partitionBy("tree").orderBy("turn", "role", "text")).cast("long")
     numbered = picked.withColumn("message", place)
@@ -53,6 +58,8 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
 
     A path's score is the sum of its messages' scores; ties go to the longer
     path, then to the smaller leaf. depth counts from the root, 0.
+
+    Defined results: as format_trees() has them; no messages give no paths.
     """
     nodes = written(messages.select(_keyed(F.col("tree")).alias("k"), "message", "parent", F.coalesce("score", F.lit(0.0)).alias("score")).distinct(), "messages")
     known = nodes.select("k", F.col("message").alias("parent")).distinct()

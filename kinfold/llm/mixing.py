@@ -170,6 +170,11 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), budge
     """The documents, with all their columns, each as many times as mix() takes it.
 
     Text doesn't move: a row's source and hash decide its copies.
+
+    Defined results: as mix() has them; so documents without words are taken as
+    often as their source is taken whole, repeated rows are taken alike, equal
+    hashes together or not at all; no documents give none; other columns of any
+    name stay.
     """
     plan = _plan(_sized(docs, seed, doc_id, text, source), weights, budget, most)
     plan = plan.select(F.col("source").alias("mix__source"), "whole", "threshold").withColumnsRenamed({"whole": "mix__whole", "threshold": "mix__threshold"})
