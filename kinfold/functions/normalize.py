@@ -34,7 +34,9 @@ PHONE_PARTS = ["phone", "telephone", "tel", "mobile", "cell"]
 ADDRESS_PARTS = ["address", "street", "city", "state", "zip", "postal", "location"]
 ID_NAMES = ["id", "record_id", "sys id", "system id", "identifier", "key", "sys_id", "system_id"]
 ID_PARTS = ["id", "key", "identifier"]
-DOMAIN_SHAPE = r"^[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+DOMAIN_SHAPE = r"^[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\z"
+#: White space and separators of any script, as far as they surround values.
+SPACE = r"[\t-\r\x1c-\x1f\x85\p{Z}]"
 
 
 def prefix_pattern() -> str:
@@ -61,7 +63,8 @@ def company(name: Column, anchored: bool = False) -> Column:
 
 def domain(value: Column) -> Column:
     """Host of a web or mail address, the empty string if there is none."""
-    c = F.substring_index(F.btrim(F.lower(value)), "@", -1)
+    c = F.regexp_replace(F.lower(value), rf"^{SPACE}+|{SPACE}+\z", "")
+    c = F.substring_index(c, "@", -1)
     c = F.regexp_replace(F.regexp_replace(c, r"^https?://(?:www\.)?", ""), r"^www\.", "")
     c = F.substring_index(c, "/", 1)
     return F.when(c.rlike(DOMAIN_SHAPE), c).otherwise(F.lit(""))

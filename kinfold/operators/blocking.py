@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cut
 from .ranks import global_rank
 
 
@@ -26,22 +27,33 @@ class BlockingConfig:
 PAIR = ["record_id_1", "record_id_2", "row_idx_1", "row_idx_2"]
 
 
+#: Members of a key from which its pairs are formed in several tasks, so many of them in each.
+SHARE = 1000
+
+
 def _keyed(cleaned: DataFrame, key: str) -> DataFrame:
     return cleaned.select("record_id", "row_idx", F.col(key).alias("key")).filter(F.nullif(F.col("key"), F.lit("")).isNotNull())
 
 
-def _named(a: DataFrame, b: DataFrame, on: list[str], extra: Column | None = None) -> DataFrame:
-    left = a.select(*on, F.col("record_id").alias("record_id_1"), F.col("row_idx").alias("row_idx_1"))
-    right = b.select(*on, F.col("record_id").alias("record_id_2"), F.col("row_idx").alias("row_idx_2"))
-    return left.join(right, on).filter("row_idx_1 < row_idx_2").select(PAIR)
+def _equal(cleaned: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """block and the pairs of records with equal keys, for all the blocks (name: column) at once.
+
+    A key of many members is dealt out: each member is one of its left sides in
+    one share, and a right side in all of them.
+    """
+    entries = F.array(*[F.struct(F.lit(name).alias("block"), F.nullif(F.col(c), F.lit("")).alias("key")) for name, c in columns.items()])
+    rows = cleaned.select("record_id", "row_idx", F.inline(F.filter(entries, lambda e: e["key"].isNotNull())))
+    shared = rows.groupBy("block", "key").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    rows = rows.join(shared, ["block", "key"])
+    on = ["block", "key", "share"]
+    left = rows.select("block", "key", F.pmod(F.xxhash64("row_idx"), F.col("shares")).cast("int").alias("share"), F.col("record_id").alias("record_id_1"), F.col("row_idx").alias("row_idx_1"))
+    right = rows.select("block", "key", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("record_id").alias("record_id_2"), F.col("row_idx").alias("row_idx_2"))
+    return left.join(right, on).filter("row_idx_1 < row_idx_2").select("block", *PAIR)
 
 
 def block(cleaned: DataFrame, key: str) -> DataFrame:
     """Pairs of records with equal keys."""
-    rows = _keyed(cleaned, key)
-    shared = rows.groupBy("key").count().filter("count > 1").select("key")
-    rows = rows.join(shared, "key", "left_semi")
-    return _named(rows, rows, ["key"])
+    return _equal(cut(cleaned.select("record_id", "row_idx", key)), {key: key}).select(PAIR)
 
 
 def sorted_neighbourhood(cleaned: DataFrame, key: str = "company_clean", window: int = 5) -> DataFrame:
@@ -64,41 +76,52 @@ def sorted_neighbourhood(cleaned: DataFrame, key: str = "company_clean", window:
     return met.select(swap("id_a", "id_b").alias("record_id_1"), swap("id_b", "id_a").alias("record_id_2"), F.least("row_a", "row_b").alias("row_idx_1"), F.greatest("row_a", "row_b").alias("row_idx_2"))
 
 
+COLUMNS = {"phone": "phone_clean", "domain": "domain_clean", "company": "company_clean"}
+
+
+def _tagged(cleaned: DataFrame, config: BlockingConfig, equal: dict[str, str]) -> DataFrame:
+    """block and the pairs of every block asked for."""
+    every = _equal(cleaned, equal) if equal else None
+    if config.use_fuzzy_block:
+        fuzzy = sorted_neighbourhood(cleaned, window=config.fuzzy_window_size).select(F.lit("fuzzy").alias("block"), *PAIR)
+        every = fuzzy if every is None else every.unionByName(fuzzy)
+    if every is None:
+        raise ValueError("no block is asked for")
+    return every
+
+
+def _asked(config: BlockingConfig) -> dict[str, str]:
+    return {name: c for name, c in COLUMNS.items() if getattr(config, f"use_{name}_block")}
+
+
+def _keys(cleaned: DataFrame) -> DataFrame:
+    return cut(cleaned.select("record_id", "row_idx", *COLUMNS.values()))
+
+
 def blocks(cleaned: DataFrame, config: BlockingConfig | None = None) -> dict[str, DataFrame]:
     """The pairs of each block that the configuration asks for."""
-    config = config or BlockingConfig()
-    found = {}
-    if config.use_phone_block:
-        found["phone"] = block(cleaned, "phone_clean")
-    if config.use_domain_block:
-        found["domain"] = block(cleaned, "domain_clean")
-    if config.use_company_block:
-        found["company"] = block(cleaned, "company_clean")
+    config, rows = config or BlockingConfig(), _keys(cleaned)
+    found = {name: _equal(rows, {name: c}).select(PAIR) for name, c in _asked(config).items()}
     if config.use_fuzzy_block:
-        found["fuzzy"] = sorted_neighbourhood(cleaned, window=config.fuzzy_window_size)
+        found["fuzzy"] = sorted_neighbourhood(rows, window=config.fuzzy_window_size)
     return found
 
 
 def candidate_pairs(cleaned: DataFrame, config: BlockingConfig | None = None) -> DataFrame:
-    """The distinct pairs of all blocks."""
-    every = None
-    for pairs in blocks(cleaned, config).values():
-        every = pairs if every is None else every.unionByName(pairs)
-    if every is None:
-        raise ValueError("no block is asked for")
-    return every.dropDuplicates(PAIR)
+    """The distinct pairs of all blocks. Records with one company are neighbours too, so that block isn't formed twice."""
+    config = config or BlockingConfig()
+    equal = {name: c for name, c in _asked(config).items() if not (config.use_fuzzy_block and name == "company")}
+    return _tagged(_keys(cleaned), config, equal).select(PAIR).dropDuplicates(PAIR)
 
 
 def statistics(cleaned: DataFrame, config: BlockingConfig | None = None) -> DataFrame:
     """One row: records, pairs of each block, distinct pairs, possible pairs, reduction ratio."""
-    found = blocks(cleaned, config)
-    tagged = None
-    for name, pairs in found.items():
-        one = pairs.withColumn("block", F.lit(name))
-        tagged = one if tagged is None else tagged.unionByName(one)
-    by_pair = tagged.groupBy(PAIR).agg(*[F.max((F.col("block") == n).cast("int")).alias(n) for n in found])
+    config = config or BlockingConfig()
+    rows = _keys(cleaned)
+    found = [*_asked(config), *(["fuzzy"] if config.use_fuzzy_block else [])]
+    by_pair = _tagged(rows, config, _asked(config)).groupBy("row_idx_1", "row_idx_2").agg(*[F.max((F.col("block") == n).cast("int")).alias(n) for n in found])
     counts = by_pair.agg(F.count("*").alias("output_pairs"), *[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(f"{n}_pairs") for n in found])
-    size = cleaned.agg(F.count("*").alias("input_records"))
+    size = rows.agg(F.count("*").alias("input_records"))
     n = F.col("input_records")
     possible = F.expr("input_records * (input_records - 1) DIV 2")
     both = size.crossJoin(counts).withColumn("possible_pairs", possible)

@@ -64,9 +64,10 @@ def kmeans(x: np.ndarray, k: int, steps: int = 50) -> np.ndarray:
     rng = np.random.default_rng(SEED)
     k = min(k, len(np.unique(x, axis=0)))
     centres = x[[int(rng.integers(len(x)))]]
+    nearest = ((x - centres[0]) ** 2).sum(1)
     while len(centres) < k:
-        d = ((x[:, None, :] - centres[None]) ** 2).sum(2).min(1)
-        centres = np.vstack([centres, x[int(np.argmax(d))]])
+        centres = np.vstack([centres, x[int(np.argmax(nearest))]])
+        nearest = np.minimum(nearest, ((x - centres[-1]) ** 2).sum(1))
     labels = np.zeros(len(x), int)
     for _ in range(steps):
         new = np.argmin((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), axis=1)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalize
+from ..sources.scratch import cut
 from .graph import connected_components
 from .ranks import global_rank
 
@@ -15,8 +17,8 @@ CLEAN = ["company_clean", "domain_clean", "phone_clean", "address_clean"]
 def clean(df: DataFrame, order: Column | None = None, anchored: bool = False) -> DataFrame:
     """The raw columns with record_id, row_idx and the four clean columns (null where the role has no column).
 
-    ``order`` gives the natural order of rows; without it that of the files is
-    taken. Raises ValueError if no column can hold a company.
+    ``order`` gives the natural order of rows; without it they are numbered by
+    in_file_order(). Raises ValueError if no column can hold a company.
     """
     role = normalize.roles(df.columns)
     if not role["company"]:
@@ -26,7 +28,7 @@ def clean(df: DataFrame, order: Column | None = None, anchored: bool = False) ->
     if order is not None:
         df = df.withColumn("row_idx", order)
     else:
-        df = global_rank(df.withColumn("row__order", F.monotonically_increasing_id()), ["row__order"], "row_idx").drop("row__order")
+        df = in_file_order(df, "row_idx")
     if not role["id"]:
         df = df.withColumn("record_id", F.col("row_idx").cast("string"))
     named = {k: ("record_id" if v == role["id"] else v) for k, v in role.items() if isinstance(v, str)}
@@ -42,6 +44,23 @@ def clean(df: DataFrame, order: Column | None = None, anchored: bool = False) ->
     )
 
 
+def in_file_order(df: DataFrame, name: str) -> DataFrame:
+    """Number the rows by their files' names, then in the order of each file.
+
+    Spark packs files into partitions by size, so a row's partition says nothing
+    of its file; the place of its block does. Rows that come from no file are
+    taken in the order of their partitions.
+    """
+    place = ["_metadata.file_path", "_metadata.file_block_start"]
+    try:
+        df = df.select("*", *[F.col(c).alias(f"row__{i}") for i, c in enumerate(place)])
+        order = ["row__0", "row__1"]
+    except AnalysisException:
+        order = []
+    order.append("row__id")
+    return global_rank(df.withColumn("row__id", F.monotonically_increasing_id()), order, name).drop(*order)
+
+
 def translate_names(df: DataFrame, column: str, translate) -> DataFrame:
     """Replace names through a function of a DataFrame of distinct names (name -> name, translated).
 
@@ -57,11 +76,20 @@ def dedup_key() -> Column:
     return F.concat(F.coalesce("company_clean", F.lit("")), F.lit("|"), F.coalesce("domain_clean", F.lit("")))
 
 
+def _firsts(rows: DataFrame, key: Column) -> DataFrame:
+    """row_idx of the first row of each key: a minimum that every task adds to, so a key of many rows doesn't meet in one."""
+    return rows.groupBy(key.alias("first__key")).agg(F.min("row_idx").alias("row_idx")).select("row_idx")
+
+
+def _given(rows: DataFrame, column: str) -> DataFrame:
+    return rows.filter(F.nullif(F.col(column), F.lit("")).isNotNull())
+
+
 def keep_first(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, removed): the first row of each company and domain stays; empty values are values here."""
-    numbered = cleaned.withColumn("dup__key", dedup_key()).withColumn("dup__n", F.row_number().over(Window.partitionBy("dup__key").orderBy("row_idx")))
-    strip = lambda df: df.drop("dup__key", "dup__n")
-    return strip(numbered.filter("dup__n = 1")), strip(numbered.filter("dup__n > 1"))
+    cleaned = cut(cleaned)
+    first = cut(_firsts(cleaned, dedup_key()))
+    return cleaned.join(first, "row_idx", "left_semi").select(cleaned.columns), cleaned.join(first, "row_idx", "left_anti").select(cleaned.columns)
 
 
 def keep_first_either(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -70,21 +98,23 @@ def keep_first_either(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
     Kept rows get combined_id, company;domain;phone, and merged_ids, the ids of
     all rows connected to them by shared companies and domains, in row order.
     """
-    first = lambda c: F.when(F.nullif(F.col(c), F.lit("")).isNull(), F.lit(True)).otherwise(F.row_number().over(Window.partitionBy(c).orderBy("row_idx")) == 1)
-    marked = cleaned.withColumn("dup__keep", first("company_clean") & first("domain_clean"))
+    cleaned = cut(cleaned)
     links = None
     for c in ("company_clean", "domain_clean"):
-        some = cleaned.filter(F.nullif(F.col(c), F.lit("")).isNotNull())
-        to = F.min("row_idx").over(Window.partitionBy(c))
-        one = some.select(F.col("row_idx").alias("a"), to.alias("b"))
+        some = _given(cleaned, c).select("row_idx", F.col(c).alias("key"))
+        first = cut(some.groupBy("key").agg(F.min("row_idx").alias("b"), F.count("*").alias("n")).filter("n > 1").select("key", "b"))
+        one = some.join(first, "key").select(F.col("row_idx").alias("a"), "b").filter("a <> b")
         links = one if links is None else links.unionByName(one)
-    groups = connected_components(links, cleaned.select(F.col("row_idx").alias("node")))
+    links = cut(links)
+    seen = links.select(F.col("a").alias("row_idx")).distinct()
+    groups = connected_components(links)
     ids = cleaned.join(groups, cleaned["row_idx"] == groups["node"]).groupBy("component").agg(F.array_sort(F.collect_list(F.struct("row_idx", "record_id"))).alias("members"))
     merged = groups.join(ids, "component").select(F.col("node").alias("dup__row"), F.array_join(F.transform("members", lambda m: m["record_id"]), ";").alias("merged_ids"))
     text = lambda c: F.coalesce(c, F.lit(""))
-    kept = marked.filter("dup__keep").join(merged, F.col("row_idx") == F.col("dup__row")).drop("dup__row", "dup__keep")
+    kept = cleaned.join(seen, "row_idx", "left_anti").select(cleaned.columns)
+    kept = kept.join(merged, F.col("row_idx") == F.col("dup__row"), "left").drop("dup__row").withColumn("merged_ids", F.coalesce("merged_ids", "record_id"))
     kept = kept.withColumn("combined_id", F.concat_ws(";", text("company_clean"), text("domain_clean"), text("phone_clean")))
-    return kept, marked.filter("not dup__keep").drop("dup__keep")
+    return kept, cleaned.join(seen, "row_idx", "left_semi").select(cleaned.columns)
 
 
 def statistics(cleaned: DataFrame, company: str = "company") -> DataFrame:
