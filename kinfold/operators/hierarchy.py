@@ -78,16 +78,19 @@ def kmeans(x: np.ndarray, k: int, steps: int = 50) -> np.ndarray:
     return labels
 
 
+def kth_distances(x: np.ndarray, k: int) -> np.ndarray:
+    """All rows' distances to the k-th nearest row, the row itself being the first; in slices of bounded size."""
+    squares = (x * x).sum(1)
+    step = max(1, (8 << 20) // (8 * len(x)))
+    kth = [np.partition(squares[i : i + step, None] - 2 * x[i : i + step] @ x.T + squares, k - 1, axis=1)[:, k - 1] for i in range(0, len(x), step)]
+    return np.sqrt(np.maximum(np.concatenate(kth), 0))
+
+
 def neighbour_statistic(x: np.ndarray, ratio: float = 0.1, percentile: float = 60.0) -> float:
-    """The percentile of all rows' distances to the k-th nearest row, the row itself being the first; in slices of bounded size."""
+    """The percentile of all rows' distances to the k-th nearest row."""
     n = len(x)
     k = int(np.clip(int(ratio * n), 2, 10))
-    if n < k:
-        return 0.1
-    squares = (x * x).sum(1)
-    step = max(1, (8 << 20) // (8 * n))
-    kth = [np.partition(squares[i : i + step, None] - 2 * x[i : i + step] @ x.T + squares, k - 1, axis=1)[:, k - 1] for i in range(0, n, step)]
-    return float(np.percentile(np.sqrt(np.maximum(np.concatenate(kth), 0)), percentile))
+    return 0.1 if n < k else float(np.percentile(kth_distances(x, k), percentile))
 
 
 def split_by_domain(x: np.ndarray, column: int, depth: int) -> np.ndarray | None:
@@ -149,9 +152,24 @@ def _adaptive_dbscan(x, depth, c):
     return None
 
 
+def jittered(x: np.ndarray, scale: float = 1e-8) -> np.ndarray:
+    """Rows without any variance, moved apart by noise of the scale, the same on every run; others as they are."""
+    return x if (x.var(0) > 1e-12).any() else x + np.random.default_rng(SEED).normal(0, scale, x.shape)
+
+
+def explaining(x: np.ndarray, share: float) -> np.ndarray:
+    """The fewest principal components that explain the share of the variance."""
+    centred = x - x.mean(0)
+    _, sizes, axes = np.linalg.svd(centred, full_matrices=False)
+    told = np.cumsum(sizes**2) / max(float((sizes**2).sum()), 1e-300)
+    return centred @ axes[: int(np.searchsorted(told, share - 1e-12)) + 1].T
+
+
 def _recursive_pca_dbscan(x, depth, c):
-    y = principal(scaled(x), x.shape[1])
-    eps = float(np.median(np.sort(np.sqrt(np.maximum((y * y).sum(1)[:, None] - 2 * y @ y.T + (y * y).sum(1), 0)), axis=1)[:, min(3, len(y) - 1)])) * max(0.3, 0.7 - 0.1 * depth)
+    y = scaled(jittered(x))
+    if min(len(y) - 1, y.shape[1]) > 1:
+        y = explaining(y, 0.95)
+    eps = float(np.median(kth_distances(y, 4))) * max(0.3, 0.7 - 0.1 * depth) if len(y) > 4 else 0.1
     labels = dbscan_in_memory(y, max(eps, 1e-9), max(2, min(c.min_samples, len(x) // 10)))
     return (labels, max(eps, 1e-9)) if labels.max() >= 1 else None
 
@@ -175,7 +193,7 @@ STRATEGIES = {
     "adaptive_dbscan": (50, 0, _adaptive_dbscan, None),
     "forced_pca": (500, 0, _forced_pca, None),
     "tiered_kmeans": (200, 0, _tiered_kmeans, None),
-    "pca_dbscan": (10, 0, _recursive_pca_dbscan, 5000),
+    "pca_dbscan": (10, 0, _recursive_pca_dbscan, None),
 }
 ADAPTIVE = ("fast_kmeans", "smart_dbscan", "aggressive_pca", "force")
 FIXED_DEPTH = ("adaptive_dbscan", "forced_pca", "tiered_kmeans", "force")

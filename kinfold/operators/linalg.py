@@ -29,27 +29,29 @@ def yeo_johnson(c: Column, power: float) -> Column:
     return F.when(c >= 0, up).otherwise(down)
 
 
-def yeo_johnson_powers(df: DataFrame, columns: list[str], low: float = -3.0, high: float = 4.0, rounds: int = 5, points: int = 9) -> dict[str, float]:
-    """Powers of the greatest likelihood: grids that shrink around the best point, one pass over the rows a round.
+def yeo_johnson_powers(df: DataFrame, columns: list[str], low: float = -3.0, high: float = 4.0, points: int = 33, tolerance: float = 1e-7) -> dict[str, float]:
+    """Powers of the greatest likelihood, to the tolerance: grids that shrink around the best point, one pass over the rows a round.
 
-    A constant column has power 1, which leaves it as it is.
+    The range is where the search starts; a best point at its end moves it on. A
+    constant column has power 1, which leaves it as it is.
     """
-    span = {c: (low, high) for c in columns}
     fixed = df.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
     best = {c: 1.0 for c in columns}
-    live = [c for c in columns if fixed[c]]
-    for _ in range(rounds):
-        grid = {c: np.linspace(*span[c], points) for c in live}
-        if not live:
-            break
-        tilt = [F.sum(F.signum(c) * F.log1p(F.abs(F.col(c)))).alias(f"{c}__tilt") for c in live]
-        spread = [F.var_pop(yeo_johnson(F.col(c), float(p))).alias(f"{c}__{i}") for c in live for i, p in enumerate(grid[c])]
+    span = {c: (low, high) for c in columns if fixed[c]}
+    while span:
+        grid = {c: np.linspace(*span[c], points) for c in span}
+        tilt = [F.sum(F.signum(c) * F.log1p(F.abs(F.col(c)))).alias(f"{c}__tilt") for c in span]
+        spread = [F.var_pop(yeo_johnson(F.col(c), float(p))).alias(f"{c}__{i}") for c in span for i, p in enumerate(grid[c])]
         row = df.agg(F.count("*").alias("n"), *tilt, *spread).first()
-        for c in live:
+        for c in list(span):
             value = [-row["n"] / 2 * math.log(max(row[f"{c}__{i}"], 1e-300)) + (p - 1) * row[f"{c}__tilt"] for i, p in enumerate(grid[c])]
             k = int(np.argmax(value))
             best[c] = float(grid[c][k])
-            span[c] = (float(grid[c][max(k - 1, 0)]), float(grid[c][min(k + 1, points - 1)]))
+            step = float(grid[c][1] - grid[c][0])
+            half = step if 0 < k < points - 1 else (span[c][1] - span[c][0]) / 2
+            span[c] = (best[c] - half, best[c] + half)
+            if step < tolerance or abs(best[c]) > 50:
+                del span[c]
     return best
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.similarity import euclidean
+
 
 def _real(labels: DataFrame) -> DataFrame:
     return labels.filter("cluster_id <> -1").groupBy("cluster_id").agg(F.count("*").alias("size"))
@@ -92,10 +94,40 @@ def rescue_noise(labels: DataFrame, scored: DataFrame, domain: str = "domain_cle
 
 
 def value_distribution(scored: DataFrame, column: str = "domain_sim") -> DataFrame:
-    """One row: count, minimum, maximum, mean, median and how many values pass some marks."""
+    """One row: count, minimum, maximum, mean, median and how many values pass some marks, those of weighed values among them."""
     c = F.col(column)
     over = lambda x, name, strict=True: F.sum(((c > x) if strict else (c >= x)).cast("long")).alias(name)
-    return scored.agg(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high"), F.avg(c).alias("mean"), F.percentile(column, F.lit(0.5)).alias("median"), F.sum((c == 0).cast("long")).alias("zero"), over(0, "positive"), over(0.8, "over_80"), over(0.9, "over_90"), over(0.95, "over_95"), over(0.6, "from_60", False))
+    return scored.agg(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high"), F.avg(c).alias("mean"), F.percentile(column, F.lit(0.5)).alias("median"), F.sum((c == 0).cast("long")).alias("zero"), over(0, "positive"), over(0.8, "over_80"), over(0.9, "over_90"), over(0.95, "over_95"), over(0.6, "from_60", False), over(100, "over_100"), over(1000, "over_1000"))
+
+
+def describe(table: DataFrame, columns: list[str]) -> DataFrame:
+    """feature, count, mean, std (sample), min, quartiles, max, nonzero: a row for each column. Quartiles are exact (linear)."""
+    parts = {
+        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, **{f"p{q}": (lambda c, q=q: F.percentile(c, F.lit(q / 100))) for q in (25, 50, 75)},
+        "max": F.max, "nonzero": lambda c: F.coalesce(F.sum((F.col(c) != 0).cast("long")), F.lit(0)),
+    }
+    once = table.agg(*[f(c).alias(f"{c}__{k}") for c in columns for k, f in parts.items()])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), *[F.col(f"`{c}__{k}`").alias(k) for k in parts]) for c in columns])
+    return once.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def distance_statistics(points: DataFrame, group: str = "group", key: str = "node", vector: str = "x") -> DataFrame:
+    """group, pairs, low, high, mean and the percentiles of distances within a group that suggest radii.
+
+    All pairs of a group meet: for the members of one cluster or a sample.
+    """
+    a = points.select(group, F.col(key).alias("a"), F.col(vector).alias("x"))
+    b = points.select(group, F.col(key).alias("b"), F.col(vector).alias("y"))
+    met = a.join(b, group).filter("a < b").withColumn("d", euclidean(F.col("x"), F.col("y")))
+    marks = [F.percentile("d", F.lit(q / 100)).alias(f"p{q}") for q in (10, 25, 50, 75, 90)]
+    return met.groupBy(group).agg(F.count("*").alias("pairs"), F.min("d").alias("low"), F.max("d").alias("high"), F.avg("d").alias("mean"), *marks)
+
+
+def flat_statistics(labels: DataFrame, silhouette: DataFrame | None = None, **parameters) -> DataFrame:
+    """One row for the run log: the parameters of a clustering, clusters, noise, silhouette (0.0 if none is given)."""
+    row = labels.agg(F.countDistinct(F.when(F.col("cluster_id") != -1, F.col("cluster_id"))).alias("n_clusters"), F.coalesce(F.sum((F.col("cluster_id") == -1).cast("long")), F.lit(0)).alias("n_noise"))
+    score = row.sparkSession.range(1).select(F.lit(0.0).alias("silhouette_score")) if silhouette is None else silhouette.select(F.col("silhouette").alias("silhouette_score"))
+    return row.crossJoin(score).select(*[F.lit(v).alias(k) for k, v in parameters.items()], "*")
 
 
 def most_frequent(df: DataFrame, column: str, n: int = 10) -> DataFrame:

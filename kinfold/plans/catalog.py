@@ -6,12 +6,12 @@ customers (ORGS, one text for both engines), all of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalize
-from ..functions.similarity import euclidean
-from ..operators import blocking, decide, features, graph, hierarchy, linalg, model, pairs, preprocess, quality, ranks, report
+from ..operators import blocking, decide, features, graph, hierarchy, linalg, model, pairs, preprocess, quality, report
 from ..operators.dbscan import dbscan, silhouette
 from ..sources.scratch import cut
 from .pipeline import cluster_records, vectors
@@ -227,11 +227,8 @@ def knn_distance(spark, sf_dir):
 
 
 def pair_distances(spark, sf_dir):
-    points = _suppliers(spark, sf_dir)
-    a, b = points.select(F.col("node").alias("a"), F.col("x").alias("x")), points.select(F.col("node").alias("b"), F.col("x").alias("y"))
-    by = F.expr("a DIV 10")
-    met = a.withColumn("g", by).join(b.withColumn("g", F.expr("b DIV 10")), "g").filter("a < b").withColumn("d", euclidean(F.col("x"), F.col("y")))
-    return _rounded(met.groupBy("g").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.avg("d").alias("mean")))
+    points = _suppliers(spark, sf_dir).withColumn("group", F.expr("node DIV 10"))
+    return _rounded(quality.distance_statistics(points))
 
 
 def adaptive_threshold(spark, sf_dir):
@@ -279,10 +276,14 @@ def forced_merge(spark, sf_dir):
 
 
 def domain_first_split(spark, sf_dir):
-    """Sub-cluster numbers by domain within a cluster; records without one share the last number."""
-    rows = _clusters(spark, sf_dir).filter("cluster_id <> -1")
-    order = Window.partitionBy("cluster_id").orderBy(F.nullif(F.col("domain_clean"), F.lit("")).asc_nulls_last())
-    return rows.select("record_id", "cluster_id", F.dense_rank().over(order).cast("long").alias("part"))
+    """The groups of split_by_domain within clusters of suppliers, by the part of the largest balance that they reach in tenths."""
+    points = _suppliers(spark, sf_dir).select("node", (F.col("node") % 7).alias("cluster_id"), F.floor(F.greatest(F.get("x", F.lit(0)), F.lit(0.0))).cast("double").alias("value"))
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        parts = hierarchy.split_by_domain(frame[["value"]].to_numpy(), 0, 0)
+        return frame.assign(part=0 if parts is None else parts)[["node", "cluster_id", "part"]]
+
+    return points.groupBy("cluster_id").applyInPandas(run, "node long, cluster_id long, part long")
 
 
 def noise_rescue(spark, sf_dir):
@@ -323,7 +324,78 @@ def subdivision_candidates(spark, sf_dir):
 
 
 def value_distribution(spark, sf_dir):
-    return _rounded(quality.value_distribution(_scored(spark, sf_dir)[1], "company_sim"))
+    weighed = _scored(spark, sf_dir)[1].withColumn("weighed", F.col("domain_sim") * F.expr("400 * (1 + CAST(record_id_1 AS BIGINT) % 4)") + F.col("company_sim") * (1 - F.col("domain_sim")))
+    return _rounded(quality.value_distribution(weighed, "weighed"))
+
+
+def frequent_values(spark, sf_dir):
+    return quality.most_frequent(_scored(spark, sf_dir)[1].select(F.round("company_sim", 2).alias("value")), "value")
+
+
+def feature_describe(spark, sf_dir):
+    return _rounded(quality.describe(_scored(spark, sf_dir)[1], ["company_sim", "domain_sim", "phone_exact"]))
+
+
+def flat_statistics(spark, sf_dir):
+    return quality.flat_statistics(_clusters(spark, sf_dir), eps=0.1, min_samples=2, hierarchical=False)
+
+
+def report_summary(spark, sf_dir):
+    return _rounded(report.summary(_rated(spark, sf_dir)[1], decide.review_clusters(_clusters(spark, sf_dir))))
+
+
+def automatic_split(spark, sf_dir):
+    """Pairs that need no judge, and how many do."""
+    auto, rest = decide.split_automatic(_scored(spark, sf_dir)[1], 0.98)
+    return auto.groupBy("canonical_name").agg(F.count("*").alias("pairs"), F.round(F.min("confidence"), 6).alias("least")).unionByName(rest.agg(F.lit("(to be judged)").alias("canonical_name"), F.count("*").alias("pairs"), F.lit(0.0).alias("least")))
+
+
+def pair_coverage(spark, sf_dir):
+    rows, found = _pairs(spark, sf_dir)
+    return quality.pair_coverage([str(i) for i in range(1, 21)], found, _clusters(spark, sf_dir))
+
+
+def pairs_of_cluster(spark, sf_dir):
+    return quality.pairs_of_cluster(_pairs(spark, sf_dir)[1], _clusters(spark, sf_dir), 2).select("record_id_1", "record_id_2")
+
+
+def cluster_detail(spark, sf_dir):
+    return quality.cluster_detail(_clusters(spark, sf_dir), 3, samples=2, domains=2).select("record_id", "domain_clean", "records", "nth")
+
+
+def missing_columns(spark, sf_dir):
+    found = pairs.missing_columns(cleaned(spark, sf_dir).filter("domain_clean = ''"))
+    return spark.createDataFrame([(c,) for c in found], "missing string")
+
+
+def translated_names(spark, sf_dir):
+    """Names translated by a function over the distinct ones that knows every second."""
+    def told(names):
+        return names.filter("length(name) % 2 = 0").withColumn("translated", F.upper("name"))
+
+    return preprocess.translate_names(cleaned(spark, sf_dir).select("record_id", "company_clean"), "company_clean", told)
+
+
+def label_statistics(spark, sf_dir):
+    return _rounded(model.label_statistics(model.heuristic_labels(_scored(spark, sf_dir)[1])))
+
+
+def model_accuracy(spark, sf_dir):
+    rows, rated = _rated(spark, sf_dir)
+    share = model.accuracy(rated, model.heuristic_labels(rated))
+    return spark.createDataFrame([(share,)], "accuracy double").select(F.round("accuracy", 6).alias("accuracy"))
+
+
+def class_balance(spark, sf_dir):
+    scored = _scored(spark, sf_dir)[1].withColumn("label", F.col("phone_exact").cast("int"))
+    return model.class_balance(scored, 50).select(*model.IDS, "label")
+
+
+def feature_aggregates_clustered(spark, sf_dir):
+    """What clustering stores of a record's features, beside its cluster."""
+    rows, scored = _scored(spark, sf_dir)
+    table = features.aggregate_v3(scored, rows)
+    return _rounded(table.join(_clusters(spark, sf_dir).select("record_id", "cluster_id"), "record_id").select("record_id", "company_sim", "domain_priority", "cluster_id"))
 
 
 def domain_match_rate(spark, sf_dir):
@@ -344,11 +416,7 @@ def review_rollup(spark, sf_dir):
 
 
 def pair_prompts(spark, sf_dir):
-    rows, scored = _scored(spark, sf_dir)
-    first = scored.filter("company_sim >= 0.6")
-    line = F.format_string("%s <> %s: %.3f", "record_id_1", "record_id_2", "company_sim")
-    nth = ranks.global_rank(first.select("record_id_1", "record_id_2", line.alias("line")), ["record_id_1", "record_id_2"], "nth").withColumn("batch", F.expr("nth DIV 10"))
-    return nth.groupBy("batch").agg(F.count("*").alias("pairs"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", "line"))), lambda s: s["line"]), "\n").alias("prompt"))
+    return decide.pair_prompts(_scored(spark, sf_dir)[1])
 
 
 def decision_summary(spark, sf_dir):
@@ -434,6 +502,11 @@ def _stats(c: str) -> str:
     return f"SELECT '{c}' AS measure, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, round(max({c}), 6) AS max, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count FROM scored"
 
 
+def _describe(c: str) -> str:
+    marks = ", ".join(f"round(quantile_cont({c}, {k / 100}), 6) AS p{k}" for k in (25, 50, 75))
+    return f"SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, {marks}, round(max({c}), 6) AS max, CAST(sum(CASE WHEN {c} <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS nonzero FROM scored"
+
+
 def oracle_sql():
     base = _cleaned_sql()
     candidates = f"{base}, pairs AS ({_block_sql('phone_clean')} UNION {_block_sql('domain_clean')} UNION {_block_sql('company_clean')} UNION {NEIGHBOURS})"
@@ -468,6 +541,16 @@ made AS (SELECT record_id, 1.5 * {c} AS company_sim, 2 * {d} AS domain_sim, {p}
   {curve(c, (1.3, 1.3, 1.3))}, {curve(d, (1.6, 1.6, 1.6))},
   1.2 * (({c} - {mean}) * ({c} - {mean}) + ({d} - {mean}) * ({d} - {mean}) + ({p} - {mean}) * ({p} - {mean})) / 2 AS sim_variance, 1.2 * {mean} AS sim_mean, 1.2 * greatest({c}, {d}, {p}) AS sim_max, 1.2 * least({c}, {d}, {p}) AS sim_min, 1.2 * (greatest({c}, {d}, {p}) - least({c}, {d}, {p})) AS sim_range FROM best)
 SELECT record_id, {", ".join(f"round(CAST({n} AS DOUBLE), 12) AS {n}" for n in ["company_sim", "domain_sim", "phone_exact", *v1_names[2:]])} FROM made"""
+    names = ["company_sim", "domain_sim", "phone_exact", *v1_names[2:]]
+    deviation = " + ".join(f"power((a.{n} - b.{n}) / s.{n}, 2)" for n in names)
+    enhanced = f"""{v2[: v2.rindex("SELECT record_id, round")]}, feats AS (SELECT record_id, {", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in names)} FROM made),
+spread AS (SELECT {", ".join(f"CASE WHEN stddev_pop({n}) > 0 THEN stddev_pop({n}) ELSE 1e300 END AS {n}" for n in names)} FROM feats),
+reps AS (SELECT min(record_id) AS rep, count(*) AS weight, {", ".join(names)} FROM feats GROUP BY ALL),
+edges AS (SELECT a.rep AS u, b.rep AS v FROM reps a JOIN reps b ON a.rep <> b.rep CROSS JOIN spread s WHERE sqrt({deviation}) <= 0.1),
+reach AS (SELECT rep AS node, rep AS r FROM reps WHERE weight > 1 OR rep IN (SELECT u FROM edges) UNION SELECT reach.node, e.v FROM reach JOIN edges e ON e.u = reach.r),
+comp AS (SELECT node, min(r) AS component FROM reach GROUP BY node), named AS (SELECT node, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comp),
+placed AS (SELECT f.record_id, min(f.record_id) OVER (PARTITION BY {", ".join(f"f.{n}" for n in names)}) AS rep FROM feats f)
+SELECT p.record_id, coalesce(cluster_id, -1) AS cluster_id FROM placed p LEFT JOIN named n ON n.node = p.rep""".replace("WITH orgs", "WITH RECURSIVE orgs", 1)
     v3 = f"""{melted}, weighed AS (SELECT *, 0.1 * {c} AS c, CASE WHEN {d} * 1000 >= 1000 THEN 4999 + 0.001 * (row_number() OVER (PARTITION BY {d} * 1000 >= 1000 ORDER BY side, record_id_1, record_id_2) - 1) ELSE {d} * 1000 END AS d FROM melted)
 SELECT o.record_id, round(coalesce(avg(CAST(c AS DOUBLE)), 0.0::DOUBLE), 6) AS company_sim, round(coalesce(max(CAST(d AS DOUBLE)), 0.0::DOUBLE), 6) AS domain_sim, round(coalesce(max({c} * {d}), 0.0::DOUBLE), 6) AS company_domain_product, round(coalesce(max({c} + {d}), 0.0::DOUBLE), 6) AS company_domain_sum, round(coalesce(max({d} * 10.0::DOUBLE), 0.0::DOUBLE), 6) AS domain_priority, round(coalesce(max({d} * {d}), 0.0::DOUBLE), 6) AS domain_dominance
 FROM cleaned o LEFT JOIN weighed w USING (record_id) GROUP BY o.record_id"""
@@ -512,7 +595,38 @@ FROM cleaned o LEFT JOIN weighed w USING (record_id) GROUP BY o.record_id"""
         "agg_features_v3": v3,
         "standard_scale": f"{scored} SELECT record_id_1, record_id_2, {scale(c)}, {scale(d)}, {scale(p)} FROM scored",
         "knn_distance": f"WITH {SUPPLIERS_SQL}, met AS (SELECT a.node, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM points a CROSS JOIN points b), nth AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY distance) AS n FROM met) SELECT node, round(distance, 6) AS distance FROM nth WHERE n = 4",
-        "pair_distances": f"WITH {SUPPLIERS_SQL}, met AS (SELECT a.node // 10 AS g, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM points a JOIN points b ON a.node // 10 = b.node // 10 AND a.node < b.node) SELECT g, round(min(d), 6) AS low, round(max(d), 6) AS high, round(avg(d), 6) AS mean FROM met GROUP BY g",
+        "pair_distances": f"WITH {SUPPLIERS_SQL}, met AS (SELECT a.node // 10 AS g, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM points a JOIN points b ON a.node // 10 = b.node // 10 AND a.node < b.node) SELECT g AS \"group\", count(*) AS pairs, round(min(d), 6) AS low, round(max(d), 6) AS high, round(avg(d), 6) AS mean, {', '.join(f'{q("d", k / 100)} AS p{k}' for k in (10, 25, 50, 75, 90))} FROM met GROUP BY g",
+        "domain_first_split": f"""WITH {SUPPLIERS_SQL}, valued AS (SELECT node, node % 7 AS cluster_id, floor(greatest(x, 0.0::DOUBLE)) AS value FROM points),
+topped AS (SELECT *, max(value) OVER (PARTITION BY cluster_id) AS high FROM valued),
+counted AS (SELECT *, high > 0 AND sum(CASE WHEN value >= 0.85 * high THEN 1 ELSE 0 END) OVER (PARTITION BY cluster_id) >= 2 AS split FROM topped),
+ranked AS (SELECT *, value >= 0.85 * high AS near, dense_rank() OVER (PARTITION BY cluster_id, value >= 0.85 * high ORDER BY value) - 1 AS nth FROM counted)
+SELECT node, cluster_id, CASE WHEN NOT split THEN 0 WHEN near THEN nth ELSE 1 + max(CASE WHEN near THEN nth END) OVER (PARTITION BY cluster_id) END AS part FROM ranked""",
+        "dbscan_silhouette": f"""WITH RECURSIVE {near(EPS)}, {closure}, placed AS (SELECT p.node, p.x, p.y, c.component FROM points p JOIN comp c USING (node)),
+met AS (SELECT a.node, a.component AS own, b.component AS other, avg(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) AS d FROM placed a JOIN placed b ON a.node <> b.node GROUP BY a.node, a.component, b.component),
+each AS (SELECT node, max(CASE WHEN own = other THEN d END) AS a, min(CASE WHEN own <> other THEN d END) AS b FROM met GROUP BY node)
+SELECT round(coalesce(avg(coalesce(CASE WHEN a IS NULL OR b IS NULL THEN 0.0::DOUBLE ELSE (b - a) / nullif(greatest(a, b), 0) END, 0.0::DOUBLE)), 0.0::DOUBLE), 6) AS silhouette FROM each""",
+        "pair_prompts": f"""{scored}, asked AS (SELECT *, row_number() OVER (ORDER BY record_id_1, record_id_2) - 1 AS nth FROM scored WHERE company_sim >= 0.6),
+lines AS (SELECT q.nth, q.nth // 10 AS batch, (q.nth % 10 + 1) || '. similarity ' || CAST(floor(company_sim * 1000 + 1e-6) AS BIGINT) || '/1000: [' || record_id_1 || '] ' || a.company_clean || ' | ' || a.domain_clean || ' | ' || a.phone_clean || ' <> [' || record_id_2 || '] ' || b.company_clean || ' | ' || b.domain_clean || ' | ' || b.phone_clean AS line
+  FROM asked q JOIN cleaned a ON a.record_id = q.record_id_1 JOIN cleaned b ON b.record_id = q.record_id_2)
+SELECT batch, count(*) AS pairs, '{decide.ASK}' || chr(10) || string_agg(line, chr(10) ORDER BY nth) AS prompt FROM lines GROUP BY batch""",
+        "decision_summary": f"""{scored}, told AS (SELECT list_sort(regexp_extract_all(company_clean_1, '\\d+')) = list_sort(regexp_extract_all(company_clean_2, '\\d+'))
+  AND company_sim >= CASE WHEN domain_clean_1 <> '' AND domain_clean_1 = domain_clean_2 THEN 0.75 ELSE 0.92 END AS same FROM scored WHERE company_sim >= 0.6)
+SELECT count(*) AS pairs, {total('same', 'merged')}, CAST(0 AS BIGINT) AS errors, round({total('same', 'x').replace(' AS x', '')} / count(*), 6) AS merge_rate FROM told""",
+        "enhanced_dbscan": enhanced,
+        "frequent_values": f"{scored} SELECT round(company_sim, 2) AS value, count(*) AS count FROM scored GROUP BY 1 ORDER BY count DESC, value LIMIT 10",
+        "feature_describe": f"{scored} {_describe(c)} UNION ALL {_describe(d)} UNION ALL {_describe(p)}",
+        "flat_statistics": f"{clusters} SELECT 0.1::DOUBLE AS eps, CAST(2 AS INTEGER) AS min_samples, false AS hierarchical, count(DISTINCT CASE WHEN cluster_id <> -1 THEN cluster_id END) AS n_clusters, {total('cluster_id = -1', 'n_noise')}, 0.0::DOUBLE AS silhouette_score FROM labelled",
+        "report_summary": f"{rated}, {CLUSTERS_SQL}, {sizes}, {groups} SELECT count(*) AS total_pairs, {total('prob >= 0.9', 'high_confidence_pairs')}, {total('prob >= 0.6 AND prob < 0.9', 'manual_review_pairs')}, round(avg(prob), 6) AS mean_probability, true AS review_available, (SELECT count(*) FROM members) AS review_groups FROM rated",
+        "automatic_split": f"{scored} SELECT company_clean_1 AS canonical_name, count(*) AS pairs, round(min(company_sim), 6) AS least FROM scored WHERE company_sim >= 0.98 GROUP BY 1 UNION ALL SELECT '(to be judged)', count(*), 0.0::DOUBLE FROM scored WHERE company_sim < 0.98",
+        "pair_coverage": f"{candidates}, {CLUSTERS_SQL}, ends AS (SELECT unnest([record_id_1, record_id_2]) AS record_id FROM pairs WHERE CAST(record_id_1 AS BIGINT) BETWEEN 1 AND 20 AND CAST(record_id_2 AS BIGINT) BETWEEN 1 AND 20) SELECT l.record_id, l.cluster_id, count(e.record_id) AS pairs FROM labelled l LEFT JOIN ends e USING (record_id) WHERE CAST(l.record_id AS BIGINT) BETWEEN 1 AND 20 GROUP BY l.record_id, l.cluster_id",
+        "pairs_of_cluster": f"{candidates}, {CLUSTERS_SQL}, picked AS (SELECT record_id FROM labelled WHERE cluster_id = 2) SELECT record_id_1, record_id_2 FROM pairs WHERE record_id_1 IN (SELECT record_id FROM picked) OR record_id_2 IN (SELECT record_id FROM picked)",
+        "cluster_detail": f"{clusters}, picked AS (SELECT * FROM labelled WHERE cluster_id = 3), top AS (SELECT domain_clean, count(*) AS records FROM picked GROUP BY 1 ORDER BY records DESC, domain_clean LIMIT 2), nth AS (SELECT s.record_id, s.domain_clean, t.records, row_number() OVER (PARTITION BY s.domain_clean ORDER BY s.row_idx) AS nth FROM picked s JOIN top t USING (domain_clean)) SELECT * FROM nth WHERE nth <= 2",
+        "missing_columns": f"{base}, picked AS (SELECT * FROM cleaned WHERE domain_clean = '') SELECT missing FROM (VALUES ('phone_clean', (SELECT count(*) FROM picked WHERE phone_clean <> '')), ('domain_clean', (SELECT count(*) FROM picked WHERE domain_clean <> '')), ('address_clean', (SELECT count(*) FROM picked WHERE address_clean <> ''))) t(missing, n) WHERE n = 0",
+        "translated_names": f"{base} SELECT record_id, CASE WHEN company_clean <> '' AND length(company_clean) % 2 = 0 THEN upper(company_clean) ELSE company_clean END AS company_clean FROM cleaned",
+        "label_statistics": f"{labels} SELECT count(*) AS labels, {total('label = 1', 'positive')}, {total('label = 0', 'negative')}, round(avg(label), 6) AS label_ratio FROM labels",
+        "model_accuracy": f"{labels}, told AS (SELECT l.label, round((s.company_sim + s.domain_sim + s.phone_exact) / 3, 9) AS prob FROM labels l JOIN scored s ON l.record_id_1 = s.record_id_1 AND l.record_id_2 = s.record_id_2) SELECT round(avg(CASE WHEN (prob >= 0.5) = (label = 1) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS accuracy FROM told",
+        "class_balance": f"{scored}, numbered AS (SELECT record_id_1, record_id_2, CAST(phone_exact AS INTEGER) AS label, row_number() OVER (PARTITION BY phone_exact ORDER BY record_id_1, record_id_2) AS n FROM scored) SELECT record_id_1, record_id_2, label FROM numbered WHERE n <= 50",
+        "feature_aggregates_clustered": f"{melted}, {CLUSTERS_SQL} SELECT l.record_id, round(coalesce(avg(0.1 * {c}), 0.0::DOUBLE), 6) AS company_sim, round(coalesce(max({d} * 10.0::DOUBLE), 0.0::DOUBLE), 6) AS domain_priority, l.cluster_id FROM labelled l LEFT JOIN melted m USING (record_id) GROUP BY l.record_id, l.cluster_id",
         "adaptive_threshold": "SELECT d AS depth, 1.0::DOUBLE + CASE WHEN d <= 2 THEN 0.3::DOUBLE WHEN d <= 4 THEN 0.6::DOUBLE ELSE 1.0::DOUBLE END AS threshold FROM range(1, 11) t(d)",
         "dbscan_flat": f"WITH RECURSIVE {near(EPS)}, {closure}, named AS (SELECT node, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comp) SELECT p.node, coalesce(cluster_id, -1) AS cluster_id FROM points p LEFT JOIN named USING (node)",
         "connected_components": f"WITH RECURSIVE {near(EPS)}, {closure} SELECT node, component FROM comp",
@@ -523,7 +637,6 @@ edges AS (SELECT a AS u, b AS v FROM links UNION SELECT b, a FROM links), reach
 counted AS (SELECT cluster_id, count(*) AS size FROM tagged WHERE cluster_id <> -1 GROUP BY cluster_id),
 named AS (SELECT c.node, first_value(c.node) OVER (PARTITION BY component ORDER BY size DESC, c.node) AS name FROM comp c JOIN counted k ON k.cluster_id = c.node)
 SELECT t.node, coalesce(name, cluster_id) AS cluster_id FROM tagged t LEFT JOIN named n ON n.node = t.cluster_id""",
-        "domain_first_split": f"{clusters} SELECT record_id, cluster_id, dense_rank() OVER (PARTITION BY cluster_id ORDER BY nullif(domain_clean, '') NULLS LAST) AS part FROM labelled WHERE cluster_id <> -1",
         "noise_rescue": f"""{scored}, {CLUSTERS_SQL}, edges AS (SELECT record_id_1 AS r, record_id_2 AS o, domain_sim FROM scored UNION ALL SELECT record_id_2, record_id_1, domain_sim FROM scored),
 found AS (SELECT e.r, p.cluster_id, row_number() OVER (PARTITION BY e.r ORDER BY domain_sim DESC, p.row_idx) AS n FROM edges e JOIN labelled x ON x.record_id = e.r AND x.cluster_id = -1 AND x.domain_clean <> '' JOIN labelled p ON p.record_id = e.o AND p.cluster_id <> -1 AND p.domain_clean = x.domain_clean WHERE domain_sim >= 0.85)
 SELECT l.record_id, coalesce(f.cluster_id, l.cluster_id) AS cluster_id FROM labelled l LEFT JOIN found f ON f.r = l.record_id AND f.n = 1""",
@@ -535,7 +648,7 @@ SELECT l.record_id, coalesce(f.cluster_id, l.cluster_id) AS cluster_id FROM labe
         "domain_spread": f"{clusters} SELECT domain_clean AS domain, count(*) AS records, count(DISTINCT cluster_id) AS ids, max(cluster_id) - min(cluster_id) AS spread FROM labelled WHERE domain_clean <> '' GROUP BY domain_clean HAVING count(*) > 1",
         "top_clusters": f"{clusters}, {domains} SELECT * FROM each ORDER BY size DESC, cluster_id LIMIT 10",
         "subdivision_candidates": f"{clusters}, {domains} SELECT * FROM each WHERE domains > 1 AND size > 3",
-        "value_distribution": f"{scored} SELECT count({c}) AS n, round(min({c}), 6) AS low, round(max({c}), 6) AS high, round(avg({c}), 6) AS mean, {q(c, 0.5)} AS median, {total(f'{c} = 0', 'zero')}, {total(f'{c} > 0', 'positive')}, {total(f'{c} > 0.8', 'over_80')}, {total(f'{c} > 0.9', 'over_90')}, {total(f'{c} > 0.95', 'over_95')}, {total(f'{c} >= 0.6', 'from_60')} FROM scored",
+        "value_distribution": f"{scored}, weighed AS (SELECT domain_sim * 400 * (1 + CAST(record_id_1 AS BIGINT) % 4) + company_sim * (1 - domain_sim) AS w FROM scored) SELECT count(w) AS n, round(min(w), 6) AS low, round(max(w), 6) AS high, round(avg(w), 6) AS mean, {q('w', 0.5)} AS median, {total('w = 0', 'zero')}, {total('w > 0', 'positive')}, {total('w > 0.8', 'over_80')}, {total('w > 0.9', 'over_90')}, {total('w > 0.95', 'over_95')}, {total('w >= 0.6', 'from_60')}, {total('w > 100', 'over_100')}, {total('w > 1000', 'over_1000')} FROM weighed",
         "domain_match_rate": f"{base} SELECT count(*) AS records, round(avg(CASE WHEN coalesce(domain, '') = domain_clean THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS rate FROM cleaned",
         "cluster_review_filter": f"{clusters}, {sizes} SELECT record_id, cluster_id FROM labelled WHERE cluster_id IN (SELECT cluster_id FROM sizes WHERE size BETWEEN 3 AND 5 AND cluster_id NOT IN (0, 3))",
         "cluster_reviews": f"{clusters}, {sizes}, {groups}, joined AS (SELECT cluster_id, string_agg(array_to_string(ids, '+'), ';' ORDER BY domain_clean) AS groups FROM members GROUP BY cluster_id) SELECT s.cluster_id, size AS records, coalesce(groups, '') AS groups FROM sizes s LEFT JOIN joined USING (cluster_id) WHERE size >= 2",
@@ -549,7 +662,8 @@ def queries():
         block_sorted_neighbourhood, candidate_pairs, blocking_stats, pair_features, address_similarity, similarity_metrics, heuristic_labels, training_join, logistic_scores, score_statistics, high_confidence,
         score_bands, prob_quantiles, report_join, agg_features_v1, agg_features_v2, agg_features_v3, standard_scale, yeo_johnson, pca_project, knn_distance, pair_distances, adaptive_threshold, dbscan_flat,
         dbscan_silhouette, connected_components, merge_unique_records, merge_groups, connectivity_violations, forced_merge, domain_first_split, noise_rescue, cluster_stats, cluster_size_distribution,
-        cluster_purity, domain_scatter, scatter_summary, domain_spread, top_clusters, subdivision_candidates, value_distribution, domain_match_rate, cluster_review_filter, cluster_reviews, review_rollup,
+        cluster_purity, domain_scatter, scatter_summary, domain_spread, top_clusters, subdivision_candidates, value_distribution, frequent_values, feature_describe, flat_statistics, report_summary, automatic_split, pair_coverage,
+        pairs_of_cluster, cluster_detail, missing_columns, translated_names, label_statistics, model_accuracy, class_balance, feature_aggregates_clustered, domain_match_rate, cluster_review_filter, cluster_reviews, review_rollup,
         pair_prompts, decision_summary, kmeans_subdivide, hierarchical_clusters, fixed_depth_clusters, enhanced_dbscan,
     )
     return {f.__name__: f for f in found}

@@ -44,6 +44,18 @@ class PipelineResult:
     error: str | None = None
 
 
+class Stored(dict):
+    """Tables by name; one that no step has made yet is read."""
+
+    def __init__(self, read):
+        super().__init__()
+        self.read = read
+
+    def __missing__(self, name):
+        self[name] = self.read(name)
+        return self[name]
+
+
 def vectors(table: DataFrame, columns: list[str], key: str = "record_id") -> DataFrame:
     """node, x: standardized columns as arrays."""
     scaled = linalg.standard_scale(table, columns)
@@ -71,9 +83,14 @@ def cluster_records(scored: DataFrame, cleaned: DataFrame, eps: float | None = 0
 
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
-    """Run the steps in order; each table is written, timed and logged, and an error ends the run and is told."""
+    """Run the steps in order; each table is written, timed and logged, and an error ends the run and is told.
+
+    A step that isn't asked for leaves its table to an earlier run: steps read
+    what is stored in the output folder.
+    """
     out = PipelineResult()
-    t = out.tables
+    t = Stored(lambda name: spark.read.parquet(f"{config.output_dir}/{name}.parquet"))
+    out.tables = t
 
     def done(step: str, name: str, df: DataFrame, began: datetime) -> None:
         path = f"{config.output_dir}/{name}.parquet"
@@ -99,9 +116,11 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> PipelineResult:
             elif step == "similarity":
                 done(step, "features", pairs.features(t["cleaned"], t["pairs"]), began)
             elif step == "model":
-                done(step, "scored", model.train_and_score(t["features"], None, config.threshold)["scored"], began)
+                done(step, "scored", model.train_and_score(t["features"], None, config.threshold, f"{config.output_dir}/model")["scored"], began)
             elif step == "clustering":
                 labels = cut(cluster_records(t["features"], t["cleaned"], config.eps, config.min_samples, config.hierarchical, config.adaptive, config.split))
+                table = (features.aggregate_v3 if config.adaptive else features.aggregate_v2)(t["features"], t["cleaned"])
+                write_table(table.join(labels.select("record_id", "cluster_id"), "record_id"), f"{config.output_dir}/agg_features.parquet")
                 rescued = quality.rescue_noise(labels, t["features"]).withColumnRenamed("cluster_id", "rescued")
                 done(step, "clusters", labels.join(rescued, "record_id").drop("cluster_id").withColumnRenamed("rescued", "cluster_id"), began)
             elif step == "deduplication":

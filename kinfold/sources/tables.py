@@ -7,6 +7,7 @@ import os
 from datetime import datetime
 from pathlib import Path
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,10 +49,27 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REVIEWS).json(path, multiLine=True)
 
 
+def _located(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI: the log and the tracker lie beside tables, wherever these are."""
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), str(Path(path).absolute()))
+
+
+def read_text(path: str) -> str:
+    at, name = _located(path)
+    with at.open_input_stream(name) as f:
+        return f.read().decode("utf-8")
+
+
+def write_text(text: str, path: str) -> None:
+    at, name = _located(path)
+    at.create_dir(name.rpartition("/")[0], recursive=True)
+    with at.open_output_stream(name) as f:
+        f.write(text.encode("utf-8"))
+
+
 def write_json(rows: list | dict, path: str) -> None:
     """A small result as indented JSON on the driver."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(rows, indent=2, ensure_ascii=False), encoding="utf-8")
+    write_text(json.dumps(rows, indent=2, ensure_ascii=False), path)
 
 
 def clear_files(paths: list[str]) -> None:
@@ -69,7 +87,7 @@ def clear_all_data(folder: str, exclude: set[str] = frozenset(), tracker: str =
 def current_iteration(path: str) -> int:
     """The tracked number, 1 if there is none or it can't be read."""
     try:
-        return int(json.loads(Path(path).read_text())["current_iteration"])
+        return int(json.loads(read_text(path))["current_iteration"])
     except (OSError, ValueError, KeyError, TypeError):
         return 1
 
@@ -86,6 +104,8 @@ def log_run(step: str, start: datetime, end: datetime, rows: int, log: str, trac
     line = [str(iteration), step, start.isoformat(), end.isoformat(), str(rows), f"{(end - start).total_seconds():.2f}"]
     if info is not None:
         line.append(json.dumps(info, default=str))
-    Path(log).parent.mkdir(parents=True, exist_ok=True)
-    with open(log, "a", encoding="utf-8") as f:
-        f.write(",".join(line) + "\n")
+    try:
+        before = read_text(log)
+    except FileNotFoundError:
+        before = ""
+    write_text(before + ",".join(line) + "\n", log)
