@@ -22,7 +22,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 MULTIPLIER = 0x9E3779B97F4A7C15
 CHUNK = 1 << 20
-MEMO = 1 << 19
+MEMO = 3 << 18
 LINES = 4096
 #: Bytes of a span up to which it is hashed and compared by array operations.
 LONG = 1024
