@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,14 +14,48 @@ from ..functions.similarity import euclidean
 from ..sources.scratch import cut
 
 
-def connected_components(links: DataFrame, nodes: DataFrame | None = None, a: str = "a", b: str = "b") -> DataFrame:
+IN_TASK = 1 << 18  # distinct links that one task may hold
+
+
+def _labels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The components of all links in the batches, each named by its smallest node."""
+    held = list(batches)
+    if not held:
+        return
+    links = pd.concat(held)
+    names, places = np.unique(np.concatenate([links["u"].to_numpy(), links["v"].to_numpy()]), return_inverse=True)
+    u, v = np.split(places.reshape(-1), 2)
+    label = np.arange(len(names))
+    while True:
+        low = np.minimum(label[u], label[v])
+        told = label.copy()
+        np.minimum.at(told, label[u], low)
+        np.minimum.at(told, label[v], low)
+        while not np.array_equal(told, told[told]):
+            told = told[told]
+        told = told[label]
+        if np.array_equal(told, label):
+            break
+        label = told
+    yield pd.DataFrame({"node": names, "component": names[label]})
+
+
+def connected_components(links: DataFrame, nodes: DataFrame | None = None, a: str = "a", b: str = "b", in_task: int = IN_TASK) -> DataFrame:
     """node, component (its smallest node), for all nodes of links and of ``nodes``.
 
-    Labels travel along links and jump to their label's label, until none
-    changes; each round is a partial minimum by node and two joins.
+    At most ``in_task`` links, counted when they are written, are labelled in one
+    task. For more, labels travel along links and jump to their label's label,
+    until none changes; each round is a partial minimum by node and two joins.
     """
     both = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
-    edges = cut(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    once = cut(both.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    if once.count() <= in_task:
+        kind = once.schema["u"].dataType.simpleString()
+        labels = once.coalesce(1).mapInPandas(_labels, f"node {kind}, component {kind}")
+        if nodes is not None:
+            labels = nodes.select("node").distinct().join(labels, "node", "full").select("node", F.coalesce("component", "node").alias("component"))
+        return cut(labels)
+    edges = cut(once.unionByName(once.select(F.col("v").alias("u"), F.col("u").alias("v"))))
     every = edges.select(F.col("u").alias("node"))
     if nodes is not None:
         every = every.unionByName(nodes.select("node"))
@@ -41,15 +79,15 @@ def merge_duplicates(cleaned: DataFrame, decisions: DataFrame, confidence: float
     records (and the primary). Within a component they are replayed in the order
     of their ids: the primary of each becomes the root of the two groups it
     joins and names them. A component is as large as the duplicates of one
-    organisation; it is the unit of work and is held in memory.
+    organisation; it is the unit of work and is held in memory, one at a time.
     """
     sure = decisions.filter(F.col("same_organization") & (F.col("confidence") >= confidence) & ~F.coalesce("error", F.lit(False)))
-    sure = sure.select("id_1", "id_2", F.coalesce("primary_record_id", "id_1").alias("primary"), F.coalesce("canonical_name", F.lit("")).alias("name"))
+    sure = cut(sure.select("id_1", "id_2", F.coalesce("primary_record_id", "id_1").alias("primary"), F.coalesce("canonical_name", F.lit("")).alias("name")))
     links = sure.select(F.col("id_1").alias("a"), F.col("id_2").alias("b")).unionByName(sure.select(F.col("id_1").alias("a"), F.col("primary").alias("b")))
     groups = connected_components(links, sure.select(F.col("id_1").alias("node")))
-    placed = sure.join(groups, sure["id_1"] == groups["node"]).drop("node")
+    placed = sure.join(groups, sure["id_1"] == groups["node"]).select("component", "id_1", "id_2", "primary", "name")
 
-    def replay(rows: pd.DataFrame) -> pd.DataFrame:
+    def replay(rows: list[tuple[str, str, str, str]]) -> Iterator[tuple[str, str, str | None]]:
         above: dict[str, str] = {}
         names: dict[str, str] = {}
 
@@ -60,20 +98,29 @@ def merge_duplicates(cleaned: DataFrame, decisions: DataFrame, confidence: float
                 x = above[x]
             return x
 
-        for r in rows.sort_values(["id_1", "id_2"]).itertuples():
-            x, y = root(r.id_1), root(r.id_2)
+        for one, other, primary, name in rows:
+            x, y = root(one), root(other)
             if x == y:
-                names[x] = r.name
+                names[x] = name
                 continue
-            top = x if r.primary == r.id_1 else y if r.primary == r.id_2 else r.primary
+            top = x if primary == one else y if primary == other else primary
             above[x] = above[y] = above[top] = top
-            names[top] = r.name
-        out = pd.DataFrame({"member": sorted(above)})
-        out["root"] = out["member"].map(root)
-        out["canonical"] = out["root"].map(names)
-        return out
-
-    members = cut(placed.groupBy("component").applyInPandas(replay, "member string, root string, canonical string"))
+            names[top] = name
+        for member in sorted(above):
+            yield member, root(member), names.get(root(member))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        each = (row for frame in frames for row in frame.itertuples(index=False, name=None))
+        done: list[tuple] = []
+        for _, rows in groupby(each, key=lambda row: row[0]):
+            done.extend(replay([row[1:] for row in rows]))
+            if len(done) > 10000:
+                yield pd.DataFrame(done, columns=["member", "root", "canonical"])
+                done = []
+        yield pd.DataFrame(done, columns=["member", "root", "canonical"])
+
+    ordered = placed.repartition("component").sortWithinPartitions("component", "id_1", "id_2")
+    members = cut(ordered.mapInPandas(run, "member string, root string, canonical string"))
     sets = members.groupBy("root").agg(F.array_sort(F.collect_list("member")).alias("merged_from"), F.first("canonical").alias("canonical")).filter(F.size("merged_from") > 1)
     present = cleaned.select(F.col("record_id").alias("root"))
     sets = sets.join(present, "root", "left_semi")

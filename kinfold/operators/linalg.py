@@ -29,29 +29,35 @@ def yeo_johnson(c: Column, power: float) -> Column:
     return F.when(c >= 0, up).otherwise(down)
 
 
-def yeo_johnson_powers(df: DataFrame, columns: list[str], low: float = -3.0, high: float = 4.0, points: int = 33, tolerance: float = 1e-7) -> dict[str, float]:
+def yeo_johnson_powers(df: DataFrame, columns: list[str], low: float = -3.0, high: float = 4.0, points: int = 17, tolerance: float = 1e-7) -> dict[str, float]:
     """Powers of the greatest likelihood, to the tolerance: grids that shrink around the best point, one pass over the rows a round.
 
     The range is where the search starts; a best point at its end moves it on. A
-    constant column has power 1, which leaves it as it is.
+    constant column has power 1, which leaves it as it is. A round's grid is an
+    array of rows, not an expression a point, so that all rounds share one
+    compiled plan; its variances meet by (column, point) after a partial sum.
     """
-    fixed = df.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
+    one = df.agg(F.count("*").alias("n"), *[F.stddev_pop(c).alias(f"{i}__dev") for i, c in enumerate(columns)], *[F.sum(F.signum(c) * F.log1p(F.abs(F.col(c)))).alias(f"{i}__tilt") for i, c in enumerate(columns)]).first()
     best = {c: 1.0 for c in columns}
-    span = {c: (low, high) for c in columns if fixed[c]}
+    span = {i: (low, high) for i, c in enumerate(columns) if one[f"{i}__dev"]}
     while span:
-        grid = {c: np.linspace(*span[c], points) for c in span}
-        tilt = [F.sum(F.signum(c) * F.log1p(F.abs(F.col(c)))).alias(f"{c}__tilt") for c in span]
-        spread = [F.var_pop(yeo_johnson(F.col(c), float(p))).alias(f"{c}__{i}") for c in span for i, p in enumerate(grid[c])]
-        row = df.agg(F.count("*").alias("n"), *tilt, *spread).first()
-        for c in list(span):
-            value = [-row["n"] / 2 * math.log(max(row[f"{c}__{i}"], 1e-300)) + (p - 1) * row[f"{c}__tilt"] for i, p in enumerate(grid[c])]
+        grid = {i: np.linspace(*span[i], points) for i in span}
+        asked = F.array(*[F.struct(F.lit(i).alias("column"), F.lit(k).alias("point"), F.lit(float(p)).alias("power")) for i in grid for k, p in enumerate(grid[i])])
+        rows = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x"), F.explode(asked).alias("at")).select("at.*", F.get("x", F.col("at.column")).alias("v"))
+        p, v = F.col("power"), F.col("v")
+        up = F.when(F.abs(p) < 1e-9, F.log1p(v)).otherwise((F.pow(v + 1, p) - 1) / p)
+        down = F.when(F.abs(p - 2) < 1e-9, -F.log1p(-v)).otherwise(-(F.pow(1 - v, 2 - p) - 1) / (2 - p))
+        spread = rows.groupBy("column", "point").agg(F.var_pop(F.when(v >= 0, up).otherwise(down)).alias("spread"))
+        got = {(r["column"], r["point"]): r["spread"] for r in spread.collect()}
+        for i in list(span):
+            value = [-one["n"] / 2 * math.log(max(got[i, k], 1e-300)) + (p - 1) * one[f"{i}__tilt"] for k, p in enumerate(grid[i])]
             k = int(np.argmax(value))
-            best[c] = float(grid[c][k])
-            step = float(grid[c][1] - grid[c][0])
-            half = step if 0 < k < points - 1 else (span[c][1] - span[c][0]) / 2
-            span[c] = (best[c] - half, best[c] + half)
-            if step < tolerance or abs(best[c]) > 50:
-                del span[c]
+            best[columns[i]] = float(grid[i][k])
+            step = float(grid[i][1] - grid[i][0])
+            half = step if 0 < k < points - 1 else (span[i][1] - span[i][0]) / 2
+            span[i] = (best[columns[i]] - half, best[columns[i]] + half)
+            if step < tolerance or abs(best[columns[i]]) > 50:
+                del span[i]
     return best
 
 
