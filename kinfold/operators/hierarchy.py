@@ -174,6 +174,16 @@ def _recursive_pca_dbscan(x, depth, c):
     return (labels, max(eps, 1e-9)) if labels.max() >= 1 else None
 
 
+def _varied_dbscan(x, depth, c):
+    """Rows as they are, by a radius of their own; larger clusters and deeper levels ask for fewer neighbours."""
+    varied = bool((x.var(0) > 1e-12).any())
+    y = explaining(scaled(x), 0.9) if varied and x.shape[1] > 2 else x
+    eps = adaptive_eps(c.eps, len(x), depth, neighbour_statistic(y) if varied else None, float(varied))
+    fewer = 2 if len(x) > 1000 else 1 if len(x) > 100 else 0
+    labels = dbscan_in_memory(x, eps, max(2, max(2, c.min_samples - fewer) - depth))
+    return (labels, eps) if labels.max() >= 1 else None
+
+
 def _force(x, depth, c):
     target = max(50, 200 // (depth + 1)) if c.max_size >= 50 else c.max_size
     return kmeans(principal(scaled(x), 3), max(2, len(x) // target)), 0.0
@@ -194,10 +204,13 @@ STRATEGIES = {
     "forced_pca": (500, 0, _forced_pca, None),
     "tiered_kmeans": (200, 0, _tiered_kmeans, None),
     "pca_dbscan": (10, 0, _recursive_pca_dbscan, None),
+    "varied_dbscan": (10, 0, _varied_dbscan, None),
 }
 ADAPTIVE = ("fast_kmeans", "smart_dbscan", "aggressive_pca", "force")
 FIXED_DEPTH = ("adaptive_dbscan", "forced_pca", "tiered_kmeans", "force")
 RECURSIVE = ("pca_dbscan", "force")
+#: The recursion without a last resort: a cluster that density can't split stays whole.
+VARIED = ("varied_dbscan",)
 
 
 def hint(size: int, depth: int) -> str | None:

@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -36,8 +37,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """Write as Parquet or, for a path that ends in .csv, as a CSV folder."""
+    """Write as Parquet or, for a path that ends in .csv, as a CSV folder, whose lists of strings are joined by semicolons."""
     if path.endswith(".csv"):
+        df = df.withColumns({c: F.array_join(F.col(c), ";") for c, kind in df.dtypes if kind == "array<string>"})
         df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     else:
         df.write.mode("overwrite").parquet(path)

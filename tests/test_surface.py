@@ -130,6 +130,19 @@ def test_recursive_splits():
     assert how == "pca_dbscan" and not set(labels[:200][labels[:200] >= 0]) & set(labels[200:][labels[200:] >= 0])
 
 
+def test_varied_recursion():
+    rng = np.random.default_rng(6)
+    config = hierarchy.SplitConfig(strategies=hierarchy.VARIED, domain_first=False, eps=0.5, min_samples=4)
+    two = np.vstack([rng.normal(0, 0.1, (80, 2)), rng.normal(9, 0.1, (80, 2))])
+    for depth in (0, 1, 3):
+        labels, how, eps = hierarchy.split_with_radius(two, depth, config)
+        want = hierarchy.adaptive_eps(0.5, 160, depth, hierarchy.neighbour_statistic(two))
+        assert how == "varied_dbscan" and eps == want and (labels == hierarchy.dbscan_in_memory(two, want, max(2, 3 - depth))).all()
+        assert not set(labels[:80][labels[:80] >= 0]) & set(labels[80:][labels[80:] >= 0])
+    assert hierarchy.split(two[:9], 0, config)[1] == "none"
+    assert hierarchy.split(np.ones((60, 3)), 0, config)[1] == "none"
+
+
 def test_kmeans_is_linear_in_centres():
     rng = np.random.default_rng(1)
     x = rng.uniform(0, 1, (20000, 3))
