@@ -8,10 +8,16 @@ rare first, as a table of counters over all documents has it (a shingle's
 counter also counts some others). What is known of frequencies only changes the
 work, never the result.
 
-First shingles travel as packed, sorted arrays by key range. Sets that meet at
-one in bands of sizes that may link are tied to each other, and what is tied
-together is a family: sets of different families never link. A family's texts
-meet in one task. There its sets form tiles in the order of their sizes; two
+With ``NEED - 1`` shingles more, two sets that link share NEED of them. One that
+is shared by chance is what a growing input has ever more of, and it would chain
+most documents together; two are seldom. So sets of at least DEEP shingles show
+one more, and two of them are tied by two.
+
+First shingles travel as packed, sorted arrays by key range. Sets that meet
+often enough in bands of sizes that may link are tied to each other, and what is
+tied together is a family: sets of different families never link. Where more
+than RUN sets hold a shingle it ties them by itself, so pairs aren't counted
+there. A family's texts meet in one task. There its sets form tiles in the order of their sizes; two
 tiles whose sizes may link are held against each other by hashed bitmaps (each
 bit that only one side has is a shingle the other lacks), and the pairs that
 these don't rule out are decided by intersecting the sorted arrays. Pairs that
@@ -33,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .components import components, roots
 from .pretoken import mixed
-from .shared import partitions, possibly_in, temporary, written
+from .shared import partitions, possibly_in, released, temporary, written
 from .shingles import Shingler, byte_groups
 
 #: Counters of shingle frequencies, 2 bytes each where they are sent: 8 MB at any size of the input.
@@ -41,9 +47,13 @@ COUNTERS = 1 << 22
 CHUNK_COUNTERS = 1 << 16
 BATCH_SHINGLES = 1 << 20
 #: First shingles that a task holds until it packs them, and those of a range of keys.
-CHUNK_KEYS, RANGE_KEYS = 1 << 20, 4 << 20
+CHUNK_KEYS, RANGE_KEYS = 1 << 20, 2 << 20
 #: Sizes of a band differ by less than 5 %.
 STEP = math.log(1.05)
+#: Shingles that sets of at least DEEP (the least size of a band) share if they link; holders of one up to which pairs are counted; entries that do so at once.
+NEED, DEEP, RUN, SLICE = 2, 16, 16, 1 << 18
+#: Holders of a shingle in a task's chunk and band, beyond which one stands for all; the flag of those that do.
+CROWD, STANDS = 8, 1 << 13
 #: Weight of a family that one task compares; a set weighs its shingles and BASE more.
 MOST, BASE = 4 << 20, 64
 CENTRES = 4
@@ -140,6 +150,11 @@ def _band(n: np.ndarray) -> np.ndarray:
     return np.floor(np.log(n) / STEP).astype(np.int16)
 
 
+def deep_from(percent: int) -> int:
+    """The band from which sets show NEED - 1 first shingles more: all that link to them share NEED."""
+    return int(_band(np.float64(max(DEEP, 100 * NEED / percent)))) + 1
+
+
 def _planes(x: np.ndarray) -> bytes:
     """The first bytes of all numbers, then their second bytes, ...: what compresses well of ascending numbers' steps."""
     return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
@@ -156,31 +171,36 @@ PACKED = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("keys", "
 
 
 def _thinned(key, band, of):
-    """Which entries stand for all of their key and band (index and probe apart), and who is tied to whom by that.
+    """Which entries remain, which of them stand for all of their key and band (index and probe apart; more than CROWD), and who is tied to whom by that.
 
     The band's lowest bit tells index from probe.
     """
+    keep, stand = np.ones(len(key), bool), np.zeros(len(key), bool)
     run = key[1:] == key[:-1]
     among = np.flatnonzero(np.append(run, False) | np.append(False, run))
     if not len(among):
-        return np.ones(len(key), bool), np.zeros((0, 2), np.int64)
+        return keep, stand, np.zeros((0, 2), np.int64)
     among = among[np.lexsort((of[among], band[among], key[among]))]
-    again = np.append(False, (key[among][1:] == key[among][:-1]) & (band[among][1:] == band[among][:-1]))
-    stands = among[np.maximum.accumulate(np.where(again, 0, np.arange(len(among))))]
-    keep = np.ones(len(key), bool)
+    new = np.append(True, (key[among][1:] != key[among][:-1]) | (band[among][1:] != band[among][:-1]))
+    group = np.cumsum(new) - 1
+    first = among[new][group]
+    crowd = np.bincount(group)[group] > CROWD
+    again = crowd & ~new
     keep[among[again]] = False
-    ties = np.unique(np.stack([of[stands[again]], of[among[again]]], 1), axis=0)
-    return keep, ties[ties[:, 0] != ties[:, 1]]
+    stand[among[crowd & new]] = True
+    ties = np.unique(np.stack([of[first[again]], of[among[again]]], 1), axis=0)
+    return keep, stand, ties[ties[:, 0] != ties[:, 1]]
 
 
 def _packed(docs: DataFrame, words: int, percent: int, frequency: np.ndarray, parts: int) -> DataFrame:
     """The first shingles of all documents by range of keys, in the columns of PACKED.
 
     keys: ascending, as steps. sets: which of the row's classes each key is of,
-    and classes and bands say what these are. left, right: classes tied already,
-    because another entry of the same task stands for theirs.
+    and classes and bands say what these are, a band with STANDS that the entry
+    stands for others. left, right: classes tied already, because another entry
+    of the same task stands for theirs.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequency)
+    shared, least = docs.sparkSession.sparkContext.broadcast(frequency), deep_from(percent)
 
     def packed(held):
         seen: dict[int, int] = {}
@@ -198,9 +218,9 @@ def _packed(docs: DataFrame, words: int, percent: int, frequency: np.ndarray, pa
         order = np.argsort(key, kind="stable")
         key, of = key[order], of[order]
         band = size[of] * 2 + probe[order]
-        keep, ties = _thinned(key, band, of)
+        keep, stand, ties = _thinned(key, band, of)
         tie_at = np.arange(len(ties)) % parts
-        key, of, band = key[keep], of[keep], band[keep]
+        key, of, kind = key[keep], of[keep], (band[keep] & 1) + 2 * stand[keep]
         part = (((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
         edge = np.searchsorted(part, np.arange(parts + 1))
         for p in range(parts):
@@ -208,9 +228,9 @@ def _packed(docs: DataFrame, words: int, percent: int, frequency: np.ndarray, pa
             tied = ties[tie_at == p]
             if here.start == here.stop and not len(tied):
                 continue
-            # A class and its band with its flag, as a row's sets: so an entry needs only its number among them.
-            pairs, number = np.unique((of[here] << 1) | (band[here] & 1), return_inverse=True)
-            columns = [_planes(np.diff(key[here], prepend=np.uint64(0))), _planes(number.astype(np.uint32)), name[pairs >> 1].tobytes(), (size[pairs >> 1] * 2 + (pairs & 1)).astype(np.int16).tobytes(), name[tied[:, 0]].tobytes(), name[tied[:, 1]].tobytes()]
+            # A class and its band with its flags, as a row's sets: so an entry needs only its number among them.
+            pairs, number = np.unique((of[here] << 2) | kind[here], return_inverse=True)
+            columns = [_planes(np.diff(key[here], prepend=np.uint64(0))), _planes(number.astype(np.uint32)), name[pairs >> 2].tobytes(), (size[pairs >> 2] * 2 + (pairs & 1) + STANDS * (pairs >> 1 & 1)).astype(np.int16).tobytes(), name[tied[:, 0]].tobytes(), name[tied[:, 1]].tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)], schema=PACKED)
 
     def run(batches):
@@ -220,8 +240,9 @@ def _packed(docs: DataFrame, words: int, percent: int, frequency: np.ndarray, pa
                 for s in shingler.sets(data, offsets):
                     if not len(s):
                         continue
-                    rare_first = np.argsort(often[_place(s)], kind="stable")[: probe_length(len(s), percent)]
-                    held.append((_class_hashes(s)[0], s[rare_first], len(s), index_length(len(s), percent)))
+                    more = NEED - 1 if _band(np.float64(len(s))) >= least else 0
+                    rare_first = np.argsort(often[_place(s)], kind="stable")[: probe_length(len(s), percent) + more]
+                    held.append((_class_hashes(s)[0], s[rare_first], len(s), index_length(len(s), percent) + more))
                     size += len(rare_first)
                     if size >= CHUNK_KEYS:
                         yield from packed(held)
@@ -232,14 +253,53 @@ def _packed(docs: DataFrame, words: int, percent: int, frequency: np.ndarray, pa
     return docs.filter("doc_id is not null").select("text").mapInArrow(run, "part int, keys binary, sets binary, classes binary, bands binary, left binary, right binary")
 
 
-def _ties(packed: DataFrame, parts: int, percent: int) -> DataFrame:
-    """a, b: classes (by h1) that meet at a key in bands that may link, enough of them to connect all that do.
+def _met(key, name, band, stands, least: int, far: int):
+    """Pairs of names that share a key in bands that may link, coded as name * (largest name + 1) + name, and how often (NEED for those tied by one); and chains.
 
-    In the order of (key, band, index first) an entry is tied to the index entry
-    before it. That reaches every pair of an index entry with an entry of the
-    same or a higher band.
+    In the order of (key, band, index first) an entry meets the index entries
+    before it. Keys of more than RUN entries give chains: an entry is tied to
+    the index entry before it, which reaches every pair of an index entry with
+    an entry of the same or a higher band.
     """
-    far = reach(percent)
+    none = np.zeros(0, np.int64)
+    if not len(key):
+        return none, none, none, (none, none)
+    many = int(name.max()) + 1
+    index, size = (band & 1) == 0, band >> 1
+    at = np.arange(len(key))
+    new = np.append(True, key[1:] != key[:-1])
+    run = np.cumsum(new) - 1
+    long = np.bincount(run)[run] > RUN
+    before = np.append(-1, np.maximum.accumulate(np.where(index, at, -1))[:-1])
+    ok = long & (before >= 0)
+    ok[ok] = (key[before[ok]] == key[ok]) & (size[ok] - size[before[ok]] <= far)
+    chain = name[before[ok]], name[ok]
+    starts = np.flatnonzero(new)
+    cuts = np.unique(starts[np.maximum(np.searchsorted(starts, np.arange(0, len(key), SLICE), "right") - 1, 0)])
+    codes, counts = [none], [none]
+    for low, high in zip(cuts, [*cuts[1:], len(key)], strict=True):
+        short = low + np.flatnonzero(~long[low:high] & index[low:high])
+        code, count = [], []
+        for d in range(1, RUN):
+            short = short[short + d < high]
+            short = short[key[short] == key[short + d]]
+            if not len(short):
+                break
+            i = short[(size[short + d] - size[short] <= far) & (name[short] != name[short + d])]
+            j = i + d
+            code.append(np.minimum(name[i], name[j]) * many + np.maximum(name[i], name[j]))
+            count.append(np.where((size[i] >= least) & (size[j] >= least) & ~stands[i] & ~stands[j], 1, NEED))
+        if code:
+            code, back = np.unique(np.concatenate(code), return_inverse=True)
+            codes.append(code)
+            counts.append(np.minimum(np.bincount(back, np.concatenate(count)), NEED).astype(np.int64))
+    code, back = np.unique(np.concatenate(codes), return_inverse=True)
+    return code // many, code % many, np.bincount(back, np.concatenate(counts)).astype(np.int64), chain
+
+
+def _ties(packed: DataFrame, parts: int, percent: int) -> DataFrame:
+    """a, b, n: classes (by h1) that meet at n keys of a range in bands that may link. Those whose n add up to NEED connect all that link."""
+    far, least = reach(percent), deep_from(percent)
 
     def run(batches):
         keys, names, bands, left, right = [], [], [], [], []
@@ -254,25 +314,26 @@ def _ties(packed: DataFrame, parts: int, percent: int) -> DataFrame:
         if not keys:
             return
         key, name, band = np.concatenate(keys), np.concatenate(names), np.concatenate(bands)
+        del keys, names, bands
         order = np.argsort(key, kind="stable")
         key = key[order]
         same = key[1:] == key[:-1]
         meets = np.append(same, False) | np.append(False, same)
         key, name, band = key[meets], name[order][meets], band[order][meets]
-        order = np.lexsort((name, band, key))
-        key, name, band = key[order], name[order], band[order]
-        at = np.arange(len(key))
-        index = (band & 1) == 0
-        before = np.append(-1, np.maximum.accumulate(np.where(index, at, -1))[:-1])[: len(key)]
-        ok = before >= 0
-        ok[ok] = (key[before[ok]] == key[ok]) & ((band[ok] >> 1) - (band[before[ok]] >> 1) <= far)
-        a, b = np.concatenate([name[before[ok]], *left]), np.concatenate([name[ok], *right])
-        nodes, ends = np.unique(np.append(a, b), return_inverse=True)
-        root = roots(len(nodes), ends[: len(a)], ends[len(a) :])
-        moved = root != np.arange(len(root))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[root[moved]]), pa.array(nodes[moved])], names=["a", "b"])
-
-    return packed.repartitionById(parts, "part").mapInArrow(run, "a long, b long")
+        nodes, ends = np.unique(np.concatenate([name, *left, *right]), return_inverse=True)
+        tied = ends[len(name) :].reshape(2, -1)
+        name, stands, band = ends[: len(name)], band >= STANDS, band % STANDS
+        order = np.lexsort((~stands, name, band, key))
+        key, name, band, stands = key[order], name[order], band[order], stands[order]
+        once = np.append(True, (key[1:] != key[:-1]) | (band[1:] != band[:-1]) | (name[1:] != name[:-1]))[: len(key)]
+        a, b, n, chain = _met(key[once], name[once], band[once], stands[once], least, far)
+        sure = n >= NEED
+        root = roots(len(nodes), np.concatenate([tied[0], chain[0], a[sure]]), np.concatenate([tied[1], chain[1], b[sure]]))
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        rest = ~sure & (root[a] != root[b])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[np.append(root[moved], a[rest])]), pa.array(nodes[np.append(moved, b[rest])]), pa.array(np.append(np.full(len(moved), NEED), n[rest]))], names=["a", "b", "n"])
+
+    return packed.repartitionById(parts, "part").mapInArrow(run, "a long, b long, n long")
 
 
 def _bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
@@ -440,7 +501,9 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
         classes = written(some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.count("*").alias("members")), "classes", keep=True)
         total = classes.agg(F.sum("n")).first()[0] or 0
         parts = max(partitions(spark), -(-total * (100 - percent) // (100 * RANGE_KEYS)))
-        families = components(written(_ties(_packed(docs, words, percent, frequency, parts), parts, percent), "ties"))
+        met = written(_ties(_packed(docs, words, percent, frequency, parts), parts, percent), "ties")
+        released(spark)
+        families = components(met.groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= NEED))
         members = classes.join(families, classes["h1"] == families["node"]).select(F.col("component").alias("family"), classes["node"], "n")
         members = written(members, "families")
         sizes = members.groupBy("family").agg(F.sum(F.col("n") + BASE).alias("weight"))

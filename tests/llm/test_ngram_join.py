@@ -81,6 +81,31 @@ def test_small_chunks_and_tiles(spark, monkeypatch):
     assert sorted(map(tuple, ngram_join.ngram_join(df, most=2000).collect()), key=str) == brute(rows)
 
 
+def test_chance_shingles_make_no_family(spark):
+    """Each two documents share one passage of one shingle, in any order of frequency; only the copy with another word is near any."""
+    texts = [" ".join(" ".join([f"s{min(i, j)}x{max(i, j)}"] * 5) for j in range(47) if i != j) for i in range(47)]
+    rows = [*enumerate(texts), (100, texts[0] + " more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    packed = ngram_join._packed(df, 5, 80, np.zeros(ngram_join.COUNTERS, np.uint16), 4)
+    met = ngram_join._ties(packed, 4, 80).groupBy("a", "b").agg({"n": "sum"}).filter("`sum(n)` >= 2").collect()
+    assert len(met) == 1
+    assert sorted(map(tuple, ngram_join.ngram_join(df).collect())) == sorted(brute(rows))
+
+
+def test_many_holders_and_sizes_at_the_limit(spark):
+    """More holders of a shingle than pairs are counted for, in sizes around the least that show two, some of a chunk alike."""
+    rng, rows = random.Random(5), []
+    for g in range(30):
+        base = [f"g{g}w{i}" for i in range(rng.randrange(14, 60))]
+        for _ in range(rng.choice((2, 3, 9, 20, 40))):
+            w = base[: len(base) - rng.randrange(5)] + [f"t{rng.randrange(9)}" for _ in range(rng.randrange(4))]
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for percent in (80, 90, 55):
+        assert sorted(map(tuple, ngram_join.ngram_join(df, percent=percent).collect()), key=str) == brute(rows, percent)
+
+
 def test_words_of_complementary_letters(spark):
     def word(n, a, b):
         return "".join((a, b)[i.bit_count() % 2] for i in range(n))
