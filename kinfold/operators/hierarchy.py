@@ -93,20 +93,29 @@ def neighbour_statistic(x: np.ndarray, ratio: float = 0.1, percentile: float = 6
     return 0.1 if n < k else float(np.percentile(kth_distances(x, k), percentile))
 
 
-def split_by_domain(x: np.ndarray, column: int, depth: int) -> np.ndarray | None:
-    """A group for each distinct high value of the domain column; the rest one group, or several by K-means if large."""
+def domain_groups(x: np.ndarray, column: int) -> np.ndarray | None:
+    """A group for each distinct high value of the domain column, in their order; the rest is the last group."""
     value = x[:, column]
     high = value.max()
     if high >= BOOSTED or (value >= CLOSE * high).sum() < 2 or high <= 0:
         return None
-    labels = np.full(len(x), -1)
     near = value >= CLOSE * high
-    _, labels[near] = np.unique(value[near], return_inverse=True)
-    rest = np.flatnonzero(~near)
+    names, of = np.unique(value[near], return_inverse=True)
+    labels = np.full(len(x), len(names))
+    labels[near] = of
+    return labels
+
+
+def split_by_domain(x: np.ndarray, column: int, depth: int) -> np.ndarray | None:
+    """domain_groups() with the rest as several groups by K-means if it is large."""
+    labels = domain_groups(x, column)
+    if labels is None:
+        return None
+    first = labels[x[:, column] >= CLOSE * x[:, column].max()].max() + 1
+    rest = np.flatnonzero(labels == first)
     target = max(50, 200 // (depth + 1))
-    if len(rest):
-        first = labels.max() + 1
-        labels[rest] = first if len(rest) <= target else first + kmeans(principal(scaled(x[rest]), 3), max(2, len(rest) // target))
+    if len(rest) > target:
+        labels[rest] = first + kmeans(principal(scaled(x[rest]), 3), max(2, len(rest) // target))
     return labels
 
 
