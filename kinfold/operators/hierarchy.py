@@ -8,14 +8,16 @@ and depths, never on the clock.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
-from .dbscan import dbscan, dbscan_in_memory
+from .dbscan import dbscan, dbscan_in_memory, partitions
 from .graph import merged_clusters, near_pairs
 from .linalg import adaptive_eps, neighbour_percentile
 from .ranks import global_rank
@@ -24,6 +26,8 @@ SEED = 42
 BOOSTED, CLOSE = 5000.0, 0.85
 #: Rows of a cluster up to which one task compares all its pairs; larger ones are joined by cells.
 IN_TASK = 20000
+#: What rounding may change of a square of distances, as a share, and more; distances to centres that are held at once.
+SLACK, MEET = 1e-6, 1 << 18
 
 
 @dataclass
@@ -59,22 +63,77 @@ def principal(x: np.ndarray, k: int) -> np.ndarray:
     return centred @ axes[:k].T
 
 
+def _spread_seeds(x: np.ndarray, k: int, first: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """k rows, each the farthest from those before it (the first such row), and the rows nearest to each.
+
+    A seed takes rows only from seeds nearer to it than twice the distance of their farthest row.
+    """
+    centres, members = x[[first] * k], [np.arange(len(x))]
+    nearest = ((x - x[first]) ** 2).sum(1)
+    far, radius = np.full(k, len(x)), np.full(k, -1.0)
+    far[0] = np.argmax(nearest)
+    radius[0] = nearest[far[0]]
+    for i in range(1, k):
+        centres[i] = x[far[radius == radius.max()].min()]
+        taken = []
+        for j in np.flatnonzero(((centres[:i] - centres[i]) ** 2).sum(1) <= 4 * radius[:i] * (1 + SLACK)):
+            rows = members[j]
+            square = ((x[rows] - centres[i]) ** 2).sum(1)
+            nearer = square < nearest[rows]
+            if nearer.any():
+                nearest[rows[nearer]] = square[nearer]
+                taken.append(rows[nearer])
+                members[j] = rows[~nearer]
+                far[j], radius[j] = len(x), -1.0
+                if len(members[j]):
+                    far[j] = members[j][np.argmax(nearest[members[j]])]
+                    radius[j] = nearest[far[j]]
+        members.append(np.sort(np.concatenate(taken)))
+        far[i] = members[i][np.argmax(nearest[members[i]])]
+        radius[i] = nearest[far[i]]
+    return centres, members
+
+
+def _nearest_centres(x: np.ndarray, centres: np.ndarray, members: list[np.ndarray]) -> np.ndarray:
+    """The first of the nearest centres of each row. members: rows that lie near each centre.
+
+    Rows of a centre meet the centres within twice the distance of the farthest
+    of them, which no nearer one can be beyond, in slices of bounded size.
+    """
+    squares, sizes = (x * x).sum(1), (centres * centres).sum(1)
+    if len(x) * len(centres) <= MEET:
+        return np.argmin(squares[:, None] - 2 * x @ centres.T + sizes, axis=1)
+    found = np.zeros(len(x), int)
+    axis = int(np.argmax(np.ptp(centres, axis=0)))
+    order = np.argsort(centres[:, axis])
+    line = centres[order, axis]
+    for j, rows in enumerate(members):
+        if not len(rows):
+            continue
+        reach = 4 * ((x[rows] - centres[j]) ** 2).sum(1).max() * (1 + SLACK) + SLACK**2
+        at = centres[j, axis]
+        near = np.sort(order[np.searchsorted(line, at - reach**0.5) : np.searchsorted(line, at + reach**0.5, "right")])
+        near = near[((centres[near] - centres[j]) ** 2).sum(1) <= reach]
+        step = max(1, MEET // len(near))
+        for i in range(0, len(rows), step):
+            some = rows[i : i + step]
+            found[some] = near[np.argmin(squares[some, None] - 2 * x[some] @ centres[near].T + sizes[near], axis=1)]
+    return found
+
+
 def kmeans(x: np.ndarray, k: int, steps: int = 50) -> np.ndarray:
-    """Lloyd's method from spread-out seeds, the same on every run."""
+    """Lloyd's method from spread-out seeds, the same on every run; distances of all rows to all centres are neither held nor all taken."""
     rng = np.random.default_rng(SEED)
     k = min(k, len(np.unique(x, axis=0)))
-    centres = x[[int(rng.integers(len(x)))]]
-    nearest = ((x - centres[0]) ** 2).sum(1)
-    while len(centres) < k:
-        centres = np.vstack([centres, x[int(np.argmax(nearest))]])
-        nearest = np.minimum(nearest, ((x - centres[-1]) ** 2).sum(1))
+    centres, members = _spread_seeds(x, k, int(rng.integers(len(x))))
     labels = np.zeros(len(x), int)
     for _ in range(steps):
-        new = np.argmin((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), axis=1)
+        new = _nearest_centres(x, centres, members)
         if (new == labels).all() and _:
             break
         labels = new
-        centres = np.vstack([x[labels == j].mean(0) if (labels == j).any() else centres[j] for j in range(len(centres))])
+        members = np.split(np.argsort(labels, kind="stable"), np.cumsum(np.bincount(labels, minlength=k))[:-1])
+        centres = np.vstack([x[rows].mean(0) if len(rows) else centres[j] for j, rows in enumerate(members)])
     return labels
 
 
@@ -257,13 +316,41 @@ def split(x: np.ndarray, depth: int, config: SplitConfig) -> tuple[np.ndarray, s
     return split_with_radius(x, depth, config)[:2]
 
 
-def _splitter(depth: int, config: SplitConfig):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node")
-        parts, name = split(np.vstack(rows["x"].to_numpy()).astype(float), depth, config)
-        return pd.DataFrame({"node": rows["node"], "parent": rows["cluster_id"], "part": parts.astype("int64"), "strategy": name})
+def _splits(rows: DataFrame, depth: int, config: SplitConfig) -> DataFrame:
+    """node, parent, part, strategy of the rows (node, x, cluster_id): a cluster is split in one task, as one array, a cluster at a time."""
+    dealt = rows.select("cluster_id", "node", "x").repartition(partitions(rows), "cluster_id").sortWithinPartitions("cluster_id", "node")
 
-    return run
+    def run(batches):
+        pieces = (batch.slice(i, j - i) for batch in batches if len(batch) for i, j in _runs(batch.column("cluster_id").to_numpy()))
+        made, n = [], 0
+        for parent, own in groupby(pieces, key=lambda piece: piece.column("cluster_id")[0].as_py()):
+            table = pa.Table.from_batches(own)
+            x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False).astype(float) for c in table.column("x").chunks]).reshape(len(table), -1)
+            parts, name = split(x, depth, config)
+            made.append((table.column("node"), parent, parts, name))
+            n += len(table)
+            if n >= 10000:
+                yield _batch(made)
+                made, n = [], 0
+        if made:
+            yield _batch(made)
+
+    return dealt.mapInArrow(run, f"node {dict(rows.dtypes)['node']}, parent long, part long, strategy string")
+
+
+def _runs(ids: np.ndarray) -> list[tuple[int, int]]:
+    """(first, end) of the runs of equal ids."""
+    starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    return list(zip(starts.tolist(), [*starts[1:].tolist(), len(ids)], strict=True))
+
+
+def _batch(made: list[tuple]) -> pa.RecordBatch:
+    """The rows of several clusters: (nodes, parent, parts, strategy) of each."""
+    sizes = [len(parts) for _, _, parts, _ in made]
+    repeated = lambda values: values.take(pa.array(np.repeat(np.arange(len(made)), sizes)))
+    nodes = pa.concat_arrays([c for column, *_ in made for c in column.chunks])
+    parts = pa.array(np.concatenate([parts for _, _, parts, _ in made]).astype("int64"))
+    return pa.RecordBatch.from_arrays([nodes, repeated(pa.array([m[1] for m in made], pa.int64())), parts, repeated(pa.array([m[3] for m in made], pa.string()))], names=["node", "parent", "part", "strategy"])
 
 
 def subdivide(points: DataFrame, labels: DataFrame, config: SplitConfig, key: str = "node", vector: str = "x") -> SplitResult:
@@ -283,8 +370,7 @@ def subdivide(points: DataFrame, labels: DataFrame, config: SplitConfig, key: st
             break
 
         todo = current.join(F.broadcast(sizes.select("cluster_id")), "cluster_id")
-        kind = dict(current.dtypes)["node"]
-        made = cut(todo.select("node", "x", "cluster_id").groupBy("cluster_id").applyInPandas(_splitter(depth, config), f"node {kind}, parent long, part long, strategy string"))
+        made = cut(_splits(todo, depth, config))
         top = current.agg(F.max("cluster_id")).first()[0]
         names = global_rank(made.filter("part >= 0 and strategy <> 'none'").select("parent", "part").distinct(), ["parent", "part"], "nth")
         fresh = made.join(names, ["parent", "part"], "left").select("node", F.when(F.col("nth").isNotNull(), F.col("nth") + top + 1).alias("new"), (F.col("strategy") == "none").alias("stuck"))
@@ -410,7 +496,7 @@ def _split_table(rows: DataFrame, n: int, threshold: float, high: float, config:
                     break
         else:
             one, eps = SplitConfig(**{**config.__dict__, "strategies": (name,), "domain_first": False}), 0.0
-            got = cut(rows.groupBy("cluster_id").applyInPandas(_splitter(0, one), f"node {dict(rows.dtypes)['node']}, parent long, part long, strategy string"))
+            got = cut(_splits(rows, 0, one))
             if got.filter("strategy <> 'none'").limit(1).count():
                 parts = got.select("node", F.col("part").alias("cluster_id"))
         if parts is not None:

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +110,60 @@ def test_auto_eps_samples_the_curve_and_not_the_neighbours(spark):
     assert dbscan.auto_eps(points, sample=100) == pytest.approx(want)
     few = points.filter("node < 3")
     assert dbscan.auto_eps(few) == 0.0 and dbscan.auto_eps(points.filter("node < 0")) == 0.0
+
+
+def plain_kmeans(x, k, steps=50):
+    """Lloyd's method by all distances of all rows to all centres."""
+    k = min(k, len(np.unique(x, axis=0)))
+    centres = x[[int(np.random.default_rng(hierarchy.SEED).integers(len(x)))]]
+    while len(centres) < k:
+        centres = np.vstack([centres, x[np.argmax(((x[:, None] - centres) ** 2).sum(2).min(1))]])
+    labels = np.zeros(len(x), int)
+    for step in range(steps):
+        new = np.argmin((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), axis=1)
+        if step and (new == labels).all():
+            break
+        labels = new
+        centres = np.vstack([x[labels == j].mean(0) if (labels == j).any() else centres[j] for j in range(k)])
+    return labels
+
+
+@pytest.mark.parametrize("meet", [1, 1 << 18])
+def test_kmeans_against_all_distances(monkeypatch, meet):
+    """With meet 1, rows meet near centres only, one by one; rows with ties, which rounding decides, as in one table."""
+    monkeypatch.setattr(hierarchy, "MEET", meet, raising=False)
+    rng = np.random.default_rng(3)
+    line = np.column_stack([np.arange(400) * 0.001, np.zeros(400)])
+    tied = [np.round(rng.normal(size=(400, 2)), 1), rng.integers(0, 4, (300, 2)) / 3, line]
+    for x in (rng.normal(size=(400, 3)), np.zeros((40, 2)), np.vstack([rng.normal(size=(200, 2)), [[900.0, 900.0]]]), *(tied if meet > 1 else [])):
+        for k in (1, 2, 30, 120):
+            assert (hierarchy.kmeans(x, k) == plain_kmeans(x, k)).all()
+
+
+def test_kmeans_of_many_rows_and_centres_holds_no_table_of_both():
+    """20,000 rows and 1300 centres: a table of their distances is 208 MB, the old way held several."""
+    x = np.random.default_rng(7).random((20000, 3))
+    tracemalloc.start()
+    labels = hierarchy.kmeans(x, 1300, steps=2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50e6 and len(np.unique(labels)) == 1300
+
+
+def test_clusters_reach_the_split_in_order_and_whole(spark):
+    """Clusters of few and of many rows, over several batches, with rows of a cluster dealt apart; text keys go by code point."""
+    rng = np.random.default_rng(12)
+    sizes = [25000, 40, 16, 300, 1]
+    of = rng.permutation(np.repeat(np.arange(len(sizes)), sizes))
+    x = np.round(rng.normal(size=(len(of), 2)) * 10, 6)
+    rows = [(f"{'é' if i % 3 else 'Z'}{i}", v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, of, strict=True))]
+    df = spark.createDataFrame(rows, "node string, x array<double>, cluster_id long").repartition(5)
+    config = hierarchy.SplitConfig(strategies=("force",), domain_first=False)
+    made = hierarchy._splits(df, 0, config)
+    got = {r.node: (r.parent, r.part, r.strategy) for r in made.collect()}
+    assert len(got) == len(rows)
+    for c in range(len(sizes)):
+        own = sorted((r[0], i) for i, r in enumerate(rows) if r[2] == c)
+        parts, name = hierarchy.split(x[[i for _, i in own]], 0, config)
+        assert [got[n] for n, _ in own] == [(c, int(p), name) for p in parts]
+    assert hierarchy._splits(df.limit(0), 0, config).count() == 0
